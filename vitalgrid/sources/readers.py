@@ -63,7 +63,7 @@ def read_feature_list(
     """Feature names, one per line, in file order; blanks and the target are left out."""
     lines = spark.read.option("wholetext", True).text(path)
     names = lines.select(F.explode(F.split("value", r"\r\n|\r|\n")).alias("v")).select(
-        F.trim("v").alias("name")
+        F.trim("v", F.lit(" \t")).alias("name")
     )
     return [r.name for r in names.where("name <> ''").where(F.col("name") != target).collect()]
 
