@@ -116,7 +116,7 @@ def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def multiplicative_order(key: Column) -> Column:
     """``key * 2654435761 mod 2^32``, in two halves so that no product overflows."""
-    factor, half = F.lit(2654435761), F.lit(65536)
-    k = F.pmod(key, F.lit(1 << 32))
-    low, high = k % half, F.floor(k / half).cast("bigint")
-    return (low * factor + (high * factor % half) * half) % F.lit(1 << 32)
+    factor, half, whole = F.lit(2654435761), F.lit(1 << 16), F.lit(1 << 32)
+    k = F.pmod(key, whole)
+    low, high = k % half, F.shiftright(k, 16)
+    return (low * factor + high * factor % half * half) % whole

@@ -75,7 +75,9 @@ def _mean(column: str, times: str, digits: int) -> Column:
     return round_stable(F.sum(F.col(f"{column}_sum") * F.col(times)) / F.nullif(n, F.lit(0)), digits)
 
 
-_PATIENTS = F.sum(F.col("records") * F.col("rows")).cast("bigint")
+def _patients() -> Column:
+    """Joined rows: every record of a patient meets every processed row."""
+    return F.sum(F.col("records") * F.col("rows")).cast("bigint").alias("patients")
 
 
 def risk_by_age_band(predictions: DataFrame, processed: DataFrame) -> DataFrame:
@@ -85,7 +87,7 @@ def risk_by_age_band(predictions: DataFrame, processed: DataFrame) -> DataFrame:
     return (
         bands.join(_risk_per_patient(predictions), "patient_id")
         .groupBy("age_group")
-        .agg(_mean("risk", "rows", 3).alias("avg_predicted_risk"), _PATIENTS.alias("patients"))
+        .agg(_mean("risk", "rows", 3).alias("avg_predicted_risk"), _patients())
         .orderBy("age_group")
     )
 
@@ -102,7 +104,7 @@ def risk_by_sleep_bucket(predictions: DataFrame, processed: DataFrame) -> DataFr
         .agg(
             _mean("sleep_hours", "records", 2).alias("avg_sleep"),
             _mean("risk", "rows", 3).alias("avg_predicted_risk"),
-            _PATIENTS.alias("patients"),
+            _patients(),
         )
         .orderBy(F.asc_nulls_last("sleep_hours_floor"))
     )
