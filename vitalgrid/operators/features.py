@@ -43,9 +43,14 @@ def fit_encoder(
     df: DataFrame,
     columns: tuple[str, ...] = C.CATEGORICAL_COLUMNS,
     max_levels: int = C.Settings.max_levels,
+    ignore_case: bool = False,
 ) -> Encoder:
     """Learn the levels of each column; the first in sorted order is the baseline
-    and gets no dummy. A column with more than ``max_levels`` levels is an error."""
+    and gets no dummy. A column with more than ``max_levels`` levels is an error.
+
+    Levels that differ only by case are levels of their own, unless ``ignore_case``
+    makes them one. They need a session with case-sensitive column names.
+    """
     pairs = F.explode(
         F.array([F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").cast("string").alias("v"))
                  for i, c in enumerate(columns)])
@@ -59,8 +64,20 @@ def fit_encoder(
         values = sorted(r.v for r in rows if r.i == i)
         if len(values) > max_levels or len(rows) == bound:
             raise ValueError(f"more than {max_levels} levels in a categorical column ({column!r})")
+        if ignore_case:
+            firsts: dict[str, str] = {}
+            for v in values:
+                firsts.setdefault(v.lower(), v)
+            values = list(firsts.values())
         levels += [(column, v) for v in values[1:]]
-    return Encoder(tuple(levels))
+    names = [f"{c}_{v}".lower() for c, v in levels]
+    twice = sorted({n for n in names if names.count(n) > 1})
+    if twice and df.sparkSession.conf.get("spark.sql.caseSensitive") == "false":
+        raise ValueError(
+            f"levels differ only by case ({twice}): set spark.sql.caseSensitive=true, "
+            "or fit with ignore_case=True"
+        )
+    return Encoder(tuple(levels), ignore_case)
 
 
 def split_blood_pressure(df: DataFrame, column: str = C.BLOOD_PRESSURE_COLUMN) -> DataFrame:
