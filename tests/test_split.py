@@ -71,3 +71,15 @@ def test_number_rows(spark, values):
     assert [r.n for r in rows] == list(range(1, len(values) + 1))
     assert [r.v for r in rows] == sorted(values)
     assert {r.t for r in rows} <= {len(values)}
+
+
+@pytest.mark.parametrize("range_rows", [0, 3])
+def test_narrowing_ranges_does_not_change_the_split(spark, monkeypatch, range_rows):
+    from vitalgrid.operators import split as module
+
+    rows = [(i % 2, i) for i in range(1500)] + [(0, 7)] * 200 + [(1, None)] * 20
+    want = sorted(split(spark, rows), key=repr)
+    monkeypatch.setattr(module, "RANGE_ROWS", range_rows)
+    assert sorted(split(spark, rows), key=repr) == want
+    monkeypatch.setattr(module, "STEP_BITS", 1)
+    assert sorted(split(spark, rows, 0.5), key=repr) == sorted(split(spark, rows, 0.5), key=repr)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from itertools import accumulate
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from vitalgrid.session import cut_lineage
@@ -28,11 +31,18 @@ def number_rows(
     place = F.col(_ID).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     # One row per partition, hence as many rows as shuffle partitions at most.
     counts = placed.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()
-    starts, rows = [], 0
-    for c in sorted(counts, key=lambda c: c.part):
-        starts.append((c.part, rows))
-        rows += c.n
-    offsets = df.sparkSession.createDataFrame(starts, "_part bigint, _start bigint")
+    counts.sort(key=lambda c: c.part)
+    starts = [0, *accumulate(c.n for c in counts)]
+    rows = starts.pop()
+    # An Arrow table of this size becomes a local relation, without Python workers.
+    offsets = df.sparkSession.createDataFrame(
+        pa.table(
+            {
+                "_part": pa.array([c.part for c in counts], pa.int64()),
+                "_start": pa.array(starts, pa.int64()),
+            }
+        )
+    )
     numbered = placed.join(F.broadcast(offsets), part == F.col("_part")).withColumn(
         name, place + 1 + F.col("_start")
     )

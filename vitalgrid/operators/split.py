@@ -2,13 +2,14 @@
 
 Rows are put in a hashed order within their class and the first part goes to
 ``test``. Ranking a whole class would need it in one task. Instead the cut point
-of each class is found by counting: hash ranges first, then single ids inside the
-one range that holds the cut. With the cut points known, the split is a comparison
-on each row and moves no data.
+of each class is found by counting: hash ranges first, narrower ones inside the one
+that holds the cut while it is large, then the ids in it. With the cut points known,
+the split is a comparison on each row and moves no data.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from decimal import Decimal
 from functools import reduce
 
@@ -18,9 +19,20 @@ from vitalgrid.config import SPLIT_SEED, TEST_SHARE
 from vitalgrid.operators.numbering import number_rows
 
 ORDER_BITS = 32
-BUCKET_BITS = 16
+STEP_BITS = 12  # a range is cut into 2^12 narrower ones, so a task emits few counts
+RANGE_ROWS = 1_000_000  # a range with more rows is narrowed again before ids are ranked
 MAX_CLASSES = 1000
-_O, _B = "_order", "_bucket"
+_O, _CELL = "_order", "_cell"
+
+
+@dataclass(frozen=True)
+class _Cut:
+    """Where the cut of a class lies, and how many rows from there on are ``test``."""
+
+    label: object
+    cell: object  # hash range, as the order shifted right, or the pair (order, key)
+    rows: int
+    need: int
 
 
 def hashed_order(key: Column, seed: int = SPLIT_SEED) -> Column:
@@ -37,6 +49,53 @@ def _any(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions, F.lit(False))
 
 
+def _cuts(counts: DataFrame, by: list[str], need: Column) -> list[_Cut]:
+    """The row of ``counts`` in which the running count of a class reaches ``need``."""
+    order = Window.partitionBy("label").orderBy(*by)
+    running = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    found = (
+        counts.select("*", running.alias("upto"), need.alias("need"))
+        .where("need > upto - n AND need <= upto")
+        .limit(MAX_CLASSES + 1)
+        .collect()
+    )
+    if len(found) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes")
+    cells = [tuple(r[c] for c in by) for r in found]
+    return [
+        _Cut(r.label, c if len(c) > 1 else c[0], r.n, r.need - (r.upto - r.n))
+        for r, c in zip(found, cells)
+    ]
+
+
+def _needed(cuts: list[_Cut]) -> Column:
+    none = F.when(F.lit(False), F.lit(0))
+    return reduce(lambda c, cut: c.when(F.col("label").eqNullSafe(cut.label), cut.need), cuts, none)
+
+
+def _inside(cuts: list[_Cut], shift: int) -> Column:
+    return _any(
+        [F.col("label").eqNullSafe(c.label) & (F.shiftright(_O, shift) == c.cell) for c in cuts]
+    )
+
+
+def _find_cuts(narrow: DataFrame, share: float) -> list[_Cut]:
+    n = F.count("*").alias("n")
+    wanted = F.ceil(
+        F.sum("n").over(Window.partitionBy("label")) * F.lit(Decimal(str(share)))
+    ).cast("bigint")
+    shift, rows, need = ORDER_BITS, narrow, wanted
+    while True:
+        shift = max(shift - STEP_BITS, 0)
+        counts = rows.groupBy("label", F.shiftright(_O, shift).alias(_CELL)).agg(n)
+        cuts = _cuts(counts, [_CELL], need)
+        rows, need = narrow.where(_inside(cuts, shift)), _needed(cuts)
+        if shift == 0 or all(c.rows <= RANGE_ROWS for c in cuts):
+            break
+    # Copies of an id count as one row here.
+    return _cuts(rows.groupBy("label", _O, "key").agg(n), [_O, "key"], need) if cuts else []
+
+
 def stratified_split(
     df: DataFrame,
     label: str,
@@ -47,62 +106,29 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``part``: of each class, ``ceil(share * n)`` rows are ``test``, the others
     ``train``. Rows come in the order of ``order`` (0 .. 2^32 - 1), then ``key``."""
-    order = hashed_order(F.col(key)) if order is None else order
-    narrow = df.select(F.col(label).alias("label"), F.col(key).alias("key"), order.alias(_O))
-    narrow = narrow.withColumn(_B, F.shiftright(_O, ORDER_BITS - BUCKET_BITS))
-
-    # Ranges: at most 2^16 rows per class, whatever the size of the table.
-    cells = narrow.groupBy("label", _B).agg(F.count("*").alias("n"))
-    by_label = Window.partitionBy("label")
-    so_far = by_label.orderBy(_B).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    wanted = F.ceil(F.sum("n").over(by_label) * F.lit(Decimal(str(share)))).cast("bigint")
-    ranges = (
-        cells.select("*", F.sum("n").over(so_far).alias("upto"), wanted.alias("wanted"))
-        .where("wanted > upto - n AND wanted <= upto")
-        .limit(MAX_CLASSES + 1)
-        .collect()
-    )
-    if len(ranges) > MAX_CLASSES:
-        raise ValueError(f"{label!r} has more than {MAX_CLASSES} classes")
-    if not ranges:
-        return df.withColumn(name, F.lit("train"))
-
-    # Ids inside the range with the cut; copies of an id count as one row here.
-    in_range = _any(
-        [F.col("label").eqNullSafe(r.label) & (F.col(_B) == r[_B]) for r in ranges]
-    )
-    ids = narrow.where(in_range).groupBy("label", _O, "key").agg(F.count("*").alias("n"))
-    so_far = by_label.orderBy(_O, "key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    need = reduce(
-        lambda c, r: c.when(F.col("label").eqNullSafe(r.label), r.wanted - (r.upto - r.n)),
-        ranges,
-        F.when(F.lit(False), F.lit(0)),
-    )
-    cuts = (
-        ids.select("*", F.sum("n").over(so_far).alias("upto"), need.alias("need"))
-        .where("need > upto - n AND need <= upto")
-        .collect()
-    )
+    k = F.col(f"`{key}`")
+    o = hashed_order(k) if order is None else order
+    narrow = df.select(F.col(f"`{label}`").alias("label"), k.alias("key"), o.alias(_O))
+    cuts = _find_cuts(narrow, share)
+
+    def at(cut: _Cut) -> Column:
+        value, copy = cut.cell
+        return (F.col(f"`{label}`").eqNullSafe(cut.label) & (o == value)) & k.eqNullSafe(copy)
 
-    o, k = order, F.col(key)
-    of = {c: F.col(label).eqNullSafe(c.label) for c in cuts}
-    at = {c: of[c] & (o == c[_O]) & k.eqNullSafe(c.key) for c in cuts}
-    first = _any([of[c] & ((o < c[_O]) | ((o == c[_O]) & _not_after(k, c.key))) for c in cuts])
+    def first(cut: _Cut) -> Column:
+        value, copy = cut.cell
+        before = (o < value) | ((o == value) & _not_after(k, copy))
+        return F.col(f"`{label}`").eqNullSafe(cut.label) & before
+
+    part = F.when(_any([first(c) for c in cuts]), "test").otherwise("train").alias(name)
     # Classes whose cut falls between copies of one id.
-    tied = [c for c in cuts if c.need < c.upto]
-    part = F.when(first, "test").otherwise("train").alias(name)
+    tied = [c for c in cuts if c.need < c.rows]
     if not tied:
         return df.select("*", part)
-    is_tied = F.coalesce(_any([at[c] for c in tied]), F.lit(False))
-    return df.where(~is_tied).select("*", part).unionByName(_split_copies(df, label, at, tied, name))
-
-
-def _split_copies(df: DataFrame, label: str, at: dict, tied: list, name: str) -> DataFrame:
-    """Of the copies at a cut, only the first ones that are needed go to ``test``."""
-    parts = []
+    is_tied = F.coalesce(_any([at(c) for c in tied]), F.lit(False))
+    parts = [df.where(~is_tied).select("*", part)]
     for c in tied:
-        numbered = number_rows(df.where(at[c]), [label], "_n")
-        needed = c.need - (c.upto - c.n)
-        part = F.when(F.col("_n") <= needed, "test").otherwise("train")
-        parts.append(numbered.withColumn(name, part).drop("_n"))
+        copies = number_rows(df.where(at(c)), [label], "_n")
+        some = F.when(F.col("_n") <= c.need, "test").otherwise("train")
+        parts.append(copies.withColumn(name, some).drop("_n"))
     return reduce(DataFrame.unionByName, parts)

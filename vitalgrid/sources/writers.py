@@ -24,7 +24,7 @@ def write_labelled(df: DataFrame, path: str) -> None:
 
 def write_feature_list(spark: SparkSession, names: list[str], path: str) -> None:
     """Names joined by newlines in one row, so that their order is kept."""
-    text = spark.createDataFrame([("\n".join(names),)], "value string")
+    text = spark.range(1).select(F.lit("\n".join(names)).alias("value"))
     text.coalesce(1).write.mode("overwrite").text(path)
 
 
