@@ -216,10 +216,16 @@ UNION ALL
 SELECT 'predictions' AS name, COUNT(*) AS n FROM pred
 """
 
-# Share of (positive, negative) pairs in the right order, ties counting half.
+# Share of (positive, negative) pairs in the right order, ties counting half. The
+# score is that of ``scored``, per processed row.
 BODIES["evaluate_auc"] = """
-SELECT ROUND(SUM(pos * (neg_below + neg / 2.0)) / (SUM(pos) * SUM(neg)), 6) AS auc
+SELECT ROUND(SUM(CAST(pos AS DOUBLE) * (neg_below + neg / 2.0)) / (CAST(SUM(pos) AS DOUBLE) * SUM(neg)), 6) AS auc
 FROM (SELECT pos, neg, SUM(neg) OVER (ORDER BY risk) - neg AS neg_below
       FROM (SELECT risk, SUM(label) AS pos, SUM(1 - label) AS neg
-            FROM pred p JOIN dirty d ON p.patient_id = d.patient_id GROUP BY risk) t) u
+            FROM (SELECT CASE WHEN cholesterol > 6000 THEN 1 ELSE 0 END AS label,
+                    CAST(ROUND(CAST(1 / (1 + EXP(-(-2.0 + 0.02 * heart_rate + 0.1 * COALESCE(sleep_hours, 0.0)
+                      + CASE WHEN LOWER(sex) = 'male' THEN 0.3 ELSE 0.0 END
+                      - CAST(0.01 AS DOUBLE) * activity_days))) AS DECIMAL(20,8)), 6) AS DOUBLE) AS risk
+                  FROM processed) s
+            GROUP BY risk) t) u
 """

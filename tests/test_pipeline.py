@@ -7,7 +7,7 @@ import pytest
 from vitalgrid import config as C
 from vitalgrid.operators import features, model as trees
 from vitalgrid.plans import bindings as B, pipeline, reports
-from vitalgrid.sources import read_predictions, read_processed, read_training, schemas as S
+from vitalgrid.sources import read_labelled, read_predictions, read_processed, read_training, schemas as S
 from vitalgrid.streaming import read_scored, score_available, score_stream
 from vitalgrid.streaming.scoring import file_stream
 
@@ -115,6 +115,26 @@ def test_scoring_job_and_reports(spark, files, aggregated, trained):
     assert reports.high_risk_count(stored).first()[0] <= summary.alerts_triggered
 
 
+def test_streaming_job_equals_scoring_job(spark, files, aggregated, trained, tmp_path):
+    batch = score(spark, files, aggregated, "again-predictions")
+    pipeline.streaming_job(
+        spark, aggregated, str(files / "out" / "feature_list"), str(files / "out" / "model"),
+        str(tmp_path / "sink"), str(tmp_path / "checkpoint"),
+    ).awaitTermination()
+    columns = ("patient_id", "risk", "risk_status")
+    stream = read_scored(spark, str(tmp_path / "sink"))
+    rows = lambda df: sorted(map(tuple, df.select(*columns).collect()))
+    assert rows(stream) == rows(batch.predictions) and stream.count() == PATIENTS
+
+
+def test_training_from_written_channels(spark, files, trained):
+    train = read_labelled(spark, str(files / "out" / "train"), trained.features)
+    test = read_labelled(spark, str(files / "out" / "test"), trained.features)
+    fitted = trees.train(train, trained.features, params=SETTINGS.tree)
+    assert trees.area_under_roc(trees.score(fitted, test)) > 0.8
+    assert train.where("`Heart Attack Risk` IS NULL").count() == 0
+
+
 def test_capped_scoring_reports_all_rows(spark, files, aggregated, trained):
     run = score(spark, files, aggregated, "capped", max_rows=C.MAX_ROWS_PER_RUN)
     summary = run.summary.first()

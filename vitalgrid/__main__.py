@@ -1,4 +1,4 @@
-"""Jobs for spark-submit: aggregate, train, score, report."""
+"""Jobs for spark-submit: aggregate, train, score, stream, report."""
 
 from __future__ import annotations
 
@@ -31,6 +31,11 @@ def _arguments() -> argparse.Namespace:
     job.add_argument("--which", choices=("all", "first", "latest"), default="all")
     job.add_argument("--max-rows", type=int)
 
+    job = jobs.add_parser("stream", help="score processed files as they arrive")
+    for name in ("processed", "feature-list", "model", "sink", "checkpoint"):
+        job.add_argument(f"--{name}", required=True)
+    job.add_argument("--keep-running", action="store_true", help="instead of one pass over what is there")
+
     job = jobs.add_parser("report", help="analytics over predictions and processed files")
     for name in ("processed", "predictions", "out"):
         job.add_argument(f"--{name}", required=True)
@@ -56,6 +61,16 @@ def main() -> None:
             args.which,
         )
         run.summary.show(truncate=False)
+    elif args.job == "stream":
+        pipeline.streaming_job(
+            spark,
+            args.processed,
+            args.feature_list,
+            args.model,
+            args.sink,
+            args.checkpoint,
+            available_now=not args.keep_running,
+        ).awaitTermination()
     else:
         # Parsed once, then read as parquet by every report.
         tables = pipeline.report_job(

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from vitalgrid.session import input_bytes
 
-HOT_SHARE = 0.001  # a key with more than this share of the rows is hot
 _SALT, _HIT = "_salt", "_hit"
 
 
@@ -26,12 +25,21 @@ def _skew_floor(df: DataFrame) -> int:
     return int(digits[:-1]) * units[digits[-1]] if digits[-1] in units else int(digits)
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, min_bytes: int | None = None) -> list:
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def hot_keys(
+    df: DataFrame, key: str, share: float | None = None, min_bytes: int | None = None
+) -> list:
     """Keys that hold more than ``share`` of the rows: at most ``1 / share`` of them.
 
-    A frequent-item sketch names the candidates and one narrow aggregate counts
-    them, so no key is shuffled. Inputs too small to be skewed are not looked at.
+    By default that is twice the share of one shuffle partition, within 0.1 % and 1 %,
+    which bounds the list by 1000 keys. A frequent-item sketch names the candidates
+    and one narrow aggregate counts them, so no key is shuffled. Inputs too small to
+    be skewed are not looked at.
     """
+    share = min(max(2 / _partitions(df), 0.001), 0.01) if share is None else share
     floor = _skew_floor(df) if min_bytes is None else min_bytes
     if input_bytes(df) < floor:
         return []
@@ -59,9 +67,9 @@ def left_join(
         hot = hot_keys(right, key)
     if not hot:
         return left.join(right, key, "left")
-    salts = salts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = salts or _partitions(left)
     is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    every = F.array([F.lit(i) for i in range(salts)])
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
     lsalted = left.withColumn(_SALT, F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0)))))
     rsalted = right.withColumn(
         _SALT, F.when(is_hot, F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(F.lit(0))

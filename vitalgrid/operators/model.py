@@ -9,7 +9,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from vitalgrid.config import TARGET_COLUMN, TreeParams
+from vitalgrid.config import ID_COLUMN, TARGET_COLUMN, TreeParams
+from vitalgrid.operators.features import serving_table
+from vitalgrid.operators.scoring import Scorer
 from vitalgrid.session import shared_dir
 
 
@@ -52,6 +54,17 @@ def score(model: PipelineModel, table: DataFrame) -> DataFrame:
     )
 
 
+def serving_scorer(model: PipelineModel, expected: list[str], key: str = ID_COLUMN) -> Scorer:
+    """Raw rows under file column names to ``patient_id`` and ``score``; the same
+    for a table and for a micro-batch."""
+
+    def scorer(rows: DataFrame) -> DataFrame:
+        scored = score(model, serving_table(rows, expected, keep=(key,)))
+        return scored.select(F.col(f"`{key}`").alias("patient_id"), "score")
+
+    return scorer
+
+
 def area_under_roc(scored: DataFrame, target: str = TARGET_COLUMN, column: str = "score") -> float:
     """Exact area: one curve point per distinct score, counted before the sort."""
     evaluator = BinaryClassificationEvaluator(

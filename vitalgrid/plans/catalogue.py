@@ -184,9 +184,9 @@ def table_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Processed rows with the label of ``dirty`` as the target."""
-    labels = B.dirty(spark, sf_dir).select("patient_id", F.col("label").alias("heart_attack_risk"))
-    return B.processed(spark, sf_dir).join(labels, "patient_id")
+    """Processed rows with a target taken from the row itself; 0 without a history."""
+    target = F.when(F.col("cholesterol") > 6000, 1).otherwise(0)
+    return B.processed(spark, sf_dir).withColumn("heart_attack_risk", target)
 
 
 def evaluate_auc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,8 +6,9 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from vitalgrid import config as C
+from vitalgrid import config as C, streaming
 from vitalgrid.operators import digest, features, model as trees, scoring
 from vitalgrid.operators.split import stratified_split
 from vitalgrid.operators.vitals import processed_health
@@ -106,11 +107,8 @@ def scoring_job(
     order = order or ([C.ID_COLUMN] if C.ID_COLUMN in rows.columns else rows.columns)
     rows = scoring.with_fallback_id(rows, order)
     expected = readers.read_feature_list(spark, feature_list)
-    table = features.serving_table(
-        scoring.row_cap(rows, order, settings.max_rows), expected, keep=(C.ID_COLUMN,)
-    )
-    scored = trees.score(trees.load(model), table)
-    scored = scored.select(F.col(f"`{C.ID_COLUMN}`").alias("patient_id"), "score")
+    scorer = trees.serving_scorer(trees.load(model), expected)
+    scored = scorer(scoring.row_cap(rows, order, settings.max_rows))
     # Written once: predictions, alerts, digest and summary all read it.
     scored = staged(writers.with_scored_at(scored), "scored")
     run_id = run_id or writers.new_run_id(spark)
@@ -130,6 +128,27 @@ def scoring_job(
     )
 
 
+def streaming_job(
+    spark: SparkSession,
+    processed: str,
+    feature_list: str,
+    model: str,
+    sink: str,
+    checkpoint: str | None = None,
+    available_now: bool = True,
+    **options: object,
+) -> StreamingQuery:
+    """Score processed CSV files as they arrive. The columns are those of the header
+    of the files already there."""
+    schema = readers.read_rows(spark, processed).schema
+    source = streaming.file_stream(
+        spark, processed, schema, "csv", header=True, enforceSchema=False, **options
+    )
+    expected = readers.read_feature_list(spark, feature_list)
+    scorer = trees.serving_scorer(trees.load(model), expected)
+    return streaming.score_stream(source, scorer, sink, checkpoint, available_now=available_now)
+
+
 def report_job(
     predictions: DataFrame, processed: DataFrame, settings: C.Settings = C.Settings()
 ) -> dict[str, DataFrame]:

@@ -3,6 +3,7 @@ from vitalgrid.sources.readers import (
     pick_input,
     read_feature_list,
     read_history,
+    read_labelled,
     read_predictions,
     read_processed,
     read_rows,
@@ -21,6 +22,7 @@ __all__ = [
     "pick_input",
     "read_feature_list",
     "read_history",
+    "read_labelled",
     "read_predictions",
     "read_processed",
     "read_rows",

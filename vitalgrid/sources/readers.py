@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from vitalgrid.config import TARGET_COLUMN
 from vitalgrid.sources import schemas as S
@@ -31,6 +31,15 @@ def read_training(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return S.typed(read_rows(spark, path), S.HISTORY)
 
 
+def read_labelled(
+    spark: SparkSession, path: str, features: list[str], target: str = TARGET_COLUMN
+) -> DataFrame:
+    """A training or validation file without a header: the target, then the features."""
+    fields = [T.StructField(target, T.IntegerType())]
+    fields += [T.StructField(f, T.DoubleType()) for f in features]
+    return spark.read.schema(T.StructType(fields)).option("header", False).csv(path)
+
+
 def read_processed(
     spark: SparkSession, path: str | list[str], table: S.Table = S.PROCESSED
 ) -> DataFrame:
