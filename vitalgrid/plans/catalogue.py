@@ -200,10 +200,11 @@ def evaluate_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _trained(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train on one part of the labelled rows and score both."""
-    rows = S.to_file_names(_labelled(spark, sf_dir), S.HISTORY)
+    # Written once: levels, split and training all read it.
+    rows = S.to_file_names(staged(_labelled(spark, sf_dir), "labelled"), S.HISTORY)
     encoder = features.fit_encoder(rows, C.CATEGORICAL_COLUMNS)
     key, target = C.ID_COLUMN, C.TARGET_COLUMN
-    prepared = staged(features.training_table(rows, encoder, keep=(key,)), "features")
+    prepared = features.training_table(rows, encoder, keep=(key,))
     names = [c for c in prepared.columns if c not in (key, target)]
     parts = split_by_class(prepared, target, key)
     fitted = trees.train(parts.where("part = 'train'"), names, target, QUERY_TREES)

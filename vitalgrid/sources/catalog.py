@@ -25,7 +25,8 @@ def create_catalog(
 ) -> None:
     """Create the database and both external tables where absent, and use the database.
 
-    The predictions table reads every run folder below its location."""
+    The predictions table reads every run folder below its location. A file whose
+    header differs from the declared columns is an error."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     spark.catalog.setCurrentDatabase(database)
     for name, table, path in (
@@ -36,6 +37,7 @@ def create_catalog(
         location = path.replace("'", "\\'")
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS `{name}` ({columns}) USING csv "
-            f"OPTIONS (header 'true', recursiveFileLookup 'true') LOCATION '{location}'"
+            f"OPTIONS (header 'true', enforceSchema 'false', recursiveFileLookup 'true') "
+            f"LOCATION '{location}'"
         )
     register_functions(spark)
