@@ -198,6 +198,12 @@ SELECT patient_id, label, COALESCE(TRY_CAST(cholesterol_txt AS DOUBLE), 0.0) AS
 FROM dirty
 """
 
+BODIES["training_channels"] = f"""
+SELECT label, part, cholesterol, bp_systolic, bp_diastolic, CAST(sex_male AS DOUBLE) AS sex_male,
+  CAST(diet_unhealthy AS DOUBLE) AS diet_unhealthy, CAST(diet_healthy AS DOUBLE) AS diet_healthy
+FROM ({BODIES["training_features"]}) f JOIN (SELECT patient_id AS pid, part FROM ({BODIES["stratified_split"]}) x) s ON patient_id = pid
+"""
+
 BODIES["fallback_id"] = """
 SELECT patient_id AS line, risk_status,
   'Row' || CAST(ROW_NUMBER() OVER (ORDER BY patient_id) AS STRING) AS row_id

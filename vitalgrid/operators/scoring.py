@@ -15,7 +15,7 @@ Scorer = Callable[[DataFrame], DataFrame]
 
 
 def logistic(linear: Column) -> Column:
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-linear))
+    return 1.0 / (1.0 + F.exp(-linear))
 
 
 def with_fallback_id(df: DataFrame, order: list[str], column: str = ID_COLUMN) -> DataFrame:

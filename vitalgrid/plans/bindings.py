@@ -28,38 +28,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def vitals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e, u = F.col("event_id"), F.col("user_id")
-    # Tenths as whole numbers, divided once, give the double nearest to the decimal.
-    sleep = ((F.lit(3) + u % 6) * 10 + e % 10) / F.lit(10.0)
-    return table(spark, sf_dir, "events").select(
-        u.alias("patient_id"),
-        F.col("value").alias("heart_rate"),
-        (F.lit(100) + e % 71).alias("bp_systolic"),
-        (F.lit(60) + e % 61).alias("bp_diastolic"),
-        F.when(u % 29 == 5, None).otherwise(sleep).alias("sleep_hours"),
-        F.when(F.col("event_type") == "purchase", 1).otherwise(0).alias("physical_activity"),
+    # Tenths of an hour as whole numbers, divided once, give the double nearest to
+    # the decimal.
+    return table(spark, sf_dir, "events").selectExpr(
+        "user_id AS patient_id",
+        "value AS heart_rate",
+        "100 + event_id % 71 AS bp_systolic",
+        "60 + event_id % 61 AS bp_diastolic",
+        "CASE WHEN user_id % 29 = 5 THEN NULL"
+        " ELSE ((3 + user_id % 6) * 10 + event_id % 10) / 10D END AS sleep_hours",
+        "CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS physical_activity",
     )
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, segment = F.col("c_custkey"), F.col("c_mktsegment")
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     return (
         table(spark, sf_dir, "customer")
-        .where(key % 10 != 3)
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
-            key.alias("patient_id"),
-            F.when(key % 17 == 0, None).otherwise(F.lit(18) + key % 65).alias("age"),
-            F.when(key % 2 == 0, "Male").otherwise("Female").alias("sex"),
-            F.when(segment.isin("BUILDING", "MACHINERY"), "Unhealthy")
-            .when(segment == "FURNITURE", "Healthy")
-            .otherwise("Average")
-            .alias("diet"),
-            F.col("c_acctbal").alias("cholesterol"),
-            F.col("n_name").alias("country"),
-            F.col("r_name").alias("continent"),
+        .where("c_custkey % 10 <> 3")
+        .join(nation.withColumnRenamed("n_nationkey", "c_nationkey"), "c_nationkey")
+        .join(region.withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey")
+        .selectExpr(
+            "c_custkey AS patient_id",
+            "CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE 18 + c_custkey % 65 END AS age",
+            "CASE WHEN c_custkey % 2 = 0 THEN 'Male' ELSE 'Female' END AS sex",
+            "CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'Unhealthy'"
+            " WHEN c_mktsegment = 'FURNITURE' THEN 'Healthy' ELSE 'Average' END AS diet",
+            "c_acctbal AS cholesterol",
+            "n_name AS country",
+            "r_name AS continent",
         )
     )
 
@@ -70,13 +67,9 @@ def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def linear_scorer(df: DataFrame) -> DataFrame:
     """A fixed logistic score, which SQL can compute as well."""
-    male = F.when(F.lower("sex") == "male", 0.3).otherwise(0.0)
-    z = (
-        F.lit(-2.0)
-        + F.lit(0.02) * F.col("heart_rate")
-        + F.lit(0.1) * F.coalesce(F.col("sleep_hours"), F.lit(0.0))
-        + male
-        - F.lit(0.01) * F.col("activity_days")
+    z = F.expr(
+        "-2D + 0.02D * heart_rate + 0.1D * COALESCE(sleep_hours, 0D)"
+        " + CASE WHEN LOWER(sex) = 'male' THEN 0.3D ELSE 0D END - 0.01D * activity_days"
     )
     return df.withColumn("score", logistic(z))
 
@@ -86,10 +79,8 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_fixed_stamp(df: DataFrame) -> DataFrame:
-    second = F.lpad((F.col("patient_id") % 60).cast("string"), 2, "0")
-    return df.withColumn(
-        "scored_at", F.concat(F.lit("2025-11-24T01:04:"), second, F.lit("Z"))
-    )
+    second = "LPAD(CAST(patient_id % 60 AS STRING), 2, '0')"
+    return df.withColumn("scored_at", F.expr(f"CONCAT('2025-11-24T01:04:', {second}, 'Z')"))
 
 
 def predicted(processed_table: DataFrame) -> DataFrame:
@@ -105,21 +96,16 @@ def report_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
 
 
 def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, balance = F.col("c_custkey"), F.col("c_acctbal")
-
-    def pick(n: int, values: dict, other: Column | str | None) -> Column:
-        out = F
-        for i, v in values.items():
-            out = out.when(key % n == i, v)
-        return out.otherwise(other)
-
-    return table(spark, sf_dir, "customer").select(
-        key.alias("patient_id"),
-        pick(7, {0: None, 1: "120", 2: "abc/80", 3: "120/80/x", 4: " 118 / 77 "}, "131/85").alias("bp"),
-        pick(5, {0: "oops", 1: "", 2: None}, balance.cast("string")).alias("cholesterol_txt"),
-        pick(3, {0: "MALE", 1: "Female"}, None).alias("sex"),
-        pick(4, {0: "healthy", 1: "Unhealthy", 2: "Average"}, None).alias("diet"),
-        F.when(balance > 6000, 1).otherwise(0).alias("label"),
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS patient_id",
+        "CASE c_custkey % 7 WHEN 0 THEN NULL WHEN 1 THEN '120' WHEN 2 THEN 'abc/80'"
+        " WHEN 3 THEN '120/80/x' WHEN 4 THEN ' 118 / 77 ' ELSE '131/85' END AS bp",
+        "CASE c_custkey % 5 WHEN 0 THEN 'oops' WHEN 1 THEN '' WHEN 2 THEN NULL"
+        " ELSE CAST(c_acctbal AS STRING) END AS cholesterol_txt",
+        "CASE c_custkey % 3 WHEN 0 THEN 'MALE' WHEN 1 THEN 'Female' ELSE NULL END AS sex",
+        "CASE c_custkey % 4 WHEN 0 THEN 'healthy' WHEN 1 THEN 'Unhealthy'"
+        " WHEN 2 THEN 'Average' ELSE NULL END AS diet",
+        "CASE WHEN c_acctbal > 6000 THEN 1 ELSE 0 END AS label",
     )
 
 

@@ -97,6 +97,24 @@ def training_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def training_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both parts of the training table written without a header and read back."""
+    key, target, path = C.ID_COLUMN, C.TARGET_COLUMN, new_path(spark, "channels")
+    rows = _dirty_files(spark, sf_dir)
+    encoder = features.fit_encoder(rows, C.CATEGORICAL_COLUMNS)
+    table = features.training_table(rows, encoder, keep=(key,))
+    order = B.multiplicative_order(F.col(f"`{key}`"))
+    parts = split_by_class(table, target, key, order=order).drop(key)
+    names = [c for c in table.columns if c not in (key, target)]
+    read = []
+    for part in ("train", "test"):
+        channel = parts.where(F.col("part") == part).drop("part")
+        writers.write_labelled(channel, f"{path}/{part}")
+        back = readers.read_labelled(spark, f"{path}/{part}", names)
+        read.append(back.withColumn("part", F.lit(part)))
+    return _lower(read[0].unionByName(read[1])).withColumnRenamed(target.lower(), "label")
+
+
 def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = B.dirty(spark, sf_dir).select("patient_id", "label")
     order = B.multiplicative_order(F.col("patient_id"))
@@ -236,6 +254,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         feature_align,
         training_features,
         stratified_split,
+        training_channels,
         batch_score,
         stream_score,
         high_risk_alerts,
