@@ -199,9 +199,13 @@ FROM dirty
 """
 
 BODIES["training_channels"] = f"""
-SELECT label, part, cholesterol, bp_systolic, bp_diastolic, CAST(sex_male AS DOUBLE) AS sex_male,
+SELECT label, CASE WHEN rn <= n_test THEN 'test' ELSE 'train' END AS part,
+  cholesterol, bp_systolic, bp_diastolic, CAST(sex_male AS DOUBLE) AS sex_male,
   CAST(diet_unhealthy AS DOUBLE) AS diet_unhealthy, CAST(diet_healthy AS DOUBLE) AS diet_healthy
-FROM ({BODIES["training_features"]}) f JOIN (SELECT patient_id AS pid, part FROM ({BODIES["stratified_split"]}) x) s ON patient_id = pid
+FROM (SELECT f.*,
+        ROW_NUMBER() OVER (PARTITION BY label ORDER BY (patient_id * 2654435761) % 4294967296, patient_id) AS rn,
+        CAST(CEIL(COUNT(*) OVER (PARTITION BY label) * 0.2) AS BIGINT) AS n_test
+      FROM ({BODIES["training_features"]}) f) t
 """
 
 BODIES["fallback_id"] = """

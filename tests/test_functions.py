@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -29,6 +30,21 @@ def test_round_stable(spark, x, digits, want):
     assert value(spark, fn.round_stable(lit(x, "double"), digits)) == want
 
 
+@pytest.mark.parametrize("digits", [0, 1, 2, 3, 6])
+def test_round_stable_equals_the_decimal(spark, digits):
+    """Random values, exact ties, and values a few last bits around ties."""
+    rng = random.Random(digits)
+    xs = [rng.uniform(-1e3, 1e3) for _ in range(3000)] + [rng.uniform(-1e9, 1e9) for _ in range(500)]
+    for _ in range(3000):
+        tie = (rng.randint(-(10**5), 10**5) + 0.5) / 10**digits
+        shift = rng.choice([0.0, 1e-15, -1e-15, 1e-11, -1e-11, 4e-9, -4e-9, 6e-9, -6e-9, 1e-7, -1e-7])
+        xs.append(tie + shift)
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    want = F.expr(f"CAST(ROUND(CAST(x AS DECIMAL(20,8)), {digits}) AS DOUBLE)")
+    got = df.select("x", fn.round_stable(F.col("x"), digits).alias("got"), want.alias("want"))
+    assert got.where("got <> want").take(3) == []
+
+
 def test_round_stable_keeps_nan(spark):
     got = value(spark, fn.round_stable(lit("NaN", "double"), 2))
     assert got != got

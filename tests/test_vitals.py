@@ -70,6 +70,13 @@ def test_small_inputs_are_not_counted(spark):
     small = spark.read.parquet("/root/testdata/sf0.01/customer.parquet")
     assert hot_keys(small, "c_nationkey") == []
     assert len(hot_keys(small, "c_nationkey", min_bytes=0)) == 25
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for text, found in (("-1", 25), ("1KB", 25), ("10m", 0), ("1g", 0), ("20", 25)):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", text)
+            assert len(hot_keys(small, "c_nationkey")) == found
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
 
 
 def test_salted_join_equals_plain_join(spark):

@@ -10,11 +10,22 @@ NUMBER_PATTERN = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|inf
 
 
 def round_stable(x: Column, digits: int) -> Column:
-    """Half-up rounding through a decimal, so that the last bit of a sum taken in
-    another order does not change the result. NaN and values too large for the
-    decimal keep plain rounding."""
+    """Half-up rounding as by a decimal with eight digits, so that the last bit of a
+    sum taken in another order does not change the result.
+
+    Away from a tie the nearest whole number of units is beyond doubt, and dividing it
+    gives the double nearest to the decimal; only values close to a tie pay for the
+    decimal. NaN and values too large for it keep plain rounding.
+    """
+    unit = float(10**digits)
+    scaled = x * unit
+    whole = F.rint(scaled)
+    clear = (F.abs(scaled) < 1e12) & (F.abs(scaled - whole) < 0.49)
     exact = F.round(x.try_cast("decimal(20,8)"), digits).cast("double")
-    return F.coalesce(exact, F.round(x.cast("double"), digits))
+    # Adding 0.0 turns -0.0 into 0.0.
+    return F.when(clear, whole / unit + 0.0).otherwise(
+        F.coalesce(exact, F.round(x.cast("double"), digits))
+    )
 
 
 def to_number(text: Column) -> Column:

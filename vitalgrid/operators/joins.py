@@ -15,14 +15,13 @@ from vitalgrid.session import input_bytes
 _SALT, _HIT = "_salt", "_hit"
 
 
-def _skew_floor(df: DataFrame) -> int:
-    """Size under which Spark itself never calls a partition skewed."""
-    text = df.sparkSession.conf.get("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")
-    if text.isdigit():
-        return int(text)
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    digits = text.lower().rstrip("b")
-    return int(digits[:-1]) * units[digits[-1]] if digits[-1] in units else int(digits)
+def _broadcast_bytes(df: DataFrame) -> int:
+    """Size up to which Spark broadcasts a table, so that no shuffle can be skewed.
+
+    It is also safe for files: ten times as many bytes in a shuffle are still few."""
+    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").lower().rstrip("b")
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+    return int(text[:-1]) * units[text[-1]] if text[-1] in units else int(text)
 
 
 def _partitions(df: DataFrame) -> int:
@@ -36,12 +35,12 @@ def hot_keys(
 
     By default that is twice the share of one shuffle partition, within 0.1 % and 1 %,
     which bounds the list by 1000 keys. A frequent-item sketch names the candidates
-    and one narrow aggregate counts them, so no key is shuffled. Inputs too small to
-    be skewed are not looked at.
+    and one narrow aggregate counts them, so no key is shuffled. Inputs small enough
+    to be broadcast are not looked at.
     """
     share = min(max(2 / _partitions(df), 0.001), 0.01) if share is None else share
-    floor = _skew_floor(df) if min_bytes is None else min_bytes
-    if input_bytes(df) < floor:
+    floor = _broadcast_bytes(df) if min_bytes is None else min_bytes
+    if input_bytes(df) <= floor:
         return []
     keys = df.select(key).where(F.col(key).isNotNull())
     candidates = keys.stat.freqItems([key], share).first()[0]
