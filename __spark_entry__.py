@@ -6,10 +6,15 @@ to tests. It runs on DuckDB over the same parquet tables.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+# The package lies next to this file, wherever it is loaded from.
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
 from vitalgrid.config import Settings
 from vitalgrid.plans.catalogue import QUERIES
 
