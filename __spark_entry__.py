@@ -18,6 +18,20 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from vitalgrid.config import Settings
 from vitalgrid.plans.catalogue import QUERIES
 
+# The training-data operators and their pipeline are an optional subpackage.
+try:
+    from corpus_pipeline import ORACLE_SQL as PIPELINE_SQL
+    from corpus_pipeline import run as run_pipeline
+    from vitalgrid.llm.queries import ORACLE_SQL as LLM_SQL
+    from vitalgrid.llm.queries import QUERIES as LLM_QUERIES
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "vitalgrid.llm", "vitalgrid.llm.queries"):
+        raise
+    LLM_QUERIES, LLM_SQL = {}, {}
+else:
+    LLM_QUERIES = LLM_QUERIES | {"pipeline": run_pipeline}
+    LLM_SQL = LLM_SQL | ({"pipeline": PIPELINE_SQL} if PIPELINE_SQL else {})
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -27,12 +41,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return QUERIES | LLM_QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
     """``gbt_batch_score`` and ``gbt_evaluate`` train a model and have no SQL form."""
-    return {name: f"{PRELUDE}\n{body}" for name, body in BODIES.items()}
+    return {name: f"{PRELUDE}\n{body}" for name, body in BODIES.items()} | LLM_SQL
 
 
 PRELUDE = """
