@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vitalgrid.llm import bpe, quality
+from vitalgrid.llm import bpe, quality, substring, suffix
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,10 +16,26 @@ def op3_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_radix_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.digests(table(spark, sf_dir, "documents"))
+
+
 def op7_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op3_compression_bands, op7_segment_tree_bpe)}
+def op10_count_min_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digests(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op3_compression_bands,
+        op5_suffix_radix_sort,
+        op7_segment_tree_bpe,
+        op10_count_min_substrings,
+    )
+}
 
 ORACLE_SQL: dict[str, str] = {}

@@ -88,21 +88,52 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: int) -> np.ndarray:
-    """A 64-bit hash of every word: its blocks of eight bytes, mixed one by one."""
+def range_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, salt: int) -> np.ndarray:
+    """A 64-bit hash of every byte range: its blocks of eight bytes, mixed one by one."""
     padded = np.zeros(len(data) + 8, np.uint8)
     padded[: len(data)] = data
-    h = mix((ends - starts).astype(np.uint64) + np.uint64(salt * 0x9E3779B97F4A7C15 % 2**64 | 1))
-    at, rows = starts.copy(), np.arange(len(starts))
-    shifts = np.arange(8, dtype=np.uint64) * np.uint64(8)
-    while len(rows):
-        left = ends[rows] - at[rows]
-        block = np.zeros(len(rows), np.uint64)
-        for i in range(8):
-            byte = padded[at[rows] + i].astype(np.uint64)
-            byte[left <= i] = 0
-            block |= byte << shifts[i]
-        h[rows] = mix((h[rows] ^ block) * np.uint64(0xA0761D6478BD642F))
-        at[rows] += 8
-        rows = rows[left > 8]
+    block_at = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    h = mix(lengths.astype(np.uint64) + np.uint64(salt * 0x9E3779B97F4A7C15 % 2**64 | 1))
+    at, left, rows = starts, lengths, None
+    while len(at):
+        short = left < 8
+        block = block_at[at]
+        block[short] &= MASKS[left[short]]
+        if rows is None:
+            h = mix((h ^ block) * np.uint64(0xA0761D6478BD642F))
+        else:
+            h[rows] = mix((h[rows] ^ block) * np.uint64(0xA0761D6478BD642F))
+        more = np.flatnonzero(left > 8)
+        rows = more if rows is None else rows[more]
+        at, left = at[more] + 8, left[more] - 8
     return h
+
+
+MASKS = np.array([(1 << 8 * i) - 1 for i in range(8)], np.uint64)
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: int) -> np.ndarray:
+    return range_hashes(data, starts, ends - starts, salt)
+
+
+def unit_range_hashes(units: np.ndarray, starts: np.ndarray, lengths: np.ndarray, salt: int) -> np.ndarray:
+    """``range_hashes`` over 64-bit units such as word hashes."""
+    h = mix(lengths.astype(np.uint64) + np.uint64(salt * 0x9E3779B97F4A7C15 % 2**64 | 1))
+    for i in range(int(lengths.max(initial=0))):
+        rows = np.flatnonzero(lengths > i)
+        h[rows] = mix((h[rows] ^ units[starts[rows] + i]) * np.uint64(0xA0761D6478BD642F))
+    return h
+
+
+def short_runs(units: np.ndarray, length: int) -> np.ndarray:
+    """``run_hashes`` with 32 bits: enough to choose a place, not to tell runs apart."""
+    h, n = units.astype(np.uint32) * np.uint32(0x9E3779B1) + np.uint32(0x85EBCA6B), 1
+    h ^= h >> np.uint32(15)
+    while n < length:
+        gap = min(n, length - n)
+        if len(h) <= gap:
+            return h[:0]
+        h = h[:-gap] * np.uint32(0x9E3779B1) + h[gap:]
+        h ^= h >> np.uint32(15)
+        n += gap
+    return h * np.uint32(0x2C1B3C6D)
