@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vitalgrid.llm import bpe, quality, substring, suffix
+from vitalgrid.llm import bpe, neardup, quality, substring, suffix
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,10 @@ def op3_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op4_minhash_inverted_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.groups(table(spark, sf_dir, "documents"))
+
+
 def op5_suffix_radix_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.digests(table(spark, sf_dir, "documents"))
 
@@ -32,6 +36,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op3_compression_bands,
+        op4_minhash_inverted_join,
         op5_suffix_radix_sort,
         op7_segment_tree_bpe,
         op10_count_min_substrings,
