@@ -5,13 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vitalgrid.llm import bpe, neardup, quality, substring, suffix
+from vitalgrid.llm import bpe, contamination, neardup, quality, substring, suffix
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_seeded_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
@@ -35,6 +39,7 @@ def op10_count_min_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op2_seeded_alignment,
         op3_compression_bands,
         op4_minhash_inverted_join,
         op5_suffix_radix_sort,
