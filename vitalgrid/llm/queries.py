@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vitalgrid.llm import bpe, contamination, neardup, quality, substring, suffix
+from vitalgrid.llm import bpe, chat, contamination, neardup, pages, quality, shards, substring, suffix
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,18 @@ def op7_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op6_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_texts(table(spark, sf_dir, "pages"))
+
+
+def op8_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.render(table(spark, sf_dir, "conversations"))
+
+
+def op9_kd_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.assign(table(spark, sf_dir, "documents"))
+
+
 def op10_count_min_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digests(table(spark, sf_dir, "documents")).drop("kept_text")
 
@@ -43,9 +55,12 @@ QUERIES = {
         op3_compression_bands,
         op4_minhash_inverted_join,
         op5_suffix_radix_sort,
+        op6_line_blocks,
         op7_segment_tree_bpe,
+        op8_snapshot_collapse,
+        op9_kd_tree_shards,
         op10_count_min_substrings,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op8_snapshot_collapse": chat.SQL}
