@@ -13,7 +13,7 @@ from vitalgrid.llm import bpe
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 RANKS = bpe.read_ranks(PATH)
 LIBRARY = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
-MERGES = bpe.Merges(RANKS)
+MERGES = bpe.Merges(bpe.merge_tables(RANKS))
 
 TEXTS = [
     None, "", " ", "hello world", "<|endoftext|> is text", "é" * 300, "a" * 20000, "\n\n  x\t\ty   ", "日本語のテキスト 🙂🙃",

@@ -27,9 +27,9 @@ from pyspark.sql import types as T
 #: Pieces up to so many bytes are merged side by side.
 MATRIX_BYTES = 64
 #: A worker remembers the ids of so many different pieces, then starts afresh.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 #: Bytes of text encoded at a time.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 NONE = np.int64(2**62)
 
@@ -40,20 +40,25 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
 
 
+def merge_tables(ranks: dict[bytes, int]) -> dict:
+    """What merging needs, of plain types: the rank of every pair of tokens that forms
+    a token, as dict and as sorted arrays; and room for the pieces a worker has met."""
+    pairs = {
+        (ranks[token[:i]] << 32) | ranks[token[i:]]: rank
+        for token, rank in ranks.items()
+        for i in range(1, len(token))
+        if token[:i] in ranks and token[i:] in ranks
+    }
+    keys = np.array(sorted(pairs), np.int64)
+    return {"ranks": ranks, "pairs": pairs, "keys": keys, "found": np.array([pairs[k] for k in keys.tolist()], np.int64), "known": {}}
+
+
 class Merges:
     """Ranks of pairs of tokens, and the two ways to merge a piece."""
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
-        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
-        self.pairs = {
-            (ranks[token[:i]] << 32) | ranks[token[i:]]: rank
-            for token, rank in ranks.items()
-            for i in range(1, len(token))
-            if token[:i] in ranks and token[i:] in ranks
-        }
-        self.keys = np.array(sorted(self.pairs), np.int64)
-        self.found = np.array([self.pairs[k] for k in self.keys.tolist()], np.int64)
+    def __init__(self, tables: dict):
+        self.ranks, self.pairs, self.keys, self.found = (tables[k] for k in ("ranks", "pairs", "keys", "found"))
+        self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = (left << 32) | right
@@ -178,13 +183,14 @@ class Merges:
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
     """``docs`` with the token ids of ``text`` as array<int> column ``out``, which
     replaces a column of that name. ``ranks_path`` is read on the driver."""
-    table = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+    tables = docs.sparkSession.sparkContext.broadcast(merge_tables(read_ranks(ranks_path)))
     kept = [c for c in docs.columns if c.lower() != out.lower()]
     schema = T.StructType([*(f for f in docs.schema.fields if f.name in kept), T.StructField(out, T.ArrayType(T.IntegerType(), False), False)])
     at = kept.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merges, split, known = Merges(table.value), regex.compile(pattern), {}
+        # A worker keeps its copy of a broadcast, and with it the pieces it has met.
+        merges, split, known = Merges(tables.value), regex.compile(pattern), tables.value["known"]
         for batch in batches:
             texts = batch.column(at)
             sizes = np.cumsum([0, *((n or 0) for n in pa.compute.binary_length(texts).to_pylist())])
@@ -193,12 +199,16 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", o
                 end = max(first + 1, int(np.searchsorted(sizes, sizes[first] + SLICE_BYTES, "right")) - 1)
                 end = min(end, batch.num_rows)
                 pieces = [split.findall(t) if t else [] for t in texts[first:end].to_pylist()]
-                new = {p for doc in pieces for p in doc if p not in known}
+                coded = [list(map(known.get, doc)) for doc in pieces]
+                late = [i for i, doc in enumerate(coded) if None in doc]
+                new = {p for i in late for p, c in zip(pieces[i], coded[i]) if c is None}
                 if len(known) + len(new) > REMEMBERED:
                     known.clear()
-                    new = {p for doc in pieces for p in doc}
+                    new.update(*(pieces[i] for i in late))
                 known.update(merges.encode(list(new)))
-                coded = [b"".join(map(known.__getitem__, doc)) for doc in pieces]
+                for i in late:
+                    coded[i] = map(known.__getitem__, pieces[i])
+                coded = list(map(b"".join, coded))
                 offsets = np.cumsum([0, *(len(c) // 4 for c in coded)], dtype=np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(coded), np.int32)))
                 yield pa.RecordBatch.from_arrays([*batch.slice(first, end - first).columns, ids], names=[*kept, out])
@@ -221,7 +231,10 @@ def decode(coded: DataFrame, ranks_path: str, ids: str = "ids", out: str = "deco
         for batch in batches:
             for first in range(0, batch.num_rows, 500):
                 part = batch.slice(first, 500)
-                raw = [b"".join(map(token.__getitem__, doc)) if doc else b"" for doc in part.column(at).to_pylist()]
+                lists = part.column(at)
+                flat = list(map(token.__getitem__, lists.flatten().to_numpy(zero_copy_only=False).tolist()))
+                ends = np.cumsum([0, *(n or 0 for n in lists.value_lengths().to_pylist())]).tolist()
+                raw = [b"".join(flat[a:b]) for a, b in zip(ends, ends[1:])]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(raw, pa.binary())], names=[*kept, out])
 
     return coded.select(*(coded[c] for c in kept)).mapInArrow(run, schema)
