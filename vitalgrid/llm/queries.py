@@ -5,13 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vitalgrid.llm import bpe, chat, contamination, neardup, pages, quality, shards, substring, suffix
+from vitalgrid.llm import bpe, chat, contamination, neardup, pages, quality, shards, substring, suffix, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_seeded_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -51,6 +55,7 @@ def op10_count_min_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_kneser_ney_toxicity,
         op2_seeded_alignment,
         op3_compression_bands,
         op4_minhash_inverted_join,
