@@ -15,7 +15,7 @@ them can lose a repeat:
     at any of them. A span whose anchor stands in no other span is done with. What is
     left are the earliest ones of spans that share an anchor and differ around it:
     the edges of copied passages.
-3.  Only for those are single windows hashed (128 bits) and grouped.
+3.  Only for those are single windows hashed (96 bits) and grouped.
 
 Before each shuffle a task keeps the earliest of equal keys among its own rows and
 marks the others at once, so a passage in a third of all documents sends one key per
@@ -36,8 +36,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vitalgrid.llm import spans
 from vitalgrid.session import staged
@@ -45,9 +48,11 @@ from vitalgrid.session import staged
 #: Spans per anchor and batch that go through step 2; the others go to step 3.
 SURROUNDINGS = 4
 LEAST_ID = -(2**63)
-PACKED = "shard int, kind int, doc binary, tie binary, lo binary, n binary, a binary, b binary"
+PACKED = "shard int, kind int, size int, places binary, a binary, b binary"
 MARKS = "doc long, tie long, lo int, n int, resolve boolean"
 OUT_ROWS = 100_000
+#: Bytes of text whose spans a task holds at a time.
+HELD_BYTES = 8_000_000
 
 
 class Bytes:
@@ -154,19 +159,23 @@ def joined(rank: np.ndarray, lo: np.ndarray, n: np.ndarray) -> tuple[np.ndarray,
 
 
 def pack(shard: int, kind: int, doc: np.ndarray, tie: np.ndarray, lo: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray) -> list:
-    """One row for many; differences of ids compress well."""
-    step = lambda x: np.diff(x, prepend=np.int64(0)).tobytes()
-    return [shard, kind, step(doc), step(tie), lo.astype(np.int32).tobytes(), n.astype(np.int32).tobytes(), a.tobytes(), b.tobytes()]
+    """One row for many. Places are in order, so their differences compress well."""
+    step = lambda x: np.diff(x.astype(np.int64), prepend=np.int64(0)).tobytes()
+    places = zstandard.ZstdCompressor(level=1).compress(step(doc) + step(tie) + step(lo) + n.astype(np.int32).tobytes())
+    return [shard, kind, len(doc), places, a.tobytes(), b.tobytes()]
 
 
 def unpack(batch: pa.RecordBatch) -> Iterator[tuple[int, list[np.ndarray]]]:
-    for _, kind, doc, tie, lo, n, a, b in zip(*(c.to_pylist() for c in batch.columns)):
-        wide = lambda x: np.cumsum(np.frombuffer(x, np.int64))
-        yield kind, [wide(doc), wide(tie), np.frombuffer(lo, np.int32), np.frombuffer(n, np.int32), np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)]
+    press = zstandard.ZstdDecompressor()
+    for _, kind, size, places, a, b in zip(*(c.to_pylist() for c in batch.columns)):
+        raw = press.decompress(places)
+        doc, tie, lo = (np.cumsum(np.frombuffer(raw, np.int64, size, 8 * size * i)) for i in range(3))
+        n = np.frombuffer(raw, np.int32, size, 24 * size)
+        yield kind, [doc, tie, lo, n, np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64 if len(b) == len(a) else np.uint32)]
 
 
 def packed_batch(rows: list[list]) -> pa.RecordBatch:
-    types = [pa.int32(), pa.int32()] + [pa.binary()] * 6
+    types = [pa.int32()] * 3 + [pa.binary()] * 3
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=[f.split()[0] for f in PACKED.split(", ")])
 
 
@@ -201,11 +210,23 @@ def marks(doc, tie, lo, n, resolve: bool) -> Iterator[pa.RecordBatch]:
         )
 
 
+def parts(batches: Iterator[pa.RecordBatch], text: int, limit: int = HELD_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of at most ``limit`` bytes of text, or one row."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy())
+        first = 0
+        while first < batch.num_rows:
+            before = ends[first - 1] if first else 0
+            end = max(first + 1, int(np.searchsorted(ends, before + limit, "right")))
+            yield batch.slice(first, end - first)
+            first = end
+
+
 def batch_spans(how: Windows, shards: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Step 1 of a task: (doc, tie, text) to packed spans."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, 2):
             doc, tie = (np.asarray(batch.column(i)) for i in (0, 1))
             rank = rank_documents(doc, tie)
             found = []
@@ -282,29 +303,41 @@ def equal_spans(how: Windows) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return run
 
 
+def press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc, tie, rest, text) with the text as zstandard frame, for the shuffle."""
+    tool = zstandard.ZstdCompressor(level=3)
+    for batch in parts(batches, 3):
+        frames = [tool.compress(t.as_buffer()) for t in batch.column(3)]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(frames, pa.binary())], names=["doc", "tie", "rest", "frame"])
+
+
+def texts_of(frames: pa.Array) -> pa.Array:
+    tool = zstandard.ZstdDecompressor()
+    return pa.array([tool.decompress(f.as_buffer()) for f in frames], pa.large_binary())
+
+
 def batch_windows(how: Windows, shards: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Step 3 of a task: (doc, tie, text, spans) to packed windows."""
+    """Step 3 of a task: (doc, tie, rest, frame, spans) to packed windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for start in range(0, whole.num_rows, 1000):
-                batch = whole.slice(start, 1000)
+            asked = whole.filter(pc.is_valid(whole.column(4)))
+            for start in range(0, asked.num_rows, 500):
+                batch = asked.slice(start, 500)
                 doc, tie = (np.asarray(batch.column(i)) for i in (0, 1))
                 rank = rank_documents(doc, tie)
-                lists = batch.column(3)
+                lists = batch.column(4)
                 bounds = np.concatenate([[0], np.cumsum(np.asarray(lists.value_lengths()))])
                 packed = np.asarray(lists.flatten())
                 found = []
-                for first, end, data, offsets in spans.slices(batch.column(2), 1_000_000):
+                for first, end, data, offsets in spans.slices(texts_of(batch.column(3)), 1_000_000):
                     cut = how.units(data, offsets)
                     mine = packed[bounds[first] : bounds[end]]
                     row = np.repeat(np.arange(first, end), np.diff(bounds[first : end + 1]))
                     lo, n = mine >> 32, mine & 0xFFFFFFFF
                     row, lo = np.repeat(row, n), np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                    at, half = lo + cut.offsets[row - first], how.size // 2
-                    a = cut.ranges(at, np.full(len(at), half), 7)
-                    b = cut.ranges(at + half, np.full(len(at), how.size - half), 8)
-                    found.append((row, lo, a, b))
+                    at, size = lo + cut.offsets[row - first], np.full(len(lo), how.size)
+                    found.append((row, lo, cut.ranges(at, size, 7), (cut.ranges(at, size, 8) >> np.uint64(32)).astype(np.uint32)))
                 if not found:
                     continue
                 row, lo, a, b = (np.concatenate(c) for c in zip(*found))
@@ -355,24 +388,28 @@ def equal_windows(how: Windows) -> Callable[[Iterator[pa.RecordBatch]], Iterator
 
 
 def repeated_windows(docs: DataFrame, how: Windows) -> DataFrame:
-    """``docs`` (doc_id, text) as (doc, tie, doc_id, text, repeats): per row the starts
-    of windows that also start earlier, as array<long> of first start << 32 | count,
-    null if there are none. Runs may overlap and are in no order."""
+    """``docs`` (doc_id, text, others) as (rest, frame, repeats): all columns but the
+    text as a struct; the text compressed, see ``texts_of``; and the starts of its
+    windows that also start earlier, as array<long> of first start << 32 | count, null
+    if there are none. Runs may overlap and are in no order."""
     spark = docs.sparkSession
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = docs.select(*doc_keys(), "doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    plain = keyed.select("doc", "tie", "text")
-    found = plain.mapInArrow(batch_spans(how, shards), PACKED).repartitionById(shards, "shard").mapInArrow(equal_spans(how), MARKS)
-    found = staged(found, "spans")
+    rest = F.struct(*(docs[c] for c in docs.columns if c != "text")).alias("rest")
+    keyed = docs.select(*doc_keys(), rest, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    found = keyed.select("doc", "tie", "text").mapInArrow(batch_spans(how, shards), PACKED).repartitionById(shards, "shard")
+    found = staged(found.mapInArrow(equal_spans(how), MARKS), "spans")
     run = (F.shiftleft(F.col("lo").cast("long"), 32) + F.col("n")).alias("run")
 
     def listed(some: DataFrame) -> DataFrame:
         return some.select("doc", "tie", run).groupBy("doc", "tie").agg(F.collect_list("run").alias("repeats"))
 
-    asked = plain.join(listed(found.where("resolve")), ["doc", "tie"]).select("doc", "tie", "text", "repeats")
+    # Both joins read one exchange of the texts: the same rows, columns and join type.
+    fields = [keyed.schema[c] for c in ("doc", "tie", "rest")]
+    texts = keyed.mapInArrow(press, T.StructType([*fields, T.StructField("frame", T.BinaryType())]))
+    asked = texts.join(listed(found.where("resolve")), ["doc", "tie"], "left").select("doc", "tie", "rest", "frame", "repeats")
     more = asked.mapInArrow(batch_windows(how, shards), PACKED).repartitionById(shards, "shard").mapInArrow(equal_windows(how), MARKS)
-    every = found.where("not resolve").unionByName(staged(more, "windows"))
-    return keyed.join(listed(every), ["doc", "tie"], "left")
+    every = found.where("not resolve").unionByName(more)
+    return texts.join(listed(every), ["doc", "tie"], "left").select("rest", "frame", "repeats")
 
 
 def covered(runs: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -48,26 +48,26 @@ def digests(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and kept_text of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for text, listed in zip(batch.column(1), batch.column(2)):
-                words = text.as_buffer().to_pybytes().translate(SPACED).split(b" ")
-                words = [w for w in words if w]
-                kept = words
-                if listed.is_valid:
-                    kept, at = [], 0
-                    for a, b in zip(*(x.tolist() for x in repeats.covered(np.asarray(listed.values), size))):
-                        kept += words[at:a]
-                        at = b
-                    kept += words[at:]
-                out.append((len(words), len(words) - len(kept), b" ".join(kept)))
-            n, gone, kept = zip(*out) if out else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()), pa.array([k.decode() for k in kept], pa.string())],
-                names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"],
-            )
-
-    found = repeats.repeated_windows(docs.select("doc_id", "text"), windows(size)).select("doc_id", "text", "repeats")
+        for whole in batches:
+            for first in range(0, whole.num_rows, 500):
+                batch, out = whole.slice(first, 500), []
+                for raw, listed in zip(repeats.texts_of(batch.column(1)).to_pylist(), batch.column(2)):
+                    words = [w for w in raw.translate(SPACED).split(b" ") if w]
+                    kept = words
+                    if listed.is_valid:
+                        kept, at = [], 0
+                        for a, b in zip(*(x.tolist() for x in repeats.covered(np.asarray(listed.values), size))):
+                            kept += words[at:a]
+                            at = b
+                        kept += words[at:]
+                    out.append((len(words), len(words) - len(kept), b" ".join(kept)))
+                n, gone, kept = zip(*out)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()), pa.array([k.decode() for k in kept], pa.string())],
+                    names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"],
+                )
+
+    found = repeats.repeated_windows(docs.select("doc_id", "text"), windows(size)).select("rest.doc_id", "frame", "repeats")
     return found.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_words long, n_removed long, kept_sha256 string, kept_text string")
 
 

@@ -6,8 +6,8 @@ groups that stay equal through the last digit are the repeated windows. Only equ
 matters, not which of two unequal digits is less, so a digit is the hash of a block.
 The first pass reads one suffix per span (see ``repeats``): that at the window's
 anchor, with the anchor's bytes as digit. The next takes the span's whole surroundings
-as digit. What is equal in the first and not in the second is sorted suffix by suffix:
-first half of the window, then second half, 64 bits each.
+as digit. What is equal in the first and not in the second is sorted suffix by suffix,
+by the digits of a 96-bit hash of its window.
 
 Defined cases: null text counts as empty; a text shorter than a window loses nothing;
 a run of one byte is its own repeat, so all but its first window goes; of equal texts
@@ -25,10 +25,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vitalgrid.llm import repeats
 
-WINDOW, GRAM = 100, 40
+WINDOW, GRAM = 100, 50
 
 
 def by_digit(keys: np.ndarray) -> np.ndarray:
@@ -52,23 +53,27 @@ def windows(size: int = WINDOW, gram: int = GRAM) -> repeats.Windows:
     return repeats.Windows(size, min(gram, size), repeats.Bytes, True, by_digit)
 
 
+SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
+
+
 def find(docs: DataFrame, size: int = WINDOW) -> DataFrame:
-    """doc_id, text, spans: array of (start, end) of the maximal byte runs to remove,
-    in order; one row per row of ``docs``."""
+    """rest (all columns of ``docs`` but the text, as a struct), text, spans: array of
+    (start, end) of the maximal byte runs to remove, in order; one row per row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            spans = []
-            for listed in batch.column(2):
-                at = [] if not listed.is_valid else zip(*(x.tolist() for x in repeats.covered(np.asarray(listed.values), size)))
-                spans.append([{"start": a, "end": b} for a, b in at])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))],
-                names=["doc_id", "text", "spans"],
-            )
+        for whole in batches:
+            for first in range(0, whole.num_rows, 500):
+                batch, spans = whole.slice(first, 500), []
+                for listed in batch.column(2):
+                    at = [] if not listed.is_valid else zip(*(x.tolist() for x in repeats.covered(np.asarray(listed.values), size)))
+                    spans.append([{"start": a, "end": b} for a, b in at])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), repeats.texts_of(batch.column(1)).cast(pa.large_string()).cast(pa.string()), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))],
+                    names=["rest", "text", "spans"],
+                )
 
-    found = repeats.repeated_windows(docs.select("doc_id", "text"), windows(size)).select("doc_id", "text", "repeats")
-    return found.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text string, spans array<struct<start int, end int>>")
+    found = repeats.repeated_windows(docs, windows(size))
+    return found.mapInArrow(run, T.StructType([found.schema["rest"], T.StructField("text", T.StringType()), T.StructField("spans", SPANS)]))
 
 
 def kept_bytes(raw: bytes, spans: list) -> bytes:
@@ -93,9 +98,22 @@ def digests(docs: DataFrame, size: int = WINDOW) -> DataFrame:
             columns = [pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 4, [pa.int64()] * 3 + [pa.string()])]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    found = find(docs, size)
+    found = find(docs.select("doc_id", "text"), size).select("rest.doc_id", "text", "spans")
     return found.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def clean_text(raw: bytes, spans: list) -> str:
     return kept_bytes(raw, spans).decode("utf-8", "ignore")
+
+
+def remove(docs: DataFrame, size: int = WINDOW) -> DataFrame:
+    """``docs`` with the repeated runs taken out of the text; all rows stay."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [clean_text(t.as_buffer().to_pybytes(), s.as_py()) for t, s in zip(batch.column(1), batch.column(2))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["rest", "text"])
+
+    found = find(docs, size)
+    cut = found.mapInArrow(run, T.StructType([found.schema["rest"], T.StructField("text", T.StringType())]))
+    return cut.select(*(F.col("text") if c == "text" else F.col("rest").getField(c).alias(c) for c in docs.columns))
