@@ -167,61 +167,87 @@ def regions(item: np.ndarray, size: np.ndarray, place: np.ndarray, at: np.ndarra
     return [(i, a, b) for i, a, b, places, words in out if len(places) >= HITS or words < 4 * HITS]
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, n: int = N, least: float = LEAST) -> DataFrame:
-    """doc_id, item_id, score, end_word (in the document) for every document that
-    holds an item; the best place if there are several."""
+def prepared(docs: DataFrame, benchmark: DataFrame, n: int) -> Iterator:
+    """For every chunk of items a broadcast of ids, words and seeds."""
     spark = docs.sparkSession
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id {benchmark.schema['item_id'].dataType.simpleString()}, score double, end_word long"
-    id_types = [pa.int64() if t in ("bigint", "int") else pa.string() for t in (docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString())]
-    found = spark.createDataFrame([], schema)
-    texts = docs.select("doc_id", F.col("text").cast("string"))
+    texts = docs.select(F.col("text").cast("string"))
     for ids, raw in chunks(benchmark):
         items = item_words(raw)
         if max(map(len, items)) < n:
             continue
         table = np.unique(np.concatenate(items))
-        counts, every = word_counts(texts.select("text"), spark.sparkContext.broadcast(table))
-        shipped = spark.sparkContext.broadcast((ids, items, seeds(items, table, counts, every, n)))
+        counts, every = word_counts(texts, spark.sparkContext.broadcast(table))
+        yield spark.sparkContext.broadcast((ids, items, seeds(items, table, counts, every, n)))
+
+
+def finder(shipped, n: int, least: float):
+    """A function from texts to (row, item, score, end) of the items they hold."""
+    _, items, (seed, seed_item, seed_place) = shipped.value
+    sizes = np.array([len(w) for w in items])
+    table = np.unique(seed)
+    low, high = np.searchsorted(seed, table), np.searchsorted(seed, table, "right")
+
+    def run(texts: pa.Array) -> list[tuple[int, int, float, int]]:
+        rows = []
+        for first, _, data, offsets in spans.slices(texts, 500_000):
+            words, start = hashed_words(data, offsets)
+            keys, row, at = grams(words, start, n)
+            hit, of = lookup(table, keys)
+            # A seed may belong to several items.
+            count = high[of] - low[of]
+            hit, each = np.repeat(hit, count), np.repeat(low[of], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            item, place = seed_item[each], seed_place[each]
+            cuts = np.flatnonzero(np.diff(row[hit], prepend=-1))
+            for part in np.split(np.arange(len(hit)), cuts[1:]) if len(hit) else []:
+                r = int(row[hit[part[0]]])
+                mine, best = words[start[r] : start[r + 1]], {}
+                for i, a, b in regions(item[part], sizes[item[part]], place[part], at[hit[part]] - start[r]):
+                    a = max(a, 0)
+                    total, end = align(items[i], mine[a:b])
+                    score = total / len(items[i])
+                    if score >= least and score > best.get(i, (0.0, 0))[0]:
+                        best[i] = (score, a + end)
+                rows += [(first + r, i, score, end) for i, (score, end) in best.items()]
+        return rows
+
+    return run
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, n: int = N, least: float = LEAST) -> DataFrame:
+    """doc_id, item_id, score, end_word (in the document) for every document that
+    holds an item; the best place if there are several."""
+    item_type = benchmark.schema["item_id"].dataType.simpleString()
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id {item_type}, score double, end_word long"
+    item_arrow = {"bigint": pa.int64(), "int": pa.int32()}.get(item_type, pa.string())
+    found = docs.sparkSession.createDataFrame([], schema)
+    for shipped in prepared(docs, benchmark, n):
 
         def run(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
-            ids, items, (seed, seed_item, seed_place) = shipped.value
-            sizes = np.array([len(w) for w in items])
-            table = np.unique(seed)
-            low, high = np.searchsorted(seed, table), np.searchsorted(seed, table, "right")
+            find, ids = finder(shipped, n, least), shipped.value[0]
             for batch in batches:
-                rows = []
-                for first, _, data, offsets in spans.slices(batch.column(1), 500_000):
-                    words, start = hashed_words(data, offsets)
-                    keys, row, at = grams(words, start, n)
-                    hit, of = lookup(table, keys)
-                    # A seed may belong to several items.
-                    count = high[of] - low[of]
-                    hit, each = np.repeat(hit, count), np.repeat(low[of], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                    item, place = seed_item[each], seed_place[each]
-                    cuts = np.flatnonzero(np.diff(row[hit], prepend=-1))
-                    for part in np.split(np.arange(len(hit)), cuts[1:]) if len(hit) else []:
-                        r = int(row[hit[part[0]]])
-                        mine, best = words[start[r] : start[r + 1]], {}
-                        for i, a, b in regions(item[part], sizes[item[part]], place[part], at[hit[part]] - start[r]):
-                            a = max(a, 0)
-                            total, end = align(items[i], mine[a:b])
-                            score = total / len(items[i])
-                            if score >= least and score > best.get(i, (0.0, 0))[0]:
-                                best[i] = (score, a + end)
-                        rows += [(first + r, i, score, end) for i, (score, end) in best.items()]
-                if rows:
+                if rows := find(batch.column(1)):
                     at_row, at_item, score, end = zip(*rows)
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(pa.array(at_row)), pa.array([ids[i] for i in at_item], id_types[1]), pa.array(score, pa.float64()), pa.array(end, pa.int64())],
+                        [batch.column(0).take(pa.array(at_row)), pa.array([ids[i] for i in at_item], item_arrow), pa.array(score, pa.float64()), pa.array(end, pa.int64())],
                         names=["doc_id", "item_id", "score", "end_word"],
                     )
 
-        found = found.unionByName(texts.mapInArrow(run, schema))
+        found = found.unionByName(docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, schema))
     return found
 
 
-def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a test item. A null id is kept only if
-    no row with a null id holds one."""
-    hit = matches(docs, benchmark).select(F.col("doc_id").alias("held")).distinct()
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["held"]), "left_anti")
+def clean(docs: DataFrame, benchmark: DataFrame, n: int = N, least: float = LEAST) -> DataFrame:
+    """``docs`` without the rows that hold a test item. A row is judged where its text
+    is, so nothing is joined."""
+    at, kept = docs.columns.index("text"), docs
+    for shipped in prepared(docs, benchmark, n):
+
+        def run(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
+            find = finder(shipped, n, least)
+            for batch in batches:
+                keep = np.ones(batch.num_rows, bool)
+                keep[[row for row, *_ in find(batch.column(at))]] = False
+                yield batch.filter(pa.array(keep))
+
+        kept = kept.mapInArrow(run, docs.schema)
+    return kept
