@@ -9,17 +9,18 @@ are the connected components of the links.
 2.  A class has a signature of 128 min-hash coordinates. It is posted under each
     (coordinate, value) pair of a prefix of 10 coordinates. Classes that meet nowhere
     are done with: a pair of similarity 0.75 misses all of the prefix once in 10^6.
-3.  Links are sought where they can still change a group. For some rounds each posting
-    list proposes the pairs of its members with one hub, another one each round. A pair
-    is kept if at least 72 of the 128 coordinates collide (a pair of similarity 0.75
-    falls short once in 10^6), then confirmed. A family of n near copies takes n
-    proposals a round, not n squared, and becomes one group.
-4.  Lists whose members are all of one group are skipped from then on. In the others
-    all pairs between groups are counted, coordinate by coordinate, and confirmed. A
-    list of over 400 is first split by further coordinates, ten at a time: its members
-    are posted again under the list and a second pair, and so on, so that documents
-    that only share a frequent passage part. Where that would not halve the pairs to
-    count, the list is dealt into blocks and every two blocks are counted by a task.
+    With a posting travels one byte of each coordinate's value.
+3.  Within a posting list the collisions of two members are counted; half of the
+    coordinates settle most pairs, and the rest are skipped. A pair with at least 72 is
+    kept (a pair of similarity 0.75 falls short once in 10^6), then confirmed. A list
+    of over 4000 is first split by further coordinates, ten at a time: its members are
+    posted again under the list and a second pair, and so on, so that documents that
+    only share a frequent passage part. Where that would not halve the pairs to count,
+    the list is dealt into blocks and every two blocks are counted by a task.
+4.  Links are sought where they can still change a group. In the first rounds every
+    member proposes only the one with most collisions outside its group, so a family
+    of n near copies takes n proposals, not n squared, and becomes one group. At last
+    all pairs between groups that are still apart are proposed.
 
 Pairs within one group are not listed; copies and members are told by class and group.
 
@@ -43,7 +44,7 @@ from vitalgrid.session import staged
 
 SHINGLE, COORDINATES, PREFIX, MATCHES = 5, 128, 10, 72
 SHARE = (75, 100)
-ROUNDS, LIST = 3, 400
+ROUNDS, LIST = 2, 4000
 LEAST_ID = -(2**63)
 
 _seeds = np.random.default_rng(20240229)
@@ -73,7 +74,8 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, text) to (doc, k1, k2, n, signature)."""
+    """(doc, text) to (doc, k1, k2, n, keys, prints): a key is a coordinate of the
+    prefix and its value, a print the low bytes of all values."""
     for batch in batches:
         for first, end, data, offsets in spans.slices(batch.column(1), 500_000):
             rows = end - first
@@ -89,31 +91,23 @@ def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 # The set as a whole: sums of two independent hashes of its members.
                 for j in (0, 1):
                     key[j, some] = np.add.reduceat(spans.mix(value * FACTORS[j] + XORS[j + 2]), at)
+            keys = (np.arange(PREFIX, dtype=np.int64) << 32) | signature[:, :PREFIX]
+            prints = (signature ^ (signature >> np.uint32(9))).astype(np.uint8)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(first, rows), pa.array(key[0].view(np.int64)), pa.array(key[1].view(np.int64)), pa.array(n), pa.array([s.tobytes() for s in signature], pa.binary())],
-                names=["doc", "k1", "k2", "n", "signature"],
+                [
+                    batch.column(0).slice(first, rows),
+                    pa.array(key[0].view(np.int64)),
+                    pa.array(key[1].view(np.int64)),
+                    pa.array(n),
+                    pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * PREFIX), pa.array(keys.ravel())),
+                    pa.array([s.tobytes() for s in prints], pa.binary()),
+                ],
+                names=["doc", "k1", "k2", "n", "keys", "prints"],
             )
 
 
 def matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, COORDINATES)
-
-
-def prefix_postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(cls, signature) to (cls, key): a key is a coordinate and its value."""
-    for batch in batches:
-        values = matrix(batch.column(1))[:, :PREFIX].astype(np.int64)
-        key = (np.arange(PREFIX, dtype=np.int64) << 32) | values
-        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.asarray(batch.column(0)), PREFIX)), pa.array(key.ravel())], names=["cls", "key"])
-
-
-def colliding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keep (u, v, signature, signature) with enough collisions."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, 5000):
-            part = batch.slice(at, 5000)
-            same = (matrix(part.column(2)) == matrix(part.column(3))).sum(axis=1) >= MATCHES
-            yield pa.RecordBatch.from_arrays([part.column(0).filter(pa.array(same)), part.column(1).filter(pa.array(same))], names=["u", "v"])
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, COORDINATES)
 
 
 def confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,8 +134,9 @@ def confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def finer(level: int):
-    """(key, cls, label, signature) to the same rows once for each of the level's
-    coordinates, with a key that tells the old one (now the parent) and the value."""
+    """(key, cls, prints) to the same rows once for each of the level's coordinates,
+    with a key that tells the old one (now the parent) and the value. Such keys are
+    negative, those of the prefix are not."""
     low, high = level * PREFIX, min((level + 1) * PREFIX, COORDINATES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,10 +144,10 @@ def finer(level: int):
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
                 old = np.asarray(part.column(0)).view(np.uint64)[:, None]
-                values = matrix(part.column(3))[:, low:high].astype(np.uint64) | (np.arange(low, high, dtype=np.uint64) << np.uint64(32))
-                key = spans.mix(spans.mix(np.repeat(old, high - low, 1) + np.uint64(0x9E3779B97F4A7C15)) ^ values)
+                values = matrix(part.column(2))[:, low:high].astype(np.uint64) | (np.arange(low, high, dtype=np.uint64) << np.uint64(32))
+                key = spans.mix(spans.mix(np.repeat(old, high - low, 1) + np.uint64(0x9E3779B97F4A7C15)) ^ values) | np.uint64(1 << 63)
                 take = pa.array(np.repeat(np.arange(part.num_rows), high - low))
-                yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), *(part.column(i).take(take) for i in (1, 2, 3, 0))], names=["key", "cls", "label", "signature", "parent"])
+                yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), *(part.column(i).take(take) for i in (1, 2, 0))], names=["key", "cls", "prints", "parent"])
 
     return run
 
@@ -162,102 +157,120 @@ def in_blocks(lists: DataFrame, longest: int) -> DataFrame:
     blocks = F.ceil(F.col("members") / longest).cast("long")
     mine = F.pmod(F.xxhash64("cls"), blocks)
     other = lists.withColumn("blocks", blocks).withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    return other.select(F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("key"), "cls", "label", "signature")
+    return other.select(F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).bitwiseOR(F.lit(LEAST_ID)).alias("key"), "cls", "prints")
 
 
-def cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All (key, cls, label, signature) of some lists, sorted by key, to the pairs
-    (u, v) of a list with different labels and enough collisions."""
-    held: list[pa.RecordBatch] = []
+def list_pairs(best: bool):
+    """(key, cls, label, prints) of some lists, sorted by key, to pairs (u, v) of a
+    list with different labels and enough collisions: all of them, or for every member
+    the one with most."""
 
     def pairs(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         key, cls, label = (np.asarray(rows.column(i)) for i in range(3))
-        signature = matrix(rows.column(3))
+        prints = matrix(rows.column(3))
         cuts = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
         us, vs = [], []
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            if (label[a:b] == label[a]).all():
+                continue
+            most, partner = np.full(b - a, MATCHES - 1), np.zeros(b - a, np.int64)
             for i in range(a, b - 1):
                 other = np.flatnonzero(label[i + 1 : b] != label[i]) + i + 1
-                # Half of the coordinates settle most pairs.
-                half = (signature[other, :64] == signature[i, :64]).sum(axis=1)
+                half = (prints[other, :64] == prints[i, :64]).sum(axis=1)
                 other, half = other[half >= MATCHES - 64], half[half >= MATCHES - 64]
-                other = other[half + (signature[other, 64:] == signature[i, 64:]).sum(axis=1) >= MATCHES]
-                us.append(np.full(len(other), cls[i]))
-                vs.append(cls[other])
+                count = half + (prints[other, 64:] == prints[i, 64:]).sum(axis=1)
+                other, count = other[count >= MATCHES], count[count >= MATCHES]
+                if best:
+                    if len(other) and count.max() > most[i - a]:
+                        most[i - a], partner[i - a] = count.max(), other[count.argmax()]
+                    more = count > most[other - a]
+                    most[other[more] - a], partner[other[more] - a] = count[more], i
+                else:
+                    # Of the lists in which two meet, the one of their first common
+                    # coordinate proposes them; a list that was split may do so again.
+                    first = (prints[other, :PREFIX] == prints[i, :PREFIX]).argmax(axis=1)
+                    other = other[first == key[i] >> 32] if key[i] >= 0 else other
+                    us.append(np.full(len(other), cls[i]))
+                    vs.append(cls[other])
+            if best:
+                has = np.flatnonzero(most >= MATCHES)
+                us.append(cls[a + has])
+                vs.append(cls[partner[has]])
         if us:
             u, v = np.concatenate(us), np.concatenate(vs)
             one = np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)]), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(one[0]), pa.array(one[1])], names=["u", "v"])
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = np.asarray(batch.column(0))
-        cut = int(np.searchsorted(keys, keys[-1]))  # the last list may go on
-        if held and (cut or np.asarray(held[-1].column(0))[-1] != keys[-1]):
-            held.append(batch.slice(0, cut))
-            yield from pairs(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
-            held = [batch.slice(cut)]
-        elif cut:
-            yield from pairs(batch.slice(0, cut))
-            held = [batch.slice(cut)]
-        else:
-            held.append(batch)
-    if held:
-        yield from pairs(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        whole = lambda: pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.asarray(batch.column(0))
+            cut = int(np.searchsorted(keys, keys[-1]))  # the last list may go on
+            if held and (cut or np.asarray(held[-1].column(0))[-1] != keys[-1]):
+                held.append(batch.slice(0, cut))
+                yield from pairs(whole())
+                held = [batch.slice(cut)]
+            elif cut:
+                yield from pairs(batch.slice(0, cut))
+                held = [batch.slice(cut)]
+            else:
+                held.append(batch)
+        if held:
+            yield from pairs(whole())
+
+    return run
 
 
-def links(classes: DataFrame, texts: DataFrame, rounds: int = ROUNDS, longest: int = LIST) -> DataFrame:
-    """Confirmed links (u, v) that join every pair of similar classes, directly or by
-    others. ``classes``: cls, signature; ``texts``: cls, text."""
-    posted = classes.select("cls", "signature").mapInArrow(prefix_postings, "cls long, key long")
+def bounded_lists(classes: DataFrame, longest: int) -> DataFrame:
+    """(key, cls, prints) of posting lists of two or more, none much over ``longest``,
+    such that two classes that share a key of the prefix share one here."""
+    fields = ["key", "cls", "prints"]
+    posted = classes.select("cls", F.explode("keys").alias("key"))
+    sizes = posted.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     # Lists of one are left out before anything else is joined to them.
-    live = staged(posted.join(posted.groupBy("key").count().where("count > 1"), "key").select("key", "cls"), "postings")
-    texts = staged(texts.join(live.select("cls").distinct(), "cls", "left_semi"), "texts")
-    signed = staged(classes.join(live.select("cls").distinct(), "cls", "left_semi"), "signatures")
-
-    def confirm(pairs: DataFrame, counted: bool) -> DataFrame:
-        if not counted:
-            left, right = (signed.select(F.col("cls").alias(c), F.col("signature").alias(f"s{c}")) for c in "uv")
-            pairs = pairs.join(left, "u").join(right, "v").select("u", "v", "su", "sv").mapInArrow(colliding, "u long, v long")
-        pairs = staged(pairs, "pairs")
-        left, right = (texts.select(F.col("cls").alias(c), F.col("text").alias(f"t{c}")) for c in "uv")
-        pairs = pairs.join(left, "u").join(right, "v").select("u", "v", "tu", "tv")
-        return staged(pairs.mapInArrow(confirmed, "u long, v long"), "links")
-
-    found, lists = None, live.withColumn("label", F.col("cls"))
-    for turn in range(rounds):
-        mixed = lists.groupBy("key").agg(F.min_by("cls", F.xxhash64("cls", F.lit(turn))).alias("hub"), F.min_by("label", F.xxhash64("cls", F.lit(turn))).alias("hub_label"), (F.min("label") != F.max("label")).alias("mixed"))
-        pairs = lists.join(mixed.where("mixed").select("key", "hub", "hub_label"), "key").where("label <> hub_label")
-        new = confirm(pairs.select(F.least("cls", "hub").alias("u"), F.greatest("cls", "hub").alias("v")).distinct(), False)
-        found = new if found is None else staged(found.unionByName(new), "links")
-        labels = components(found)
-        lists = live.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("key", "cls", F.coalesce("label", "cls").alias("label"))
-        mixed = lists.groupBy("key").agg((F.min("label") != F.max("label")).alias("mixed"))
-        lists = staged(lists.join(mixed.where("mixed").select("key"), "key", "left_semi"), "lists")
-
-    fields = ["key", "cls", "label", "signature"]
-    open_lists, level, ready = lists.join(signed.select("cls", "signature"), "cls").select(fields), 1, None
+    live = staged(posted.join(sizes, "key"), "postings")
+    lists = staged(live.join(classes.select("cls", "prints"), "cls"), "lists")
+    ready, level = lists.where(F.col("members") <= longest).select(fields), 1
     while True:
-        sizes = open_lists.groupBy("key").agg(F.count("*").alias("members"), (F.min("label") != F.max("label")).alias("mixed")).where("mixed")
-        open_lists = staged(open_lists.join(sizes.select("key", "members"), "key"), "lists")
-        done = open_lists.where(F.col("members") <= longest).select(fields)
-        ready = done if ready is None else ready.unionByName(done)
-        long = open_lists.where(F.col("members") > longest)
+        long = lists.where(F.col("members") > longest)
         if long.isEmpty():
-            break
-        parts = staged(long.select(fields).mapInArrow(finer(level), "key long, cls long, label long, signature binary, parent long"), "lists")
-        work = parts.groupBy("parent", "key").count().groupBy("parent").agg(F.sum(F.col("count") * F.col("count")).alias("work"))
+            return ready
+        if (level + 1) * PREFIX > COORDINATES:
+            return ready.unionByName(in_blocks(long, longest))
+        parts = staged(long.select(fields).mapInArrow(finer(level), "key long, cls long, prints binary, parent long"), "lists")
+        sizes = staged(parts.groupBy("parent", "key").agg(F.count("*").alias("members")), "sizes")
+        work = sizes.groupBy("parent").agg(F.sum(F.col("members") * F.col("members")).alias("work"))
         pays = long.select("key", "members").distinct().join(work.withColumnRenamed("parent", "key"), "key").where("2 * work < members * members").select("key")
         ready = ready.unionByName(in_blocks(long.join(pays, "key", "left_anti"), longest))
-        open_lists = parts.join(pays.withColumnRenamed("key", "parent"), "parent", "left_semi").select(fields)
+        parts = parts.join(pays.withColumnRenamed("key", "parent"), "parent", "left_semi")
+        lists = staged(parts.join(sizes.where("members > 1"), ["parent", "key"]).select(*fields, "members"), "lists")
+        ready = ready.unionByName(lists.where(F.col("members") <= longest).select(fields))
         level += 1
-        if (level + 1) * PREFIX > COORDINATES:
-            rest = open_lists.join(open_lists.groupBy("key").agg(F.count("*").alias("members")), "key")
-            ready = ready.unionByName(in_blocks(rest, longest))
-            break
-    pairs = ready.repartition("key").sortWithinPartitions("key").mapInArrow(cross_pairs, "u long, v long")
-    return found.unionByName(confirm(pairs.where("u <> v").distinct(), True))
+
+
+def links(classes: DataFrame, texts: DataFrame, rounds: int = ROUNDS, longest: int = LIST) -> DataFrame:
+    """Confirmed links (u, v) that join every pair of similar classes, directly or by
+    others. ``classes``: cls, keys, prints; ``texts``: cls, text."""
+    lists = staged(bounded_lists(classes, longest), "lists")
+    texts = staged(texts.join(lists.select("cls").distinct(), "cls", "left_semi"), "texts")
+    found, labelled = None, lists.select("key", "cls", F.col("cls").alias("label"), "prints")
+    for turn in range(rounds + 1):
+        # A list whose members are all of one group has nothing to propose.
+        mixed = labelled.groupBy("key").agg((F.min("label") != F.max("label")).alias("mixed")).where("mixed").select("key")
+        asked = labelled.join(mixed, "key", "left_semi") if turn else labelled
+        pairs = asked.repartition("key").sortWithinPartitions("key").mapInArrow(list_pairs(turn < rounds), "u long, v long")
+        pairs = staged(pairs.where("u <> v").distinct(), "pairs")
+        left, right = (texts.select(F.col("cls").alias(c), F.col("text").alias(f"t{c}")) for c in "uv")
+        pairs = pairs.join(left, "u").join(right, "v").select("u", "v", "tu", "tv")
+        new = staged(pairs.mapInArrow(confirmed, "u long, v long"), "links")
+        found = new if found is None else found.unionByName(new)
+        if turn < rounds:
+            labels = components(found).withColumnRenamed("node", "cls")
+            labelled = lists.join(labels, "cls", "left").select("key", "cls", F.coalesce("label", "cls").alias("label"), "prints")
+    return found
 
 
 def groups(docs: DataFrame, rounds: int = ROUNDS, longest: int = LIST) -> DataFrame:
@@ -266,8 +279,8 @@ def groups(docs: DataFrame, rounds: int = ROUNDS, longest: int = LIST) -> DataFr
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID)).alias("doc")
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     keyed = docs.select(doc, text)
-    sets = staged(keyed.mapInArrow(signatures, "doc long, k1 long, k2 long, n long, signature binary"), "sets")
-    classes = staged(sets.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("doc").alias("cls"), F.first("signature").alias("signature")), "classes")
+    sets = staged(keyed.mapInArrow(signatures, "doc long, k1 long, k2 long, n long, keys array<long>, prints binary"), "sets")
+    classes = staged(sets.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("doc").alias("cls"), F.first("keys").alias("keys"), F.first("prints").alias("prints")), "classes")
     texts = keyed.withColumnRenamed("doc", "cls")
     labels = components(links(classes, texts, rounds, longest))
     member = classes.select("k1", "k2", "n", "cls").join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("k1", "k2", "n", "cls", F.coalesce("label", "cls").alias("label"))
@@ -281,3 +294,10 @@ def groups(docs: DataFrame, rounds: int = ROUNDS, longest: int = LIST) -> DataFr
         (F.col("doc") == component).alias("kept"),
         shown(F.coalesce("cls", "doc")).alias("class_id"),
     )
+
+
+def keep_first(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each group, that with the least doc_id; a repeated
+    row of it stays."""
+    kept = groups(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
