@@ -47,8 +47,9 @@ def test_levels_differing_by_case(rows):
 
 def test_too_many_levels_fail(spark):
     df = spark.range(50).selectExpr("cast(id as string) c", "'x' d")
-    with pytest.raises(ValueError, match="more than 10 levels"):
+    with pytest.raises(ValueError, match="50 levels in column 'c', more than 10"):
         ft.fit_encoder(df, ("d", "c"), max_levels=10)
+    assert len(ft.fit_encoder(df, ("d", "c")).levels) == 49
     assert len(ft.fit_encoder(df, ("d", "c"), max_levels=50).levels) == 49
 
 
@@ -91,6 +92,18 @@ def test_serving_coerces_text(spark):
     assert [r[0] for r in got] == [0.0, 0.0, 0.0, 7.0]
 
 
+def test_serving_uses_the_fitted_levels(rows):
+    keto = rows.replace({"Healthy": "Keto", "healthy": "KETO"}, subset=["Diet"])
+    encoder = ft.fit_encoder(keto, ("Diet",), ignore_case=True)
+    assert ft.Encoder.from_json(encoder.to_json()) == encoder
+    expected = [f"Diet_{v}" for _, v in encoder.levels]
+    trained = ft.feature_table(keto, encoder, keep=("Patient ID",)).select("Patient ID", *expected)
+    served = ft.serving_table(keto, expected, encoder, keep=("Patient ID",))
+    assert sorted(map(tuple, served.collect())) == sorted(map(tuple, trained.collect()))
+    with pytest.raises(ValueError, match="Diet_Keto"):
+        ft.serving_table(keto, ["Diet_Keto"])
+
+
 def test_serving_needs_its_categories(rows):
     with pytest.raises(ValueError, match="Diet"):
         ft.serving_table(rows.drop("Diet"), ["Diet_Healthy"])

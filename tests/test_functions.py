@@ -159,3 +159,27 @@ def test_parse_iso(spark):
     assert value(spark, micros) == 1763946244500000
     assert value(spark, fn.parse_iso(F.lit("zzz"))) is None
     assert isinstance(value(spark, fn.parse_iso(F.lit("2025-11-24T01:04:04Z"))), dt.datetime)
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Europe/Berlin", "Australia/Lord_Howe"])
+def test_stamps_across_clock_changes(spark, zone):
+    """Every half hour of the days around both changes keeps its UTC wall clock."""
+    from datetime import datetime, timedelta, timezone
+
+    from vitalgrid.functions import iso_utc, run_stamp
+
+    starts = [datetime(2025, m, d, tzinfo=timezone.utc) for m, d in ((3, 9), (3, 30), (4, 5), (10, 4), (10, 26), (11, 2))]
+    times = [s + timedelta(minutes=30 * i) for s in starts for i in range(60)] + [datetime(1969, 12, 31, 23, 59, 59, 250000, timezone.utc)]
+    keep = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = [(i, int(t.timestamp() // 1) * 10**6 + t.microsecond) for i, t in enumerate(times)]
+        ts = F.timestamp_micros("us")
+        got = spark.createDataFrame(rows, "i int, us bigint").select("i", iso_utc(ts).alias("iso"), run_stamp(ts).alias("run")).collect()
+        for r in got:
+            t = times[r.i]
+            fraction = f".{t.microsecond:06d}" if t.microsecond else ""
+            assert r.iso == t.strftime("%Y-%m-%dT%H:%M:%S") + fraction + "Z"
+            assert r.run == t.strftime("%Y%m%d_%H%M%S")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", keep)

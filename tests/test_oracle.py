@@ -22,4 +22,4 @@ def test_every_oracle_has_a_query():
 
 
 def test_entry(spark):
-    assert entry.entry(spark).count() == 15  # all patients of the smallest tables
+    assert entry.entry(spark).count() >= 15  # all patients of the smallest tables

@@ -8,7 +8,7 @@ from vitalgrid import config as C
 from vitalgrid.operators import features, model as trees
 from vitalgrid.plans import bindings as B, pipeline, reports
 from vitalgrid.sources import read_labelled, read_predictions, read_processed, read_training, schemas as S
-from vitalgrid.streaming import read_scored, score_available, score_stream
+from vitalgrid.streaming import read_all_rows, read_scored, score_available, score_stream
 from vitalgrid.streaming.scoring import file_stream
 
 SETTINGS = C.Settings(tree=C.TreeParams(max_iter=3, max_depth=3))
@@ -42,10 +42,11 @@ def files(spark, tmp_path_factory):
 
 @pytest.fixture(scope="module")
 def aggregated(spark, files):
-    columns = pipeline.aggregate_job(
+    shown = pipeline.aggregate_job(
         spark, str(files / "vitals.csv"), str(files / "history.csv"), str(files / "processed")
     )
-    assert columns == [n for _, n, _ in S.PROCESSED]
+    assert shown.columns == [n for _, n, _ in S.PROCESSED]
+    assert shown.rows == PATIENTS and len(shown.head) == 5
     return str(files / "processed")
 
 
@@ -78,7 +79,8 @@ def test_training_repeats_and_reloads(spark, files, trained):
     table = read_training(spark, str(files / "history.csv"))
     again = pipeline.training_job(table, str(files / "again"), SETTINGS)
     assert again.auc == trained.auc
-    rows = features.serving_table(table, trained.features, keep=("Patient ID",))
+    encoder = trees.load_encoder(spark, str(files / "out" / "model"))
+    rows = features.serving_table(table, trained.features, encoder, keep=("Patient ID",))
     scores = lambda m: [tuple(r) for r in trees.score(m, rows).select("Patient ID", "score").orderBy("Patient ID").collect()]
     loaded = trees.load(str(files / "out" / "model"))
     assert scores(loaded) == scores(trained.model)
@@ -103,7 +105,7 @@ def test_scoring_job_and_reports(spark, files, aggregated, trained):
     summary = run.summary.first()
     assert (summary.processed_rows, summary.scored_rows) == (PATIENTS, PATIENTS)
     assert 0 < summary.alerts_triggered < PATIENTS
-    assert run.alerts.count() == summary.alerts_triggered == run.digest.first().alerts
+    assert run.alerts.count() == summary.alerts_triggered == run.lines.count()
     stored = read_predictions(spark, str(files / "predictions"))
     assert stored.count() == PATIENTS
     processed = read_processed(spark, aggregated)
@@ -144,9 +146,60 @@ def test_capped_scoring_reports_all_rows(spark, files, aggregated, trained):
 
 
 def test_scoring_without_input(spark, files, trained, tmp_path):
-    run = score(spark, files, str(tmp_path), "none")
-    assert tuple(run.summary.first()) == (404, "No CSV file found.")
-    assert run.predictions is None
+    for path in (tmp_path, tmp_path / "missing"):
+        run = score(spark, files, str(path), "none")
+        assert tuple(run.summary.first()) == (404, "No CSV file found.")
+        assert run.predictions is None
+
+
+def test_seed_changes_the_split(spark, files, trained, tmp_path):
+    table = read_training(spark, str(files / "history.csv"))
+    few = C.TreeParams(max_iter=1, max_depth=2)
+    parts = lambda seed, name: (
+        pipeline.training_job(table, str(tmp_path / name), C.Settings(tree=few, seed=seed)),
+        sorted(map(tuple, spark.read.csv(str(tmp_path / name / "test")).collect())),
+    )[1]
+    assert parts(1, "a") == parts(1, "b") != parts(2, "c")
+
+
+def test_two_runs_at_once_and_their_reports(spark, files, aggregated, trained, tmp_path):
+    out, reports_to = str(tmp_path / "pred"), str(tmp_path / "rep")
+    runs = [
+        pipeline.scoring_job(
+            spark, aggregated, str(files / "out" / "feature_list"), str(files / "out" / "model"), out, report_to=reports_to
+        )
+        for _ in range(2)
+    ]
+    assert runs[0].run_id != runs[1].run_id
+    assert read_predictions(spark, out).count() == 2 * PATIENTS
+    for name in ("alerts", "alert_lines"):
+        assert spark.read.option("header", True).csv(f"{reports_to}/{name}").count() == 2 * runs[0].alerts.count()
+    assert spark.read.option("header", True).csv(f"{reports_to}/summary").count() == 2
+
+
+def test_two_triggers_with_default_settings_add_up(spark, tmp_path):
+    path, sink = str(tmp_path / "in"), str(tmp_path / "out")
+    rows = spark.createDataFrame([(i, 0.1 * i if i else None) for i in range(5)], "patient_id int, score double")
+    rows.write.parquet(path)
+    trigger = lambda **named: score_stream(file_stream(spark, path, rows.schema), lambda b: b, sink, **named).awaitTermination()
+    trigger()
+    rows.withColumn("patient_id", rows.patient_id + 10).write.mode("append").parquet(path)
+    trigger()
+    every = read_all_rows(spark, sink)
+    assert every.count() == 10 and read_scored(spark, sink).count() == 8
+    # Another checkpoint is another query: it repeats rows and deletes none.
+    trigger(checkpoint=str(tmp_path / "other"))
+    assert read_all_rows(spark, sink).count() == 20
+    summaries = spark.read.option("header", True).csv(f"{sink}/summary").collect()
+    assert sum(int(r.processed_rows) for r in summaries) == 20
+    assert sum(int(r.scored_rows) for r in summaries) == 16
+
+
+def test_stream_over_an_empty_folder(spark, files, trained, tmp_path):
+    (tmp_path / "in").mkdir()
+    pipeline.streaming_job(
+        spark, str(tmp_path / "in"), str(files / "out" / "feature_list"), str(files / "out" / "model"), str(tmp_path / "sink")
+    ).awaitTermination()
 
 
 def test_stream_in_several_batches_equals_batch(spark, tmp_path):

@@ -73,13 +73,13 @@ def test_number_rows(spark, values):
     assert {r.t for r in rows} <= {len(values)}
 
 
-@pytest.mark.parametrize("range_rows", [0, 3])
-def test_narrowing_ranges_does_not_change_the_split(spark, monkeypatch, range_rows):
-    from vitalgrid.operators import split as module
-
-    rows = [(i % 2, i) for i in range(1500)] + [(0, 7)] * 200 + [(1, None)] * 20
-    want = sorted(split(spark, rows), key=repr)
-    monkeypatch.setattr(module, "RANGE_ROWS", range_rows)
-    assert sorted(split(spark, rows), key=repr) == want
-    monkeypatch.setattr(module, "STEP_BITS", 1)
-    assert sorted(split(spark, rows, 0.5), key=repr) == sorted(split(spark, rows, 0.5), key=repr)
+def test_many_classes(spark):
+    rows = [(i % 1500, i) for i in range(4500)]
+    check(rows, split(spark, rows, 0.5), 0.5)
+
+
+def test_one_order_value_for_all(spark):
+    rows = [(i % 2, i) for i in range(1000)]
+    got = split(spark, rows, order=F.lit(5))
+    check(rows, got, 0.2)
+    assert max(i for l, i, p in got if p == "test") == 199

@@ -15,6 +15,23 @@ SPLIT_SEED = 42
 HIGH_RISK = "HIGH_RISK"
 LOW_RISK = "LOW_RISK"
 
+# Age bands, as (label, least age, greatest age). The first also takes
+# everyone younger; the last also takes an unknown age.
+AGE_BANDS = (
+    ("20-29", 20, 29),
+    ("30-39", 30, 39),
+    ("40-49", 40, 49),
+    ("50-59", 50, 59),
+    ("60-69", 60, 69),
+    ("70+", 70, None),
+)
+
+# Texts of alert messages and of a run without input.
+ALERT_SUBJECT = "Heart Health Alert Triggered"
+ALERT_HEADER = " High-Risk Patients Detected:"
+NO_INPUT_STATUS = 404
+NO_INPUT_ERROR = "No CSV file found."
+
 # Column names as they appear in files.
 ID_COLUMN = "Patient ID"
 TARGET_COLUMN = "Heart Attack Risk"
@@ -57,6 +74,5 @@ class Settings:
     triage_size: int = TRIAGE_SIZE
     test_share: float = TEST_SHARE
     seed: int = SPLIT_SEED
-    max_levels: int = 100  # distinct levels allowed in one categorical column
-    digest_lines: int = 10_000  # alert lines per digest message
+    max_levels: int | None = None  # distinct levels allowed in one categorical column
     tree: TreeParams = field(default_factory=TreeParams)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from vitalgrid.config import ALERT_THRESHOLD, HIGH_RISK, LOW_RISK
+from vitalgrid.config import AGE_BANDS, ALERT_THRESHOLD, HIGH_RISK, LOW_RISK
 
 
 def is_alert(score: Column, threshold: float = ALERT_THRESHOLD) -> Column:
@@ -20,11 +20,7 @@ def risk_status(score: Column, threshold: float = ALERT_THRESHOLD) -> Column:
 def age_band(age: Column) -> Column:
     """Ten-year bands. The first also takes everyone younger, and the last also
     takes an unknown age."""
-    return (
-        F.when(age < 30, "20-29")
-        .when(age.between(30, 39), "30-39")
-        .when(age.between(40, 49), "40-49")
-        .when(age.between(50, 59), "50-59")
-        .when(age.between(60, 69), "60-69")
-        .otherwise("70+")
-    )
+    band = F.when(age <= AGE_BANDS[0][2], AGE_BANDS[0][0])
+    for label, low, high in AGE_BANDS[1:-1]:
+        band = band.when(age.between(low, high), label)
+    return band.otherwise(AGE_BANDS[-1][0])

@@ -15,7 +15,7 @@ def round_stable(x: Column, digits: int) -> Column:
 
     Away from a tie the nearest whole number of units is beyond doubt, and dividing it
     gives the double nearest to the decimal; only values close to a tie pay for the
-    decimal. NaN and values too large for it keep plain rounding.
+    decimal. It holds numbers below 10^12; larger ones, and NaN, keep plain rounding.
     """
     unit = float(10**digits)
     scaled = x * unit

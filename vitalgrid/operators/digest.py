@@ -4,38 +4,37 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vitalgrid.config import ALERT_THRESHOLD, Settings
+from vitalgrid import config as C
 from vitalgrid.functions import is_alert
 from vitalgrid.operators.numbering import number_rows
 
-SUBJECT = "Heart Health Alert Triggered"  # fixed value: subject of an alert message
 
-
-def alert_digest(alerts: DataFrame, lines: int = Settings.digest_lines) -> DataFrame:
-    """Message text listing every alert by patient id, after a line with their number.
-
-    A message holds at most ``lines`` lines; further alerts follow in further
-    messages, so no task gathers more than one message and none is left out.
-    There is no message without alerts.
-    """
-    numbered = number_rows(alerts, ["patient_id"], "_n", total="alerts")
-    page = F.floor((F.col("_n") - 1) / lines)
+def alert_lines(alerts: DataFrame) -> DataFrame:
+    """``n``, ``alerts``, ``line``: one row per alert in the order of the ids, with the
+    number of all alerts. This is the form that any number of alerts fits."""
+    numbered = number_rows(alerts, ["patient_id"], "n", total="alerts")
     line = F.concat(
         F.col("patient_id").cast("string"), F.lit(": "), F.col("risk_score").cast("string")
     )
-    entry = F.struct(F.col("_n").alias("n"), line.alias("line"))
-    pages = numbered.groupBy(page.alias("page"), "alerts").agg(
-        F.sort_array(F.collect_list(entry)).alias("e")
+    return numbered.select("n", "alerts", line.alias("line"))
+
+
+def alert_messages(lines: DataFrame, per_message: int | None) -> DataFrame:
+    """The lines as message texts, after a line with their number. With ``per_message``
+    further lines go on in further messages; None makes one message, which one task
+    gathers whole. There is no message without alerts."""
+    page = F.lit(0) if per_message is None else F.floor((F.col("n") - 1) / per_message)
+    pages = lines.groupBy(page.cast("long").alias("page"), "alerts").agg(
+        F.sort_array(F.collect_list(F.struct("n", "line"))).alias("e")
     )
     header = F.when(
-        F.col("page") == 0,
-        F.concat(F.col("alerts").cast("string"), F.lit(" High-Risk Patients Detected:\n")),
+        F.col("page") == 0, F.concat(F.col("alerts").cast("string"), F.lit(C.ALERT_HEADER + "\n"))
     ).otherwise("")
     body = F.array_join(F.transform("e", lambda x: x.line), "\n")
     return pages.select("page", "alerts", F.concat(header, body).alias("message"))
 
 
-def run_summary(scored: DataFrame, threshold: float = ALERT_THRESHOLD) -> DataFrame:
+def run_summary(scored: DataFrame, threshold: float = C.ALERT_THRESHOLD) -> DataFrame:
     """One row: rows read, rows with a score, alerts. Details stay in tables."""
     alert = F.when(is_alert(F.col("score"), threshold), 1).otherwise(0)
     return scored.agg(
@@ -48,5 +47,5 @@ def run_summary(scored: DataFrame, threshold: float = ALERT_THRESHOLD) -> DataFr
 def no_input_summary(spark: SparkSession) -> DataFrame:
     """What a run reports when it finds no file to score."""
     return spark.range(1).select(
-        F.lit(404).alias("status"), F.lit("No CSV file found.").alias("error")
+        F.lit(C.NO_INPUT_STATUS).alias("status"), F.lit(C.NO_INPUT_ERROR).alias("error")
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -28,6 +29,14 @@ class Encoder:
     def dummies(self) -> list[Column]:
         return [self.dummy(c, v) for c, v in self.levels]
 
+    def to_json(self) -> str:
+        return json.dumps({"levels": self.levels, "ignore_case": self.ignore_case})
+
+    @staticmethod
+    def from_json(text: str) -> Encoder:
+        stored = json.loads(text)
+        return Encoder(tuple((c, v) for c, v in stored["levels"]), stored["ignore_case"])
+
 
 # The fixed levels of the serving side, compared without regard to case.
 SERVING = Encoder(C.SERVING_LEVELS, ignore_case=True)
@@ -42,11 +51,12 @@ def category_counts(df: DataFrame, column: str) -> DataFrame:
 def fit_encoder(
     df: DataFrame,
     columns: tuple[str, ...] = C.CATEGORICAL_COLUMNS,
-    max_levels: int = C.Settings.max_levels,
+    max_levels: int | None = None,
     ignore_case: bool = False,
 ) -> Encoder:
     """Learn the levels of each column; the first in sorted order is the baseline
-    and gets no dummy. A column with more than ``max_levels`` levels is an error.
+    and gets no dummy. Every level is a column of the result, and so reaches the
+    driver; a caller may name a limit, over which a column is an error.
 
     Levels that differ only by case are levels of their own, unless ``ignore_case``
     makes them one. They need a session with case-sensitive column names.
@@ -55,15 +65,15 @@ def fit_encoder(
         F.array([F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").cast("string").alias("v"))
                  for i, c in enumerate(columns)])
     )
-    # One row over the limit is enough to tell that some column has too many.
-    bound = max_levels * len(columns) + 1
     found = df.select(pairs.alias("p")).select("p.*").where("v IS NOT NULL").distinct()
-    rows = found.limit(bound).collect()
+    if max_levels is not None:
+        over = found.groupBy("i").count().where(F.col("count") > max_levels).orderBy("i").first()
+        if over:
+            raise ValueError(f"{over['count']} levels in column {columns[over.i]!r}, more than {max_levels}")
+    rows = found.collect()
     levels: list[tuple[str, str]] = []
     for i, column in enumerate(columns):
         values = sorted(r.v for r in rows if r.i == i)
-        if len(values) > max_levels or len(rows) == bound:
-            raise ValueError(f"more than {max_levels} levels in a categorical column ({column!r})")
         if ignore_case:
             firsts: dict[str, str] = {}
             for v in values:
@@ -137,5 +147,14 @@ def training_table(
 def serving_table(
     df: DataFrame, expected: list[str], encoder: Encoder = SERVING, keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Features for scoring, in the order the model was trained with."""
+    """Features for scoring, in the order the model was trained with.
+
+    ``encoder`` is the fitted one, or the fixed levels. An expected dummy that comes
+    from none of its levels is an error: filled with 0 it would change every score.
+    """
+    known = {f"{c}_{v}" for c, v in encoder.levels}
+    categorical = {*C.CATEGORICAL_COLUMNS, *(c for c, _ in encoder.levels)}
+    unknown = [f for f in expected if f not in known and any(f.startswith(f"{c}_") for c in categorical)]
+    if unknown:
+        raise ValueError(f"features of levels that the encoder does not know: {unknown}")
     return align(feature_table(df, encoder, keep), expected, keep)

@@ -10,68 +10,43 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from vitalgrid.session import input_bytes
+#: Right rows of one key that meet in one task.
+ROWS_PER_SALT = 100_000
+_SALT, _SALTS, _ROW, _HIT = "_salt", "_salts", "_row", "_hit"
 
-_SALT, _HIT = "_salt", "_hit"
 
-
-def _broadcast_bytes(df: DataFrame) -> int:
-    """Size up to which Spark broadcasts a table, so that no shuffle can be skewed.
-
-    It is also safe for files: ten times as many bytes in a shuffle are still few."""
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").lower().rstrip("b")
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-    return int(text[:-1]) * units[text[-1]] if text[-1] in units else int(text)
-
-
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def hot_keys(
-    df: DataFrame, key: str, share: float | None = None, min_bytes: int | None = None
-) -> list:
-    """Keys that hold more than ``share`` of the rows: at most ``1 / share`` of them.
-
-    By default that is twice the share of one shuffle partition, within 0.1 % and 1 %,
-    which bounds the list by 1000 keys. A frequent-item sketch names the candidates
-    and one narrow aggregate counts them, so no key is shuffled. Inputs small enough
-    to be broadcast are not looked at.
-    """
-    share = min(max(2 / _partitions(df), 0.001), 0.01) if share is None else share
-    floor = _broadcast_bytes(df) if min_bytes is None else min_bytes
-    if input_bytes(df) <= floor:
-        return []
-    keys = df.select(key).where(F.col(key).isNotNull())
-    candidates = keys.stat.freqItems([key], share).first()[0]
-    if not candidates:
-        return []
-    bucket = F.when(F.col(key).isin(candidates), F.col(key)).alias("key")
-    counts = keys.groupBy(bucket).agg(F.count("*").alias("n")).collect()
-    total = sum(r.n for r in counts)
-    return [r.key for r in counts if r.key is not None and r.n > share * total]
+def hot_keys(df: DataFrame, key: str, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+    """Keys with more than ``rows_per_salt`` rows and the salts they need: a table of
+    at most one row per ``rows_per_salt`` rows of ``df``. The count combines before
+    its shuffle and reads the key only."""
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+    salts = F.ceil(F.col("n") / rows_per_salt).cast("int").alias(_SALTS)
+    return counts.where(F.col("n") > rows_per_salt).select(key, salts)
 
 
 def left_join(
-    left: DataFrame, right: DataFrame, key: str, hot: list | None = None, salts: int | None = None
+    left: DataFrame, right: DataFrame, key: str, rows_per_salt: int = ROWS_PER_SALT
 ) -> DataFrame:
     """``left`` ⟕ ``right`` on ``key``, fan-out included.
 
-    Right rows of a hot key are spread over salts by the input split they come
-    from, which a retried task sees again unchanged; left rows of that key are
-    repeated once per salt. A hot key has a match by definition, so a repeated left
-    row without one is a copy whose salt is empty and is dropped.
+    Right rows of a hot key are spread over its salts by their place in the input,
+    which a retried task sees again unchanged; left rows of that key are repeated once
+    per salt. A hot key has a match by definition, so a repeated left row without one
+    is a copy whose salt is empty and is dropped. The plan is the same at every size.
     """
-    if hot is None:
-        hot = hot_keys(right, key)
-    if not hot:
-        return left.join(right, key, "left")
-    salts = salts or _partitions(left)
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    lsalted = left.withColumn(_SALT, F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0)))))
-    rsalted = right.withColumn(
-        _SALT, F.when(is_hot, F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(F.lit(0))
-    ).withColumn(_HIT, F.lit(True))
+    hot = hot_keys(right, key, rows_per_salt)
+    none = F.col(_SALTS).isNull()
+    every = F.sequence(F.lit(0), F.col(_SALTS) - 1)
+    lsalted = left.join(hot, key, "left").withColumn(
+        _SALT, F.explode(F.when(none, F.array(F.lit(0))).otherwise(every))
+    )
+    placed = right.where(F.col(key).isNotNull()).withColumn(_ROW, F.monotonically_increasing_id())
+    spread = F.pmod(F.xxhash64(_ROW), F.col(_SALTS)).cast("int")
+    rsalted = (
+        placed.join(hot, key, "left")
+        .withColumn(_SALT, F.when(none, F.lit(0)).otherwise(spread))
+        .withColumn(_HIT, F.lit(True))
+        .drop(_SALTS, _ROW)
+    )
     joined = lsalted.join(rsalted, [key, _SALT], "left")
-    return joined.where(~is_hot | F.col(_HIT).isNotNull()).drop(_SALT, _HIT)
+    return joined.where(none | F.col(_HIT).isNotNull()).drop(_SALT, _SALTS, _HIT)

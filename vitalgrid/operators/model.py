@@ -7,10 +7,10 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vitalgrid.config import ID_COLUMN, TARGET_COLUMN, TreeParams
-from vitalgrid.operators.features import serving_table
+from vitalgrid.operators.features import Encoder, serving_table
 from vitalgrid.operators.scoring import Scorer
 from vitalgrid.session import shared_dir
 
@@ -54,12 +54,14 @@ def score(model: PipelineModel, table: DataFrame) -> DataFrame:
     )
 
 
-def serving_scorer(model: PipelineModel, expected: list[str], key: str = ID_COLUMN) -> Scorer:
+def serving_scorer(
+    model: PipelineModel, expected: list[str], encoder: Encoder, key: str = ID_COLUMN
+) -> Scorer:
     """Raw rows under file column names to ``patient_id`` and ``score``; the same
-    for a table and for a micro-batch."""
+    for a table and for a micro-batch. ``encoder`` is that of the training."""
 
     def scorer(rows: DataFrame) -> DataFrame:
-        scored = score(model, serving_table(rows, expected, keep=(key,)))
+        scored = score(model, serving_table(rows, expected, encoder, keep=(key,)))
         return scored.select(F.col(f"`{key}`").alias("patient_id"), "score")
 
     return scorer
@@ -80,9 +82,18 @@ def evaluation(scored: DataFrame, target: str = TARGET_COLUMN, column: str = "sc
     return scored.sparkSession.range(1).select(F.lit(value).alias("auc"))
 
 
-def save(model: PipelineModel, path: str) -> None:
+def save(model: PipelineModel, path: str, encoder: Encoder) -> None:
+    """The model, and the levels it was trained with beside it."""
     model.write().overwrite().save(path)
+    spark = SparkSession.getActiveSession()
+    text = spark.range(1).select(F.lit(encoder.to_json()).alias("value"))
+    text.coalesce(1).write.mode("overwrite").text(f"{path.rstrip('/')}/encoder")
 
 
 def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def load_encoder(spark: SparkSession, path: str) -> Encoder:
+    stored = spark.read.option("wholetext", True).text(f"{path.rstrip('/')}/encoder")
+    return Encoder.from_json(stored.first().value)

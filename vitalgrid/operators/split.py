@@ -2,37 +2,24 @@
 
 Rows are put in a hashed order within their class and the first part goes to
 ``test``. Ranking a whole class would need it in one task. Instead the cut point
-of each class is found by counting: hash ranges first, narrower ones inside the one
-that holds the cut while it is large, then the ids in it. With the cut points known,
-the split is a comparison on each row and moves no data.
+of each class is found by counting: hash ranges first, then narrower ones inside the
+one that holds the cut. With the cuts known the split is a comparison on each row; only
+the rows at the cut itself are ranked, by distributed numbering.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from decimal import Decimal
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from vitalgrid.config import SPLIT_SEED, TEST_SHARE
 from vitalgrid.operators.numbering import number_rows
+from vitalgrid.session import staged
 
 ORDER_BITS = 32
-STEP_BITS = 12  # a range is cut into 2^12 narrower ones, so a task emits few counts
-RANGE_ROWS = 1_000_000  # a range with more rows is narrowed again before ids are ranked
-MAX_CLASSES = 1000
-_O, _CELL = "_order", "_cell"
-
-
-@dataclass(frozen=True)
-class _Cut:
-    """Where the cut of a class lies, and how many rows from there on are ``test``."""
-
-    label: object
-    cell: object  # hash range, as the order shifted right, or the pair (order, key)
-    rows: int
-    need: int
+SHIFTS = (20, 8, 0)  # a range is cut into 2^12 narrower ones, so a task emits few counts
+_O, _CELL, _NEED, _LABEL = "_order", "_cell", "_need", "_label"
 
 
 def hashed_order(key: Column, seed: int = SPLIT_SEED) -> Column:
@@ -40,60 +27,37 @@ def hashed_order(key: Column, seed: int = SPLIT_SEED) -> Column:
     return F.xxhash64(key, F.lit(seed)).bitwiseAND(F.lit((1 << ORDER_BITS) - 1))
 
 
-def _not_after(key: Column, value) -> Column:
-    """``key <= value`` in an ascending order with NULL first."""
-    return key.isNull() if value is None else key.isNull() | (key <= value)
-
-
-def _any(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions, F.lit(False))
-
-
-def _cuts(counts: DataFrame, by: list[str], need: Column) -> list[_Cut]:
-    """The row of ``counts`` in which the running count of a class reaches ``need``."""
-    order = Window.partitionBy("label").orderBy(*by)
+def _cuts(counts: DataFrame) -> DataFrame:
+    """Of each class the cell in which the running count reaches ``need``, and how many
+    of its rows are ``test``. A class has at most 2^12 cells here."""
+    order = Window.partitionBy(_LABEL).orderBy(_CELL)
     running = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    found = (
-        counts.select("*", running.alias("upto"), need.alias("need"))
-        .where("need > upto - n AND need <= upto")
-        .limit(MAX_CLASSES + 1)
-        .collect()
-    )
-    if len(found) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
-    cells = [tuple(r[c] for c in by) for r in found]
-    return [
-        _Cut(r.label, c if len(c) > 1 else c[0], r.n, r.need - (r.upto - r.n))
-        for r, c in zip(found, cells)
-    ]
-
-
-def _needed(cuts: list[_Cut]) -> Column:
-    none = F.when(F.lit(False), F.lit(0))
-    return reduce(lambda c, cut: c.when(F.col("label").eqNullSafe(cut.label), cut.need), cuts, none)
-
-
-def _inside(cuts: list[_Cut], shift: int) -> Column:
-    return _any(
-        [F.col("label").eqNullSafe(c.label) & (F.shiftright(_O, shift) == c.cell) for c in cuts]
+    return (
+        counts.withColumn("upto", running)
+        .where(f"{_NEED} > upto - n AND {_NEED} <= upto")
+        .select(_LABEL, _CELL, (F.col(_NEED) - F.col("upto") + F.col("n")).alias(_NEED))
     )
 
 
-def _find_cuts(narrow: DataFrame, share: float) -> list[_Cut]:
-    n = F.count("*").alias("n")
-    wanted = F.ceil(
-        F.sum("n").over(Window.partitionBy("label")) * F.lit(Decimal(str(share)))
-    ).cast("bigint")
-    shift, rows, need = ORDER_BITS, narrow, wanted
-    while True:
-        shift = max(shift - STEP_BITS, 0)
-        counts = rows.groupBy("label", F.shiftright(_O, shift).alias(_CELL)).agg(n)
-        cuts = _cuts(counts, [_CELL], need)
-        rows, need = narrow.where(_inside(cuts, shift)), _needed(cuts)
-        if shift == 0 or all(c.rows <= RANGE_ROWS for c in cuts):
-            break
-    # Copies of an id count as one row here.
-    return _cuts(rows.groupBy("label", _O, "key").agg(n), [_O, "key"], need) if cuts else []
+def find_cuts(narrow: DataFrame, share: float) -> DataFrame:
+    """One row per class: the order value at which it is cut, and how many rows with
+    that value are ``test``. A class without test rows has none."""
+    sizes = narrow.groupBy(_LABEL).agg(F.count("*").alias("n"))
+    wanted = F.ceil(F.col("n") * F.lit(Decimal(str(share)))).cast("bigint")
+    cuts = sizes.select(_LABEL, wanted.alias(_NEED))
+    above = None
+    for shift in SHIFTS:
+        cell = F.shiftright(_O, shift)
+        rows = narrow
+        if above is not None:
+            inside = cuts.select(F.col(_LABEL).alias("l"), F.col(_CELL).alias("c"))
+            rows = narrow.join(inside, F.col(_LABEL).eqNullSafe(F.col("l")) & (F.shiftright(_O, above) == F.col("c")), "left_semi")
+        counts = rows.groupBy(_LABEL, cell.alias(_CELL)).agg(F.count("*").alias("n"))
+        need = cuts.select(F.col(_LABEL).alias("l"), _NEED)
+        counts = counts.join(need, F.col(_LABEL).eqNullSafe(F.col("l"))).drop("l")
+        # One row per class.
+        cuts, above = staged(_cuts(counts), "cuts"), shift
+    return cuts
 
 
 def stratified_split(
@@ -103,32 +67,25 @@ def stratified_split(
     share: float = TEST_SHARE,
     order: Column | None = None,
     name: str = "part",
+    seed: int = SPLIT_SEED,
 ) -> DataFrame:
     """Add ``part``: of each class, ``ceil(share * n)`` rows are ``test``, the others
-    ``train``. Rows come in the order of ``order`` (0 .. 2^32 - 1), then ``key``."""
-    k = F.col(f"`{key}`")
-    o = hashed_order(k) if order is None else order
-    narrow = df.select(F.col(f"`{label}`").alias("label"), k.alias("key"), o.alias(_O))
-    cuts = _find_cuts(narrow, share)
-
-    def at(cut: _Cut) -> Column:
-        value, copy = cut.cell
-        return (F.col(f"`{label}`").eqNullSafe(cut.label) & (o == value)) & k.eqNullSafe(copy)
-
-    def first(cut: _Cut) -> Column:
-        value, copy = cut.cell
-        before = (o < value) | ((o == value) & _not_after(k, copy))
-        return F.col(f"`{label}`").eqNullSafe(cut.label) & before
-
-    part = F.when(_any([first(c) for c in cuts]), "test").otherwise("train").alias(name)
-    # Classes whose cut falls between copies of one id.
-    tied = [c for c in cuts if c.need < c.rows]
-    if not tied:
-        return df.select("*", part)
-    is_tied = F.coalesce(_any([at(c) for c in tied]), F.lit(False))
-    parts = [df.where(~is_tied).select("*", part)]
-    for c in tied:
-        copies = number_rows(df.where(at(c)), [label], "_n")
-        some = F.when(F.col("_n") <= c.need, "test").otherwise("train")
-        parts.append(copies.withColumn(name, some).drop("_n"))
-    return reduce(DataFrame.unionByName, parts)
+    ``train``. Rows come in the order of ``order`` (0 .. 2^32 - 1; by default a hash
+    with ``seed``), then ``key``; copies of a key in any order."""
+    k, l = F.col(f"`{key}`"), F.col(f"`{label}`")
+    o = hashed_order(k, seed) if order is None else order
+    # Read by every pass, so written once.
+    narrow = staged(df.select(l.alias(_LABEL), o.alias(_O)), "order")
+    cuts = find_cuts(narrow, share).withColumnRenamed(_LABEL, "_cut_label")
+    placed = df.withColumn(_O, o).join(cuts, l.eqNullSafe(F.col("_cut_label")), "left")
+    helpers = (_O, _CELL, _NEED, "_cut_label")
+    at_cut = F.coalesce(F.col(_O) == F.col(_CELL), F.lit(False))
+    part = F.when(F.col(_O) < F.col(_CELL), "test").otherwise("train")
+    clear = placed.where(~at_cut).withColumn(name, part)
+    # Rows of a class at its cut: numbered over all classes, then from the class's first.
+    ranked = number_rows(placed.where(at_cut), [label, key], "_n")
+    first = ranked.groupBy(l.alias("_first_label")).agg(F.min("_n").alias("_first"))
+    ranked = ranked.join(first, l.eqNullSafe(F.col("_first_label"))).withColumn(
+        name, F.when(F.col("_n") - F.col("_first") < F.col(_NEED), "test").otherwise("train")
+    )
+    return clear.drop(*helpers).unionByName(ranked.drop(*helpers, "_n", "_first", "_first_label"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from vitalgrid.functions import bp_text, round_stable
-from vitalgrid.operators.joins import left_join
+from vitalgrid.operators.joins import ROWS_PER_SALT, left_join
 from vitalgrid.sources.schemas import HISTORY
 from vitalgrid.config import STALE_HISTORY_COLUMNS
 
@@ -37,7 +37,9 @@ def drop_stale(history: DataFrame) -> DataFrame:
     return history.drop(*STALE)
 
 
-def processed_health(vitals: DataFrame, history: DataFrame, hot: list | None = None) -> DataFrame:
+def processed_health(
+    vitals: DataFrame, history: DataFrame, rows_per_salt: int = ROWS_PER_SALT
+) -> DataFrame:
     """One row per patient with vitals (more if the history repeats the id)."""
     weekly = with_blood_pressure(weekly_vitals(vitals))
-    return left_join(weekly, drop_stale(history), "patient_id", hot)
+    return left_join(weekly, drop_stale(history), "patient_id", rows_per_salt)

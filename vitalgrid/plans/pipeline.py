@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from vitalgrid import config as C, streaming
@@ -14,18 +14,31 @@ from vitalgrid.operators.split import stratified_split
 from vitalgrid.operators.vitals import processed_health
 from vitalgrid.plans import reports
 from vitalgrid.session import staged
-from vitalgrid.sources import readers, writers
+from vitalgrid.sources import readers, schemas, writers
+
+
+@dataclass(frozen=True)
+class Preview:
+    """What a job shows of its result: columns, number of rows, and the first of them."""
+
+    columns: list[str]
+    rows: int
+    head: list[Row]
+
+
+def preview(df: DataFrame, rows: int = 5) -> Preview:
+    return Preview(df.columns, df.count(), df.take(rows))
 
 
 def aggregate_job(
     spark: SparkSession, vitals: str, history: str, out: str, single_file: bool = False
-) -> list[str]:
-    """Weekly profiles joined to the history, as CSV. Returns the column names."""
+) -> Preview:
+    """Weekly profiles joined to the history, as CSV."""
     processed = processed_health(
         readers.read_vitals(spark, vitals), readers.read_history(spark, history)
     )
     writers.write_processed(processed, out, single_file)
-    return processed.columns
+    return preview(readers.read_processed(spark, out, schemas.table_of(processed)))
 
 
 @dataclass(frozen=True)
@@ -55,10 +68,12 @@ def training_job(
         table = table.where(F.col(f"`{target}`").isNotNull())
     categorical = tuple(c for c in C.CATEGORICAL_COLUMNS if c in table.columns)
     encoder = features.fit_encoder(table, categorical, settings.max_levels)
-    # Written once: the split, both files and every round of training read it.
-    prepared = staged(features.training_table(table, encoder, target, keep=(key,)), "features")
+    prepared = features.training_table(table, encoder, target, keep=(key,))
     names = [c for c in prepared.columns if c not in (key, target)]
-    parts = stratified_split(prepared, target, key, settings.test_share, name="_part")
+    parts = stratified_split(
+        prepared, target, key, settings.test_share, name="_part", seed=settings.seed
+    )
+    # Written once: both files and every round of training read it.
     parts = staged(parts.drop(key), "parts")
     train = parts.where("_part = 'train'").drop("_part")
     test = parts.where("_part = 'test'").drop("_part")
@@ -66,8 +81,8 @@ def training_job(
     writers.write_labelled(train, f"{out}/train")
     writers.write_labelled(test, f"{out}/test")
     writers.write_feature_list(spark, names, f"{out}/feature_list")
-    fitted = trees.train(train, names, target, settings.tree)
-    trees.save(fitted, f"{out}/model")
+    fitted = trees.train(train, names, target, replace(settings.tree, seed=settings.seed))
+    trees.save(fitted, f"{out}/model", encoder)
     auc = trees.area_under_roc(trees.score(fitted, test), target)
     return Training(fitted, names, auc)
 
@@ -80,7 +95,7 @@ class ScoringRun:
     scored: DataFrame | None = None
     predictions: DataFrame | None = None
     alerts: DataFrame | None = None
-    digest: DataFrame | None = None
+    lines: DataFrame | None = None
     run_id: str | None = None
 
 
@@ -94,36 +109,44 @@ def scoring_job(
     which: str = "all",
     order: list[str] | None = None,
     run_id: str | None = None,
+    report_to: str | None = None,
 ) -> ScoringRun:
     """Score processed CSV files and add the run to the predictions folder.
 
     ``order`` gives the row order for a row cap or for made-up ids; without a cap and
-    with ids in the file it is not needed.
+    with ids in the file it is not needed. A named run replaces itself; otherwise every
+    run has a name of its own. Alerts, alert lines and summary are written below
+    ``report_to``.
     """
     files = readers.pick_input(spark, processed, which)
     if not files:
-        return ScoringRun(digest.no_input_summary(spark))
-    rows = readers.read_rows(spark, files)
+        summary = digest.no_input_summary(spark)
+        if report_to:
+            writers.write_run(summary, f"{report_to.rstrip('/')}/no_input", run_id or writers.new_run_id(spark), run_id is not None)
+        return ScoringRun(summary)
+    rows = readers.read_rows(spark, files, **readers.LISTING)
     order = order or ([C.ID_COLUMN] if C.ID_COLUMN in rows.columns else rows.columns)
     rows = scoring.with_fallback_id(rows, order)
     expected = readers.read_feature_list(spark, feature_list)
-    scorer = trees.serving_scorer(trees.load(model), expected)
+    scorer = trees.serving_scorer(trees.load(model), expected, trees.load_encoder(spark, model))
     scored = scorer(scoring.row_cap(rows, order, settings.max_rows))
-    # Written once: predictions, alerts, digest and summary all read it.
+    # Written once: predictions, alerts, lines and summary all read it.
     scored = staged(writers.with_scored_at(scored), "scored")
-    run_id = run_id or writers.new_run_id(spark)
+    named, run_id = run_id is not None, run_id or writers.new_run_id(spark)
     stored = scoring.predictions(scored, settings.alert_threshold)
-    writers.write_predictions(stored, predictions, run_id)
+    writers.write_predictions(stored, predictions, run_id, replace=named)
     alerts = scoring.alerts(scored, settings.alert_threshold)
     summary = digest.run_summary(scored, settings.alert_threshold)
     if settings.max_rows is not None:
         summary = summary.withColumn("processed_rows", F.lit(rows.count()).cast("bigint"))
+    if report_to:
+        streaming.write_reports(scored, report_to.rstrip("/"), run_id, settings.alert_threshold, replace=named)
     return ScoringRun(
         summary=summary,
         scored=scored,
         predictions=stored,
         alerts=alerts,
-        digest=digest.alert_digest(alerts, settings.digest_lines),
+        lines=digest.alert_lines(alerts),
         run_id=run_id,
     )
 
@@ -136,16 +159,19 @@ def streaming_job(
     sink: str,
     checkpoint: str | None = None,
     available_now: bool = True,
+    schema: T.StructType | None = None,
     **options: object,
 ) -> StreamingQuery:
-    """Score processed CSV files as they arrive. The columns are those of the header
-    of the files already there."""
-    schema = readers.read_rows(spark, processed).schema
-    source = streaming.file_stream(
-        spark, processed, schema, "csv", header=True, enforceSchema=False, **options
-    )
+    """Score processed CSV files as they arrive. The columns are those named, else those
+    of the header of the files already there, else those of the processed table."""
+    if schema is None and readers.pick_input(spark, processed):
+        schema = readers.read_rows(spark, processed, **readers.LISTING).schema
+    if schema is None:
+        schema = T.StructType([T.StructField(f, T.StringType()) for f, _, _ in schemas.PROCESSED])
+    options = {"header": True, "enforceSchema": False, **readers.QUOTES, **readers.LISTING, **options}
+    source = streaming.file_stream(spark, processed, schema, "csv", **options)
     expected = readers.read_feature_list(spark, feature_list)
-    scorer = trees.serving_scorer(trees.load(model), expected)
+    scorer = trees.serving_scorer(trees.load(model), expected, trees.load_encoder(spark, model))
     return streaming.score_stream(source, scorer, sink, checkpoint, available_now=available_now)
 
 

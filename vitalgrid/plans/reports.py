@@ -10,34 +10,42 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from vitalgrid.config import ALERT_THRESHOLD, TRIAGE_SIZE
-from vitalgrid.functions import age_band, parse_iso, round_stable
+from vitalgrid.config import AGE_BANDS, ALERT_THRESHOLD, TRIAGE_SIZE
+from vitalgrid.functions import age_band, is_alert, parse_iso, round_stable
 from vitalgrid.session import cut_lineage
 
-MAX_TRIAGE = 10_000  # rows broadcast to the processed table
+TRIAGE_BROADCAST = 10_000  # so many picked rows are broadcast to the processed table
 TRIAGE_DETAILS = ("age", "sex", "cholesterol", "blood_pressure", "country")
 
 
+def _known(column: str) -> Column:
+    """NaN tells no more than NULL: it ranks last and stays out of averages."""
+    return F.nanvl(column, F.lit(None).cast("double"))
+
+
 def triage_top_risk(
     predictions: DataFrame, processed: DataFrame, limit: int = TRIAGE_SIZE
 ) -> DataFrame:
     """Highest risks first, each with its patient's details where there are any.
 
     A left join keeps every prediction, so only the first ``limit`` predictions can
-    reach the result. They are picked before the join (per task, then merged) and
-    broadcast, so neither table is shuffled.
+    reach the result. They are picked before the join (per task, then merged) and, up
+    to ``TRIAGE_BROADCAST``, broadcast, so neither table is shuffled. A longer list is
+    joined as it is.
     """
-    if limit > MAX_TRIAGE:
-        raise ValueError(f"limit is {limit}, at most {MAX_TRIAGE} rows are broadcast")
-    rank = [F.desc_nulls_last("predicted_risk"), F.asc_nulls_last("patient_id")]
+    rank = [F.desc_nulls_last(_known("predicted_risk")), F.asc_nulls_last("patient_id")]
     stamped = predictions.select(
         "patient_id",
         F.col("risk").alias("predicted_risk"),
         "risk_status",
         parse_iso(F.col("scored_at")).alias("scored_at"),
     )
-    top = cut_lineage(stamped.orderBy(*rank).limit(limit))
+    columns = ["patient_id", "predicted_risk", "risk_status", "scored_at", *TRIAGE_DETAILS]
     details = processed.select("patient_id", *TRIAGE_DETAILS)
+    top = stamped.orderBy(*rank).limit(limit)
+    if limit > TRIAGE_BROADCAST:
+        return top.join(details, "patient_id", "left").orderBy(*rank).limit(limit).select(columns)
+    top = cut_lineage(top)
     hits = details.join(F.broadcast(top), "patient_id").orderBy(*rank).limit(limit)
     # Top rows without details: those of patients that no hit is about.
     both = hits.withColumn("_hit", F.lit(1)).unionByName(
@@ -45,22 +53,19 @@ def triage_top_risk(
     )
     any_hit = F.max("_hit").over(Window.partitionBy("patient_id"))
     found = both.withColumn("_any", any_hit).where("_hit = _any")
-    return (
-        found.orderBy(*rank)
-        .limit(limit)
-        .select("patient_id", "predicted_risk", "risk_status", "scored_at", *TRIAGE_DETAILS)
-    )
+    return found.orderBy(*rank).limit(limit).select(columns)
 
 
 def high_risk_count(predictions: DataFrame, threshold: float = ALERT_THRESHOLD) -> DataFrame:
     """Predictions whose stored risk is over the threshold."""
-    return predictions.where(F.col("risk") > threshold).agg(F.count("*").alias("high_risk_count"))
+    high = predictions.where(is_alert(F.col("risk"), threshold))
+    return high.agg(F.count("*").alias("high_risk_count"))
 
 
 def _risk_per_patient(predictions: DataFrame) -> DataFrame:
     return predictions.groupBy("patient_id").agg(
-        F.sum("risk").alias("risk_sum"),
-        F.count("risk").alias("risk_n"),
+        F.sum(_known("risk")).alias("risk_sum"),
+        F.count(_known("risk")).alias("risk_n"),
         F.count("*").alias("records"),
     )
 
@@ -81,11 +86,19 @@ def _patients() -> Column:
 
 
 def risk_by_age_band(predictions: DataFrame, processed: DataFrame) -> DataFrame:
-    bands = processed.groupBy("patient_id", age_band(F.col("age")).alias("age_group")).agg(
-        F.count("*").alias("rows")
+    """Rows are counted per patient and band in one row per patient, so that the join
+    reuses the partitioning of the counts; the bands come apart after it."""
+    band = age_band(F.col("age"))
+    counts = processed.groupBy("patient_id").agg(
+        *[F.count_if(band == label).alias(label) for label, _, _ in AGE_BANDS]
+    )
+    bands = F.array(
+        *[F.struct(F.lit(label).alias("age_group"), F.col(f"`{label}`").alias("rows")) for label, _, _ in AGE_BANDS]
     )
     return (
-        bands.join(_risk_per_patient(predictions), "patient_id")
+        counts.join(_risk_per_patient(predictions), "patient_id")
+        .select("risk_sum", "risk_n", "records", F.inline(bands))
+        .where("rows > 0")
         .groupBy("age_group")
         .agg(_mean("risk", "rows", 3).alias("avg_predicted_risk"), _patients())
         .orderBy("age_group")

@@ -1,8 +1,7 @@
-"""Session helpers: the shared folder for cut lineage, and input sizes."""
+"""Session helpers: the shared folder for cut lineage and staged tables."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,24 +10,36 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    A temporary folder is made only when the session names none and runs in one
-    JVM; a cluster without the setting is an error, because a machine-local
-    folder does not outlive its executor.
+    Where the session names none and driver and executors are one JVM, a folder in the
+    warehouse is used. A cluster without the setting is an error, because a
+    machine-local folder does not outlive its executor.
     """
     sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named and not sc.getCheckpointDir():
-        if not sc.master.startswith("local"):
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not named:
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        named = tempfile.mkdtemp(prefix="vitalgrid-")
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(named)
-    return named or sc.getCheckpointDir()
+    return named
+
+
+def run_dir(spark: SparkSession) -> str:
+    """What this application stages lies below one folder."""
+    return f"{shared_dir(spark).rstrip('/')}/staged-{spark.sparkContext.applicationId}"
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Delete everything this application has staged. Tables that read it are of no
+    use afterwards, so a job calls this when its results are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that no other run uses."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A path below the shared folder that nothing else uses."""
+    return f"{run_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -43,9 +54,3 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def input_bytes(df: DataFrame) -> int:
-    """Summed size of the tables under ``df``, from Spark's own statistics."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))

@@ -1,5 +1,6 @@
-from vitalgrid.sources.catalog import create_catalog, register_functions
+from vitalgrid.sources.catalog import add_runs, create_catalog, register_functions
 from vitalgrid.sources.readers import (
+    LISTING,
     pick_input,
     read_feature_list,
     read_history,
@@ -15,9 +16,12 @@ from vitalgrid.sources.writers import (
     write_labelled,
     write_predictions,
     write_processed,
+    write_run,
 )
 
 __all__ = [
+    "LISTING",
+    "add_runs",
     "create_catalog",
     "pick_input",
     "read_feature_list",
@@ -33,4 +37,5 @@ __all__ = [
     "write_labelled",
     "write_predictions",
     "write_processed",
+    "write_run",
 ]

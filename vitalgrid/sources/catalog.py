@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from vitalgrid.sources import schemas as S
+from vitalgrid.sources.readers import QUOTES
 
 # Names that existing queries use.
 DATABASE = "healthcare_analysis_db"
@@ -25,19 +26,26 @@ def create_catalog(
 ) -> None:
     """Create the database and both external tables where absent, and use the database.
 
-    The predictions table reads every run folder below its location. A file whose
-    header differs from the declared columns is an error."""
+    The predictions table has a partition per run, so a query on one run reads no
+    other. A file whose header differs from the declared columns is an error."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     spark.catalog.setCurrentDatabase(database)
-    for name, table, path in (
-        (PROCESSED_TABLE, S.PROCESSED, processed_path),
-        (PREDICTIONS_TABLE, S.PREDICTIONS, predictions_path),
+    options = ["header 'true'", "enforceSchema 'false'", *(f"{k} '{v}'" for k, v in QUOTES.items())]
+    for name, table, path, run in (
+        (PROCESSED_TABLE, S.PROCESSED, processed_path, False),
+        (PREDICTIONS_TABLE, S.PREDICTIONS, predictions_path, True),
     ):
         columns = ", ".join(f"`{f}` {t}" for f, _, t in table)
         location = path.replace("'", "\\'")
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS `{name}` ({columns}) USING csv "
-            f"OPTIONS (header 'true', enforceSchema 'false', recursiveFileLookup 'true') "
-            f"LOCATION '{location}'"
+            f"CREATE TABLE IF NOT EXISTS `{name}` ({columns}{', run_id string' if run else ''}) "
+            f"USING csv OPTIONS ({', '.join(options)}) "
+            f"{'PARTITIONED BY (run_id) ' if run else ''}LOCATION '{location}'"
         )
+    add_runs(spark, database)
     register_functions(spark)
+
+
+def add_runs(spark: SparkSession, database: str = DATABASE) -> None:
+    """Let the predictions table see the runs written since it was created."""
+    spark.sql(f"ALTER TABLE `{database}`.`{PREDICTIONS_TABLE}` RECOVER PARTITIONS")

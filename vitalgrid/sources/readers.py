@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from vitalgrid.config import TARGET_COLUMN
 from vitalgrid.sources import schemas as S
 
 
-def read_rows(spark: SparkSession, path: str | list[str]) -> DataFrame:
+# A quote within a quoted field is doubled.
+QUOTES = {"quote": '"', "escape": '"'}
+# What ``pick_input`` finds below a folder, as options for whoever reads it.
+LISTING = {"pathGlobFilter": "*.csv", "recursiveFileLookup": "true"}
+
+
+def read_rows(spark: SparkSession, path: str | list[str], **options: str) -> DataFrame:
     """Rows as text, by header name. Every file must carry the same header: a
     differing one is an error instead of values under the wrong name."""
-    return spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    reader = spark.read.option("header", True).option("enforceSchema", False)
+    return reader.options(**QUOTES, **options).csv(path)
 
 
 def _read_table(spark: SparkSession, path: str | list[str], table: S.Table) -> DataFrame:
@@ -37,7 +45,8 @@ def read_labelled(
     """A training or validation file without a header: the target, then the features."""
     fields = [T.StructField(target, T.IntegerType())]
     fields += [T.StructField(f, T.DoubleType()) for f in features]
-    return spark.read.schema(T.StructType(fields)).option("header", False).csv(path)
+    reader = spark.read.schema(T.StructType(fields)).option("header", False)
+    return reader.options(**QUOTES).csv(path)
 
 
 def read_processed(
@@ -48,6 +57,7 @@ def read_processed(
         spark.read.schema(S.file_schema(table))
         .option("header", True)
         .option("enforceSchema", False)
+        .options(**QUOTES)
         .csv(path)
     )
     return S.to_internal_names(raw, table)
@@ -57,10 +67,12 @@ def read_predictions(
     spark: SparkSession, path: str, table: S.Table = S.PREDICTIONS
 ) -> DataFrame:
     """All runs in the folder together; ``run_id`` comes from the folder names
-    and prunes the scan when filtered on."""
+    and prunes the scan when filtered on. A file with another header is an error."""
     raw = (
         spark.read.schema(S.file_schema(table + (("run_id", "run_id", "string"),)))
         .option("header", True)
+        .option("enforceSchema", False)
+        .options(**QUOTES)
         .csv(path)
     )
     return S.to_internal_names(raw, table)
@@ -78,15 +90,16 @@ def read_feature_list(
 
 
 def pick_input(spark: SparkSession, path: str, which: str = "all") -> list[str]:
-    """CSV files below ``path``: all of them, the first by name, or the latest by
-    modification time. Only the listing is read. An empty list means no input."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.csv")
-        .option("recursiveFileLookup", True)
-        .load(path)
-        .select("path", "modificationTime")
-    )
+    """CSV files below ``path``: all of them (the folder, to be read with ``LISTING``),
+    the first by name, or the latest by modification time. Only the listing is read.
+    An empty list means no input, also where there is no such path."""
+    listing = spark.read.format("binaryFile").options(**LISTING)
+    try:
+        files = listing.load(path).select("path", "modificationTime")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
     if which == "all":
         return [] if files.isEmpty() else [path]
     pick = {

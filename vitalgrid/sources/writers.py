@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vitalgrid.functions import iso_utc, run_stamp
 from vitalgrid.sources import schemas as S
+from vitalgrid.sources.readers import QUOTES
 
 
 def write_processed(df: DataFrame, path: str, single_file: bool = False) -> None:
@@ -14,12 +17,12 @@ def write_processed(df: DataFrame, path: str, single_file: bool = False) -> None
     out = S.to_file_names(df, S.PROCESSED)
     if single_file:
         out = out.coalesce(1)
-    out.write.mode("overwrite").option("header", True).csv(path)
+    out.write.mode("overwrite").option("header", True).options(**QUOTES).csv(path)
 
 
 def write_labelled(df: DataFrame, path: str) -> None:
     """Training rows without a header, in the order of their columns."""
-    df.write.mode("overwrite").option("header", False).csv(path)
+    df.write.mode("overwrite").option("header", False).options(**QUOTES).csv(path)
 
 
 def write_feature_list(spark: SparkSession, names: list[str], path: str) -> None:
@@ -29,7 +32,9 @@ def write_feature_list(spark: SparkSession, names: list[str], path: str) -> None
 
 
 def new_run_id(spark: SparkSession) -> str:
-    return spark.range(1).select(run_stamp(F.current_timestamp()).alias("s")).first().s
+    """The second of the run, for people, and a suffix that no other run has."""
+    stamp = spark.range(1).select(run_stamp(F.current_timestamp()).alias("s")).first().s
+    return f"{stamp}_{uuid.uuid4().hex[:12]}"
 
 
 def with_scored_at(df: DataFrame) -> DataFrame:
@@ -37,11 +42,20 @@ def with_scored_at(df: DataFrame) -> DataFrame:
     return df.withColumn("scored_at", iso_utc(F.current_timestamp()))
 
 
-def write_predictions(predictions: DataFrame, path: str, run_id: str) -> bool:
-    """Add one run to the predictions folder. The run has a folder of its own, so
-    writing the same run again replaces it. An empty run writes nothing."""
+def write_run(df: DataFrame, path: str, run_id: str, replace: bool = False) -> None:
+    """CSV with a header in the run's own folder. A run that is there already is an
+    error unless it is to be replaced, as by a retry that names its run."""
+    mode = "overwrite" if replace else "errorifexists"
+    out = df.write.mode(mode).option("header", True).options(**QUOTES)
+    out.csv(f"{path.rstrip('/')}/run_id={run_id}")
+
+
+def write_predictions(
+    predictions: DataFrame, path: str, run_id: str, replace: bool = False
+) -> bool:
+    """Add one run to the predictions folder. An empty run writes nothing."""
     if predictions.isEmpty():
         return False
     out = S.to_file_names(predictions.select([n for _, n, _ in S.PREDICTIONS]), S.PREDICTIONS)
-    out.write.mode("overwrite").option("header", True).csv(f"{path.rstrip('/')}/run_id={run_id}")
+    write_run(out, path, run_id, replace)
     return True

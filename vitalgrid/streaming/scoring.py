@@ -1,19 +1,22 @@
 """Triggered scoring of files as they arrive.
 
-The transform is the batch one and keeps no state. Each micro-batch is a run with a
-folder of its own, written in overwrite mode, so a replayed batch replaces what its
-first attempt left.
+The transform is the batch one and keeps no state. Each micro-batch is a run with
+folders of its own below the sink: its scored rows, alerts, alert lines and summary. The
+run is named by the query and the batch, so a replayed batch replaces what its first
+attempt left, and a query with another checkpoint replaces nothing.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from vitalgrid.config import ALERT_THRESHOLD
-from vitalgrid.operators.scoring import Scorer, predictions
+from vitalgrid.functions import risk_status, round_stable
+from vitalgrid.operators import digest
+from vitalgrid.operators.scoring import Scorer, alerts
 from vitalgrid.session import new_path
-from vitalgrid.sources.writers import with_scored_at
+from vitalgrid.sources.writers import with_scored_at, write_run
 
 COLUMNS = ("patient_id", "score", "risk", "risk_status", "scored_at")
 
@@ -26,6 +29,14 @@ def file_stream(
     return spark.readStream.format(fmt).schema(schema).options(**options).load(path)
 
 
+def write_reports(scored: DataFrame, path: str, run_id: str, threshold: float, replace: bool) -> None:
+    """Alerts, alert lines and summary of one run, each in a folder of its own."""
+    found = alerts(scored, threshold)
+    write_run(found, f"{path}/alerts", run_id, replace)
+    write_run(digest.alert_lines(found), f"{path}/alert_lines", run_id, replace)
+    write_run(digest.run_summary(scored, threshold), f"{path}/summary", run_id, replace)
+
+
 def score_stream(
     source: DataFrame,
     scorer: Scorer,
@@ -35,26 +46,42 @@ def score_stream(
     available_now: bool = True,
     interval: str = "1 minute",
 ) -> StreamingQuery:
-    """Start scoring ``source`` into parquet runs below ``sink``: once over what is
-    there, or again at every interval. Alerts, digest and summary are taken from the
-    written rows, which keep the raw score."""
+    """Start scoring ``source`` into runs below ``sink``: once over what is there, or
+    again at every interval. The checkpoint lies in the sink unless another is named,
+    so a later trigger goes on where this one ends."""
     sink = sink.rstrip("/")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = with_scored_at(predictions(scorer(batch), threshold))
-        rows.select(*COLUMNS).write.mode("overwrite").parquet(f"{sink}/run_id={batch_id}")
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        run_id = f"{query}-{batch_id:08d}"
+        known = F.col("score").isNotNull()
+        rows = with_scored_at(scorer(batch)).withColumns(
+            {
+                "risk": round_stable(F.col("score"), 6),
+                "risk_status": F.when(known, risk_status(F.col("score"), threshold)),
+            }
+        )
+        path = f"{sink}/scored/run_id={run_id}"
+        rows.select(*COLUMNS).write.mode("overwrite").parquet(path)
+        back = batch.sparkSession.read.parquet(path)
+        write_reports(back, sink, run_id, threshold, replace=True)
 
     writer = source.writeStream.foreachBatch(write).option(
-        "checkpointLocation", checkpoint or new_path(source.sparkSession, "stream")
+        "checkpointLocation", checkpoint or f"{sink}/_checkpoint"
     )
     if available_now:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=interval).start()
 
 
+def read_all_rows(spark: SparkSession, sink: str) -> DataFrame:
+    """All rows of all runs below ``sink``, those without a score too."""
+    return spark.read.parquet(f"{sink.rstrip('/')}/scored")
+
+
 def read_scored(spark: SparkSession, sink: str) -> DataFrame:
-    """All runs below ``sink``, with their ``run_id``."""
-    return spark.read.parquet(sink)
+    """All predictions below ``sink``, with their ``run_id``."""
+    return read_all_rows(spark, sink).where("score IS NOT NULL")
 
 
 def score_available(
@@ -70,5 +97,6 @@ def score_available(
     """Score all files there are, in micro-batches, and return every scored row."""
     sink = sink or new_path(spark, "scored")
     source = file_stream(spark, path, schema, fmt, **options)
-    score_stream(source, scorer, sink, checkpoint).awaitTermination()
+    query = score_stream(source, scorer, sink, checkpoint)
+    query.awaitTermination()
     return read_scored(spark, sink)
