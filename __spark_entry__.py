@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 # The package lies next to this file, wherever it is loaded from.
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from vitalgrid.config import Settings
 from vitalgrid.plans.catalogue import QUERIES
 
 # The training-data operators and their pipeline are an optional subpackage.
@@ -45,13 +44,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """``gbt_batch_score`` and ``gbt_evaluate`` train a model and have no SQL form."""
+    """Of a trained model, what holds whatever its trees are."""
     return {name: f"{PRELUDE}\n{body}" for name, body in BODIES.items()} | LLM_SQL
 
 
 PRELUDE = """
 WITH vitals AS (
-  SELECT user_id AS patient_id, value AS heart_rate,
+  SELECT CASE WHEN user_id % 10 = 3 THEN user_id + 1000000000 ELSE user_id END AS patient_id, value AS heart_rate,
          100 + event_id % 71 AS bp_systolic, 60 + event_id % 61 AS bp_diastolic,
          CASE WHEN user_id % 29 = 5 THEN NULL
               ELSE CAST(3 + user_id % 6 + (event_id % 10) / 10.0 AS DOUBLE) END AS sleep_hours,
@@ -66,7 +65,7 @@ demo AS (
          c_acctbal AS cholesterol, n_name AS country, r_name AS continent
   FROM customer JOIN nation ON c_nationkey = n_nationkey
                 JOIN region ON n_regionkey = r_regionkey
-  WHERE c_custkey % 10 <> 3),
+                JOIN (SELECT 1 AS copy UNION ALL SELECT 2) c ON copy = 1 OR c_custkey % 23 = 4),
 weekly AS (
   SELECT patient_id,
          CAST(ROUND(CAST(AVG(heart_rate) AS DECIMAL(20,8)), 0) AS DOUBLE) AS heart_rate,
@@ -91,6 +90,8 @@ pred AS (
          CASE WHEN score > 0.45 THEN 'HIGH_RISK' ELSE 'LOW_RISK' END AS risk_status,
          CONCAT('2025-11-24T01:04:', LPAD(CAST(patient_id % 60 AS STRING), 2, '0'), 'Z') AS scored_at
   FROM scored),
+gaps AS (
+  SELECT patient_id, score, CASE patient_id % 7 WHEN 1 THEN 'null' WHEN 2 THEN 'nan' ELSE 'number' END AS kind FROM scored),
 dirty AS (
   SELECT c_custkey AS patient_id,
          CASE c_custkey % 7 WHEN 0 THEN NULL WHEN 1 THEN '120' WHEN 2 THEN 'abc/80'
@@ -156,7 +157,7 @@ SELECT patient_id, CAST(ROUND(CAST(score AS DECIMAL(20,8)), 3) AS DOUBLE) AS ris
 FROM scored WHERE score > 0.45
 """,
     "run_summary": """
-SELECT COUNT(*) AS processed_rows, CAST(SUM(CASE WHEN score > 0.45 THEN 1 ELSE 0 END) AS BIGINT) AS alerts_triggered FROM scored
+SELECT COUNT(*) AS processed_rows, COUNT(score) AS scored_rows, CAST(SUM(CASE WHEN score > 0.45 THEN 1 ELSE 0 END) AS BIGINT) AS alerts_triggered FROM scored
 """,
     "triage_top_risk": """
 SELECT p.patient_id, p.risk AS predicted_risk, p.risk_status, CAST(p.scored_at AS TIMESTAMP) AS scored_at,
@@ -194,19 +195,94 @@ SELECT patient_id, risk FROM pred ORDER BY patient_id LIMIT 50
 BODIES["csv_round_trip"] = BODIES["processed_health"]
 BODIES["stream_score"] = BODIES["batch_score"]
 
-# One message as long as the alerts fit into one, then one per page of lines.
-BODIES["alert_digest"] = f"""
+# The page size is that of the query: 25 lines a message.
+BODIES["alert_digest"] = """
 SELECT alerts,
   CASE WHEN page = 0 THEN CAST(alerts AS STRING) || ' High-Risk Patients Detected:' || CHR(10) ELSE '' END || lines AS message
 FROM (SELECT page, alerts,
         STRING_AGG(CAST(patient_id AS STRING) || ': ' || CAST(CAST(ROUND(CAST(score AS DECIMAL(20,8)), 3) AS DOUBLE) AS STRING),
                    CHR(10) ORDER BY patient_id) AS lines
       FROM (SELECT patient_id, score, COUNT(*) OVER () AS alerts,
-              (ROW_NUMBER() OVER (ORDER BY patient_id) - 1) // {Settings.digest_lines} AS page
+              (ROW_NUMBER() OVER (ORDER BY patient_id) - 1) // 25 AS page
             FROM scored WHERE score > 0.45) t
       GROUP BY page, alerts) u
 """
 
+BODIES["alerts_table"] = """
+SELECT patient_id, ROW_NUMBER() OVER (ORDER BY patient_id) AS n, COUNT(*) OVER () AS alerts,
+  CAST(patient_id AS STRING) || ': ' || CAST(CAST(ROUND(CAST(score AS DECIMAL(20,8)), 3) AS DOUBLE) AS STRING) AS line,
+  CAST(ROUND(CAST(score AS DECIMAL(20,8)), 3) AS DOUBLE) AS risk_score, 'HIGH_RISK' AS status,
+  (SELECT COUNT(*) FROM scored) AS processed_rows, (SELECT COUNT(score) FROM scored) AS scored_rows
+FROM scored WHERE score > 0.45
+"""
+
+BODIES["scores_with_gaps"] = """
+SELECT 'processed_rows' AS figure, CAST(COUNT(*) AS DOUBLE) AS value FROM gaps
+UNION ALL SELECT 'scored_rows', CAST(COUNT(*) AS DOUBLE) FROM gaps WHERE kind <> 'null'
+UNION ALL SELECT 'alerts_triggered', CAST(COUNT(*) AS DOUBLE) FROM gaps WHERE kind = 'number' AND score > 0.45
+UNION ALL SELECT 'high_risk_count', CAST(COUNT(*) AS DOUBLE) FROM gaps
+  WHERE kind = 'number' AND CAST(ROUND(CAST(score AS DECIMAL(20,8)), 6) AS DOUBLE) > 0.45
+UNION ALL SELECT 'avg_predicted_risk',
+  CAST(ROUND(CAST(AVG(CAST(ROUND(CAST(score AS DECIMAL(20,8)), 6) AS DOUBLE)) AS DECIMAL(20,8)), 3) AS DOUBLE)
+  FROM gaps g JOIN processed d ON g.patient_id = d.patient_id WHERE kind = 'number'
+UNION ALL SELECT 'top_risk', MAX(CAST(ROUND(CAST(score AS DECIMAL(20,8)), 6) AS DOUBLE)) FROM gaps WHERE kind = 'number'
+"""
+
+BODIES["skewed_history_join"] = """
+SELECT w.patient_id, COUNT(*) AS n, CAST(SUM(age) AS BIGINT) AS age_sum, COUNT(DISTINCT diet) AS diets,
+  MAX(activity_days) AS activity_days
+FROM weekly w LEFT JOIN (SELECT CASE WHEN patient_id % 3 = 0 THEN 8 ELSE patient_id END AS patient_id, age, diet FROM demo) m
+  ON w.patient_id = m.patient_id
+GROUP BY w.patient_id
+"""
+
+BODIES["csv_scan_vitals"] = """
+SELECT CAST(patient_id AS STRING) AS patient_id, COUNT(*) AS n,
+  COUNT(CASE WHEN patient_id % 11 <> 1 THEN heart_rate END) AS readings,
+  ROUND(SUM(CASE WHEN patient_id % 11 <> 1 THEN heart_rate END), 2) AS heart_rate,
+  CAST(SUM(bp_systolic + bp_diastolic) AS DOUBLE) AS pressure, COUNT(sleep_hours) AS nights,
+  CAST(SUM(physical_activity) AS BIGINT) AS activity
+FROM vitals GROUP BY patient_id
+"""
+
+BODIES["csv_scan_history"] = """
+SELECT patient_id, CAST(age AS INT) AS age, cholesterol,
+  CASE patient_id % 3 WHEN 0 THEN diet || ', "as told"' WHEN 1 THEN diet ELSE NULL END AS diet, sex, country
+FROM demo
+"""
+
+BODIES["feature_list_round_trip"] = """
+SELECT * FROM (VALUES (1, 'Cholesterol'), (2, 'BP_Systolic'), (3, 'BP_Diastolic'), (4, 'Sex_MALE'),
+  (5, 'Diet_Unhealthy'), (6, 'Diet_healthy')) t(position, name)
+"""
+
+BODIES["pick_latest_run"] = BODIES["batch_score"]
+
+# Keto and KETO are one level, the first in order and so the baseline.
+BODIES["serving_parity"] = """
+SELECT patient_id, CASE patient_id % 4 WHEN 1 THEN 2.0 WHEN 3 THEN 1.0 ELSE 0.0 END::DOUBLE AS score, CAST(2 AS INT) AS dummies
+FROM dirty
+"""
+
+BODIES["sql_reports"] = """
+SELECT d.country, COUNT(DISTINCT p.patient_id) AS patients,
+  CAST(MAX(EPOCH(CAST(p.scored_at AS TIMESTAMP))) AS BIGINT) AS latest
+FROM pred p JOIN processed d ON d.patient_id = p.patient_id WHERE p.risk_status = 'HIGH_RISK' GROUP BY d.country
+"""
+
+# What holds of a trained model whatever its trees are.
+BODIES["gbt_batch_score"] = """
+SELECT patient_id, CASE WHEN rn <= n_test THEN 'test' ELSE 'train' END AS part,
+  TRUE AS in_range, TRUE AS status_agrees, TRUE AS saved_agrees
+FROM (SELECT patient_id, ROW_NUMBER() OVER (PARTITION BY label ORDER BY (patient_id * 2654435761) % 4294967296, patient_id) AS rn,
+        CAST(CEIL(COUNT(*) OVER (PARTITION BY label) * 0.2) AS BIGINT) AS n_test
+      FROM (SELECT patient_id, CASE WHEN cholesterol > 6000 THEN 1 ELSE 0 END AS label FROM processed) l) t
+"""
+
+BODIES["gbt_evaluate"] = """
+SELECT TRUE AS areas_agree, TRUE AS above_chance
+"""
+
 BODIES["training_features"] = """
 SELECT patient_id, label, COALESCE(TRY_CAST(cholesterol_txt AS DOUBLE), 0.0) AS cholesterol,
   COALESCE(TRY_CAST(CASE WHEN INSTR(bp, '/') > 0 THEN SUBSTR(bp, 1, INSTR(bp, '/') - 1) ELSE bp END AS DOUBLE), 0.0) AS bp_systolic,

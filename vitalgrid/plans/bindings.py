@@ -1,8 +1,10 @@
 """The pipeline's tables, derived from the test tables.
 
 Vitals come from ``events`` and the history from ``customer`` with its nation and
-region. Some patients lack a history, an age or sleep readings, and ``dirty`` holds
-malformed text, so that every branch of the operators meets data.
+region. Some patients lack a history (their ids are shifted out of its range), an age or
+sleep readings; some stand in the history twice; the history has columns that fresh
+vitals replace; and ``dirty`` holds malformed text, so that every branch of the operators
+meets data.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ def vitals(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Tenths of an hour as whole numbers, divided once, give the double nearest to
     # the decimal.
     return table(spark, sf_dir, "events").selectExpr(
-        "user_id AS patient_id",
+        "CASE WHEN user_id % 10 = 3 THEN user_id + 1000000000 ELSE user_id END AS patient_id",
         "value AS heart_rate",
         "100 + event_id % 71 AS bp_systolic",
         "60 + event_id % 61 AS bp_diastolic",
@@ -43,9 +45,11 @@ def vitals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    customer = table(spark, sf_dir, "customer")
+    # One pass: a customer is listed once or twice.
+    twice = "EXPLODE(CASE WHEN c_custkey % 23 = 4 THEN ARRAY(1, 2) ELSE ARRAY(1) END) AS copy"
     return (
-        table(spark, sf_dir, "customer")
-        .where("c_custkey % 10 <> 3")
+        customer.selectExpr("*", twice)
         .join(nation.withColumnRenamed("n_nationkey", "c_nationkey"), "c_nationkey")
         .join(region.withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey")
         .selectExpr(
@@ -57,6 +61,12 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
             "c_acctbal AS cholesterol",
             "n_name AS country",
             "r_name AS continent",
+            # Stale: the processed table takes these from the vitals.
+            "0D AS heart_rate",
+            "'1/1' AS blood_pressure",
+            "0D AS sleep_hours",
+            "CAST(0 AS BIGINT) AS activity_days",
+            "1 AS heart_attack_risk",
         )
     )
 
@@ -65,6 +75,12 @@ def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return processed_health(vitals(spark, sf_dir), history(spark, sf_dir))
 
 
+def with_gaps(scored_table: DataFrame) -> DataFrame:
+    """Some scores NULL, some NaN."""
+    gap = "CASE patient_id % 7 WHEN 1 THEN NULL WHEN 2 THEN DOUBLE('NaN') ELSE score END"
+    return scored_table.withColumn("score", F.expr(gap))
+
+
 def linear_scorer(df: DataFrame) -> DataFrame:
     """A fixed logistic score, which SQL can compute as well."""
     z = F.expr(
