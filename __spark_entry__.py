@@ -270,6 +270,13 @@ SELECT d.country, COUNT(DISTINCT p.patient_id) AS patients,
 FROM pred p JOIN processed d ON d.patient_id = p.patient_id WHERE p.risk_status = 'HIGH_RISK' GROUP BY d.country
 """
 
+BODIES["utc_stamps"] = """
+SELECT event_id,
+  STRFTIME(t, '%Y-%m-%dT%H:%M:%S') || CASE WHEN EXTRACT(MICROSECONDS FROM t) % 1000000 = 0 THEN '' ELSE STRFTIME(t, '.%f') END || 'Z' AS iso,
+  STRFTIME(t, '%Y%m%d_%H%M%S') AS run
+FROM (SELECT event_id, ts::TIMESTAMP + CASE WHEN event_id % 3 = 0 THEN TO_MICROSECONDS(event_id % 1000000) ELSE TO_MICROSECONDS(0) END AS t FROM events) e
+"""
+
 # What holds of a trained model whatever its trees are.
 BODIES["gbt_batch_score"] = """
 SELECT patient_id, CASE WHEN rn <= n_test THEN 'test' ELSE 'train' END AS part,

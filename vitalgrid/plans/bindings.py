@@ -18,7 +18,7 @@ from vitalgrid.session import staged
 
 # The columns read from each test table; a declared schema needs no pass over footers.
 SCHEMAS = {
-    "events": "event_id bigint, user_id bigint, event_type string, value double",
+    "events": "event_id bigint, user_id bigint, event_type string, value double, ts timestamp",
     "customer": "c_custkey bigint, c_nationkey int, c_acctbal double, c_mktsegment string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
     "region": "r_regionkey int, r_name string",
