@@ -37,7 +37,8 @@ class Bands:
         (2048, 0.44, 0.72),
         (4096, 0.435, 0.68),
         (16384, 0.405, 0.64),
-        (float("inf"), 0.38, 0.60),
+        (65536, 0.38, 0.60),
+        (float("inf"), 0.36, 0.60),
     )
     chunk_bytes: int = 4096
     chunk: tuple[float, float] = (0.41, 0.68)
