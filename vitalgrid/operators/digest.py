@@ -31,7 +31,8 @@ def alert_messages(lines: DataFrame, per_message: int | None) -> DataFrame:
         F.col("page") == 0, F.concat(F.col("alerts").cast("string"), F.lit(C.ALERT_HEADER + "\n"))
     ).otherwise("")
     body = F.array_join(F.transform("e", lambda x: x.line), "\n")
-    return pages.select("page", "alerts", F.concat(header, body).alias("message"))
+    subject = F.lit(C.ALERT_SUBJECT).alias("subject")
+    return pages.select("page", "alerts", subject, F.concat(header, body).alias("message"))
 
 
 def run_summary(scored: DataFrame, threshold: float = C.ALERT_THRESHOLD) -> DataFrame:
