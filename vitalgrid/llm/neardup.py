@@ -17,10 +17,10 @@ are the connected components of the links.
     posted again under the list and a second pair, and so on, so that documents that
     only share a frequent passage part. Where that would not halve the pairs to count,
     the list is dealt into blocks and every two blocks are counted by a task.
-4.  Links are sought where they can still change a group. In the first rounds every
-    member proposes only the one with most collisions outside its group, so a family
-    of n near copies takes n proposals, not n squared, and becomes one group. At last
-    all pairs between groups that are still apart are proposed.
+4.  Links are sought where they can still change a group. In the first rounds a list
+    proposes only a forest of most collisions over its members' groups, so a family of n
+    near copies takes n proposals, not n squared, and becomes one group. At last all
+    pairs between groups that are still apart are proposed.
 
 Pairs within one group are not listed; copies and members are told by class and group.
 
@@ -160,44 +160,59 @@ def in_blocks(lists: DataFrame, longest: int) -> DataFrame:
     return other.select(F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).bitwiseOR(F.lit(LEAST_ID)).alias("key"), "cls", "prints")
 
 
-def list_pairs(best: bool):
+def tree_edges(label: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The edges of a forest of most collisions over the members of a list, where those
+    of one label hang together already; none with too few collisions."""
+    n = len(label)
+    out = np.ones(n, bool)
+    most, source, us, vs = np.full(n, MATCHES - 1), np.full(n, -1), [], []
+    while out.any():
+        i = int(np.where(out, most, -1).argmax())
+        if source[i] >= 0:
+            us.append(source[i])
+            vs.append(i)
+        mine = np.flatnonzero(out & (label == label[i]))
+        out[mine] = False
+        rest = np.flatnonzero(out)
+        for j in mine if len(rest) else ():
+            count = (prints[rest] == prints[j]).sum(axis=1)
+            more = count > most[rest]
+            most[rest[more]], source[rest[more]] = count[more], j
+    return np.array(us, np.int64), np.array(vs, np.int64)
+
+
+def all_edges(key: int, label: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every pair of a list with different labels and enough collisions."""
+    us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for i in range(len(label) - 1):
+        other = np.flatnonzero(label[i + 1 :] != label[i]) + i + 1
+        half = (prints[other, :64] == prints[i, :64]).sum(axis=1)
+        other, half = other[half >= MATCHES - 64], half[half >= MATCHES - 64]
+        other = other[half + (prints[other, 64:] == prints[i, 64:]).sum(axis=1) >= MATCHES]
+        # Of the lists in which two meet, the one of their first common coordinate
+        # proposes them; a list that was split may do so again.
+        first = (prints[other, :PREFIX] == prints[i, :PREFIX]).argmax(axis=1)
+        other = other[first == key >> 32] if key >= 0 else other
+        us.append(np.full(len(other), i))
+        vs.append(other)
+    return np.concatenate(us), np.concatenate(vs)
+
+
+def list_pairs(tree: bool):
     """(key, cls, label, prints) of some lists, sorted by key, to pairs (u, v) of a
-    list with different labels and enough collisions: all of them, or for every member
-    the one with most."""
+    list with different labels and enough collisions: all, or those of a forest."""
 
     def pairs(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         key, cls, label = (np.asarray(rows.column(i)) for i in range(3))
         prints = matrix(rows.column(3))
         cuts = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
-        us, vs = [], []
+        found = []
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            if (label[a:b] == label[a]).all():
-                continue
-            most, partner = np.full(b - a, MATCHES - 1), np.zeros(b - a, np.int64)
-            for i in range(a, b - 1):
-                other = np.flatnonzero(label[i + 1 : b] != label[i]) + i + 1
-                half = (prints[other, :64] == prints[i, :64]).sum(axis=1)
-                other, half = other[half >= MATCHES - 64], half[half >= MATCHES - 64]
-                count = half + (prints[other, 64:] == prints[i, 64:]).sum(axis=1)
-                other, count = other[count >= MATCHES], count[count >= MATCHES]
-                if best:
-                    if len(other) and count.max() > most[i - a]:
-                        most[i - a], partner[i - a] = count.max(), other[count.argmax()]
-                    more = count > most[other - a]
-                    most[other[more] - a], partner[other[more] - a] = count[more], i
-                else:
-                    # Of the lists in which two meet, the one of their first common
-                    # coordinate proposes them; a list that was split may do so again.
-                    first = (prints[other, :PREFIX] == prints[i, :PREFIX]).argmax(axis=1)
-                    other = other[first == key[i] >> 32] if key[i] >= 0 else other
-                    us.append(np.full(len(other), cls[i]))
-                    vs.append(cls[other])
-            if best:
-                has = np.flatnonzero(most >= MATCHES)
-                us.append(cls[a + has])
-                vs.append(cls[partner[has]])
-        if us:
-            u, v = np.concatenate(us), np.concatenate(vs)
+            if (label[a:b] != label[a]).any():
+                u, v = tree_edges(label[a:b], prints[a:b]) if tree else all_edges(int(key[a]), label[a:b], prints[a:b])
+                found.append((cls[a:b][u], cls[a:b][v]))
+        if found:
+            u, v = (np.concatenate(x) for x in zip(*found))
             one = np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)]), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(one[0]), pa.array(one[1])], names=["u", "v"])
 
