@@ -8,7 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from vitalgrid.llm import bpe, chat, contamination, neardup, pages, quality, shards, substring, suffix, toxicity
 
 
+#: Rows of a batch that goes to a Python worker. Texts are long, and a batch is held
+#: several times over, on both sides.
+BATCH_ROWS = 2000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -52,7 +52,7 @@ PACKED = "shard int, kind int, size int, places binary, a binary, b binary"
 MARKS = "doc long, tie long, lo int, n int, resolve boolean"
 OUT_ROWS = 100_000
 #: Bytes of text whose spans a task holds at a time.
-HELD_BYTES = 8_000_000
+HELD_BYTES = 5_000_000
 
 
 class Bytes:

@@ -6,6 +6,7 @@ document is a slice of its own), so memory follows the slice, not the batch.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,10 +16,20 @@ import pyarrow.compute as pc
 SLICE_BYTES = 2_000_000
 
 
+def release() -> None:
+    """Give freed memory back. A Python worker lives on from task to task, and what its
+    allocators keep of one stage is missing in the next."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:  # glibc
+        trim(0)
+
+
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of runs of rows; null counts as empty."""
     if not len(texts):
         return
+    release()
     flat = pc.fill_null(texts.cast(pa.large_binary()), b"")
     if isinstance(flat, pa.ChunkedArray):
         flat = flat.combine_chunks()
