@@ -11,8 +11,8 @@ are the connected components of the links.
     are done with: a pair of similarity 0.75 misses all of the prefix once in 10^6.
     With a posting travels one byte of each coordinate's value.
 3.  Within a posting list the collisions of two members are counted; half of the
-    coordinates settle most pairs, and the rest are skipped. A pair with at least 72 is
-    kept (a pair of similarity 0.75 falls short once in 10^6), then confirmed. A list
+    coordinates settle most pairs, and the rest are skipped; so are sets whose sizes
+    alone keep them under 0.75. A pair with at least 72 is kept (a pair of similarity 0.75 falls short once in 10^6), then confirmed. A list
     of over 4000 is first split by further coordinates, ten at a time: its members are
     posted again under the list and a second pair, and so on, so that documents that
     only share a frequent passage part. Where that would not halve the pairs to count,
@@ -20,7 +20,8 @@ are the connected components of the links.
 4.  Links are sought where they can still change a group. In the first rounds a list
     proposes only a forest of most collisions over its members' groups, so a family of n
     near copies takes n proposals, not n squared, and becomes one group. At last all
-    pairs between groups that are still apart are proposed.
+    pairs between groups that are still apart are proposed, if they also have 335 of
+    512 coordinates in common (a pair of similarity 0.75 falls short once in 10^6).
 
 Pairs within one group are not listed; copies and members are told by class and group.
 
@@ -43,13 +44,15 @@ from vitalgrid.llm.components import components
 from vitalgrid.session import staged
 
 SHINGLE, COORDINATES, PREFIX, MATCHES = 5, 128, 10, 72
+#: Further coordinates, looked at before a pair is proposed without a forest.
+WIDE, WIDE_MATCHES = 512, 335
 SHARE = (75, 100)
 ROUNDS, LIST = 2, 4000
 LEAST_ID = -(2**63)
 
 _seeds = np.random.default_rng(20240229)
-XORS = _seeds.integers(0, 2**63, COORDINATES).astype(np.uint64)
-FACTORS = _seeds.integers(0, 2**63, COORDINATES).astype(np.uint64) | np.uint64(1)
+XORS = _seeds.integers(0, 2**63, WIDE).astype(np.uint64)
+FACTORS = _seeds.integers(0, 2**63, WIDE).astype(np.uint64) | np.uint64(1)
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
@@ -75,7 +78,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
 
 def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc, text) to (doc, k1, k2, n, keys, prints): a key is a coordinate of the
-    prefix and its value, a print the low bytes of all values."""
+    prefix and its value; prints are the low bytes of all values, then n."""
     for batch in batches:
         for first, end, data, offsets in spans.slices(batch.column(1), 500_000):
             rows = end - first
@@ -92,7 +95,7 @@ def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for j in (0, 1):
                     key[j, some] = np.add.reduceat(spans.mix(value * FACTORS[j] + XORS[j + 2]), at)
             keys = (np.arange(PREFIX, dtype=np.int64) << 32) | signature[:, :PREFIX]
-            prints = (signature ^ (signature >> np.uint32(9))).astype(np.uint8)
+            prints = low_bytes(signature)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(first, rows),
@@ -100,14 +103,49 @@ def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(key[1].view(np.int64)),
                     pa.array(n),
                     pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * PREFIX), pa.array(keys.ravel())),
-                    pa.array([s.tobytes() for s in prints], pa.binary()),
+                    pa.array([s.tobytes() + c.tobytes() for s, c in zip(prints, n.astype(np.int32))], pa.binary()),
                 ],
                 names=["doc", "k1", "k2", "n", "keys", "prints"],
             )
 
 
+def low_bytes(values: np.ndarray) -> np.ndarray:
+    return (values ^ (values >> np.uint32(9))).astype(np.uint8)
+
+
+def wider(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(cls, text) to (cls, wide): the low bytes of the further coordinates."""
+    for batch in batches:
+        for first, end, data, offsets in spans.slices(batch.column(1), 500_000):
+            row, value = shingle_sets(data, offsets)
+            n = np.bincount(row, minlength=end - first)
+            some = np.flatnonzero(n)
+            at = (np.cumsum(n) - n)[some]
+            values = np.zeros((end - first, WIDE - COORDINATES), np.uint32)
+            for j in range(COORDINATES, WIDE) if len(some) else ():
+                values[some, j - COORDINATES] = np.minimum.reduceat(((value ^ XORS[j]) * FACTORS[j]) >> np.uint64(32), at)
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), pa.array([v.tobytes() for v in low_bytes(values)], pa.binary())], names=["cls", "wide"])
+
+
+def columns_of(column: pa.Array) -> np.ndarray:
+    rows = column.to_pylist()
+    return np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), -1)
+
+
 def matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, COORDINATES)
+    """Low bytes of the coordinates, one row each."""
+    return columns_of(column)[:, :COORDINATES]
+
+
+def set_sizes(column: pa.Array) -> np.ndarray:
+    four = np.ascontiguousarray(columns_of(column)[:, COORDINATES : COORDINATES + 4])
+    return four.view(np.int32)[:, 0].astype(np.int64)
+
+
+def near_sizes(some: np.ndarray, one: int) -> np.ndarray:
+    """Whether sets of these sizes can be similar at all: the smaller one's size over
+    the larger one's bounds the similarity."""
+    return SHARE[1] * np.minimum(some, one) >= SHARE[0] * np.maximum(some, one)
 
 
 def confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,7 +198,7 @@ def in_blocks(lists: DataFrame, longest: int) -> DataFrame:
     return other.select(F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).bitwiseOR(F.lit(LEAST_ID)).alias("key"), "cls", "prints")
 
 
-def tree_edges(label: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def tree_edges(label: np.ndarray, prints: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The edges of a forest of most collisions over the members of a list, where those
     of one label hang together already; none with too few collisions."""
     n = len(label)
@@ -176,19 +214,24 @@ def tree_edges(label: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.nd
         rest = np.flatnonzero(out)
         for j in mine if len(rest) else ():
             count = (prints[rest] == prints[j]).sum(axis=1)
-            more = count > most[rest]
+            more = (count > most[rest]) & near_sizes(size[rest], size[j])
             most[rest[more]], source[rest[more]] = count[more], j
     return np.array(us, np.int64), np.array(vs, np.int64)
 
 
-def all_edges(key: int, label: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Every pair of a list with different labels and enough collisions."""
+def all_edges(
+    key: int, label: np.ndarray, prints: np.ndarray, size: np.ndarray, wide: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Every pair of a list with different labels and enough collisions, counted over
+    few coordinates first and over many of what is left."""
     us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for i in range(len(label) - 1):
-        other = np.flatnonzero(label[i + 1 :] != label[i]) + i + 1
+        other = np.flatnonzero((label[i + 1 :] != label[i]) & near_sizes(size[i + 1 :], size[i])) + i + 1
         half = (prints[other, :64] == prints[i, :64]).sum(axis=1)
         other, half = other[half >= MATCHES - 64], half[half >= MATCHES - 64]
-        other = other[half + (prints[other, 64:] == prints[i, 64:]).sum(axis=1) >= MATCHES]
+        count = half + (prints[other, 64:] == prints[i, 64:]).sum(axis=1)
+        other, count = other[count >= MATCHES], count[count >= MATCHES]
+        other = other[count + (wide[other] == wide[i]).sum(axis=1) >= WIDE_MATCHES]
         # Of the lists in which two meet, the one of their first common coordinate
         # proposes them; a list that was split may do so again.
         first = (prints[other, :PREFIX] == prints[i, :PREFIX]).argmax(axis=1)
@@ -204,12 +247,14 @@ def list_pairs(tree: bool):
 
     def pairs(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         key, cls, label = (np.asarray(rows.column(i)) for i in range(3))
-        prints = matrix(rows.column(3))
+        prints, size = matrix(rows.column(3)), set_sizes(rows.column(3))
+        wide = columns_of(rows.column(3))[:, COORDINATES + 4 :]
         cuts = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
         found = []
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
             if (label[a:b] != label[a]).any():
-                u, v = tree_edges(label[a:b], prints[a:b]) if tree else all_edges(int(key[a]), label[a:b], prints[a:b])
+                mine = label[a:b], prints[a:b], size[a:b]
+                u, v = tree_edges(*mine) if tree else all_edges(int(key[a]), *mine, wide[a:b])
                 found.append((cls[a:b][u], cls[a:b][v]))
         if found:
             u, v = (np.concatenate(x) for x in zip(*found))
@@ -276,6 +321,10 @@ def links(classes: DataFrame, texts: DataFrame, rounds: int = ROUNDS, longest: i
         # A list whose members are all of one group has nothing to propose.
         mixed = labelled.groupBy("key").agg((F.min("label") != F.max("label")).alias("mixed")).where("mixed").select("key")
         asked = labelled.join(mixed, "key", "left_semi") if turn else labelled
+        if turn == rounds:
+            some = texts.join(asked.select("cls").distinct(), "cls", "left_semi").select("cls", "text")
+            more = staged(some.mapInArrow(wider, "cls long, wide binary"), "wide")
+            asked = asked.join(more, "cls").select("key", "cls", "label", F.concat("prints", "wide").alias("prints"))
         pairs = asked.repartition("key").sortWithinPartitions("key").mapInArrow(list_pairs(turn < rounds), "u long, v long")
         pairs = staged(pairs.where("u <> v").distinct(), "pairs")
         left, right = (texts.select(F.col("cls").alias(c), F.col("text").alias(f"t{c}")) for c in "uv")
