@@ -20,8 +20,8 @@ are the connected components of the links.
 4.  Links are sought where they can still change a group. In the first rounds a list
     proposes only a forest of most collisions over its members' groups, so a family of n
     near copies takes n proposals, not n squared, and becomes one group. At last all
-    pairs between groups that are still apart are proposed, if they also have 335 of
-    512 coordinates in common (a pair of similarity 0.75 falls short once in 10^6).
+    pairs between groups that are still apart are proposed, if they also have 516 of
+    768 coordinates in common (a pair of similarity 0.75 falls short once in 10^6).
 
 Pairs within one group are not listed; copies and members are told by class and group.
 
@@ -45,7 +45,7 @@ from vitalgrid.session import staged
 
 SHINGLE, COORDINATES, PREFIX, MATCHES = 5, 128, 10, 72
 #: Further coordinates, looked at before a pair is proposed without a forest.
-WIDE, WIDE_MATCHES = 512, 335
+WIDE, WIDE_MATCHES = 768, 516
 SHARE = (75, 100)
 ROUNDS, LIST = 2, 4000
 LEAST_ID = -(2**63)
