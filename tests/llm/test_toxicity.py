@@ -109,3 +109,14 @@ def test_label_bound(spark):
 def test_ratio_of_equal_shares_is_nothing():
     x = np.array([7.0, 0, 700])
     assert (toxicity.log_ratio(7 * x, x, np.ones(3), 1 / 8) == 0).all()
+
+
+def test_words_stand_alone_and_contexts_are_counted_in_full(spark):
+    text = " ".join(f"w{i}" for i in range(20000)).encode()
+    word, pair, _ = toxicity.expressions(np.frombuffer(text, np.uint8), np.array([0, len(text)]))[:3]
+    assert len(np.unique(word)) == 20000 and len(np.unique(np.concatenate([word, pair]))) == 39999
+    rows = [(i, f"w{i % 40} foul" if i % 5 == 0 else f"w{i % 40} fine") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert {8, 32} <= set(model.contexts.tolist())  # foul follows 8 words, fine 32

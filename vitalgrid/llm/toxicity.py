@@ -11,8 +11,7 @@ labelled or not. Class ``c`` gives expression ``w`` a weight of
     max(count_c(w) - DISCOUNT, 0) + BACKOFF * share_c * contexts(w)
 
 where share_c is the class's share of the labelled documents, so an expression unknown
-to both, or as frequent in both as the classes are, tells nothing. Contexts are told
-apart up to ``CONTEXTS``: beyond that a word is no longer rare. A pair that tells
+to both, or as frequent in both as the classes are, tells nothing. A pair that tells
 nothing backs off to its second word, and an expression whose counts differ by less
 than ``SIGMAS`` standard deviations from the classes' shares backs off to the shared
 counts, equal in both models. Without that, the many words that were met in one class
@@ -21,11 +20,11 @@ by chance would outweigh the few that mean something.
 The scale from the difference to a score is fitted on the labelled documents, each
 scored with its own counts taken out: the threshold with the fewest errors scores 0.5.
 
-Expressions are hashed into ``BUCKETS`` places for words and as many for pairs; at most
-about ``LABELS`` labelled documents are used, chosen by a hash of the id. Both bounds
-keep what is broadcast small; the corpus counts cover all documents, are combined in
-every task and summed by ranges of places. The driver gets the places that tell
-something and a histogram.
+Expressions stand under hashes of 63 bits and are counted exactly: tasks add up what
+they can hold, the rest is grouped in a shuffle. At most about ``LABELS`` labelled
+documents are used, chosen by a hash of the id. The contexts are counted, over all
+documents, of the words that tell something; only what tells something reaches the
+driver and is broadcast. A row's start is one of the contexts.
 
 Defined cases: null and empty texts have no words and a difference of 0, below any
 threshold; null labels are no labels; with labels of one class or none every difference
@@ -47,19 +46,18 @@ from vitalgrid.llm import spans
 from vitalgrid.llm.contamination import hashed_words
 from vitalgrid.session import staged
 
-DISCOUNT, BACKOFF, CONTEXTS, SIGMAS = 0.75, 1.0, 4, 5.0
-BUCKETS, LABELS = 1 << 22, 1_000_000
+DISCOUNT, BACKOFF, SIGMAS = 0.75, 1.0, 5.0
+CONTEXTS = np.inf  # contexts are counted in full
+LABELS = 1_000_000
+HELD = 1 << 21  # expressions that a task adds up before it hands them on
 BINS = 1000  # of the histogram, per unit of difference
 
-POPULATION = np.array([bin(i).count("1") for i in range(256)], np.uint8)
-
-
 @dataclass(frozen=True)
 class Model:
-    """Places (words, then pairs) that tell something, the counts there of ordinary and
+    """Keys of the expressions that tell something, sorted, their counts of ordinary and
     toxic documents, the contexts, the classes' shares, and the threshold."""
 
-    places: np.ndarray
+    keys: np.ndarray
     ordinary: np.ndarray
     toxic: np.ndarray
     contexts: np.ndarray
@@ -70,28 +68,34 @@ class Model:
         return log_ratio(ordinary, toxic, self.contexts, self.share)
 
 
+def tells(ordinary: np.ndarray, toxic: np.ndarray, share: float) -> np.ndarray:
+    """Whether the counts are further from the classes' shares than chance would have it."""
+    both = ordinary + toxic
+    if not 0 < share < 1:
+        return np.zeros(len(both), bool)
+    return np.abs(toxic - share * both) / np.sqrt(np.maximum(both, 1e-9) * share * (1 - share)) > SIGMAS
+
+
 def log_ratio(ordinary: np.ndarray, toxic: np.ndarray, contexts: np.ndarray, share: float) -> np.ndarray:
     """log of toxic over ordinary probability, 0 where the counts tell nothing."""
-    both = ordinary + toxic
     if not 0 < share < 1:
-        return np.zeros(len(both))
-    off = np.abs(toxic - share * both) / np.sqrt(np.maximum(both, 1e-9) * share * (1 - share))
+        return np.zeros(len(ordinary))
     back = BACKOFF * np.maximum(contexts, 1)
     of_toxic = (np.maximum(toxic - DISCOUNT, 0) + share * back) / share
     of_ordinary = (np.maximum(ordinary - DISCOUNT, 0) + (1 - share) * back) / (1 - share)
-    return np.where(off > SIGMAS, np.log(of_toxic / of_ordinary), 0.0)
+    return np.where(tells(ordinary, toxic, share), np.log(of_toxic / of_ordinary), 0.0)
 
 
-def expressions(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Place of every word, place of the pair it ends (-1 at a row's start), hash of
-    the word before, and the first word of every row."""
+def expressions(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Key of every word (even), key of the pair it ends (odd; that of the word itself at
+    a row's start), and the first word of every row."""
     words, first = hashed_words(data, offsets)
-    place = (words & np.uint64(BUCKETS - 1)).astype(np.int64)
-    before = np.concatenate([np.zeros(1, np.uint64), words[:-1]]) if len(words) else words
-    before[first[:-1][first[:-1] < len(words)]] = 0
-    pair = (spans.mix(before * np.uint64(0xA0761D6478BD642F) + words) & np.uint64(BUCKETS - 1)).astype(np.int64) + BUCKETS
-    pair[before == 0] = -1
-    return place, pair, before, first
+    word = words & ~np.uint64(1)
+    pair = word.copy()
+    pair[1:] = spans.mix(words[:-1] * np.uint64(0xA0761D6478BD642F) + words[1:]) | np.uint64(1)
+    starts = first[:-1][first[:-1] < len(words)]
+    pair[starts] = word[starts]
+    return word.view(np.int64), pair.view(np.int64), first
 
 
 def held_out(doc_id: Column) -> Column:
@@ -106,81 +110,99 @@ def fit_labels(labels: DataFrame, bound: int = LABELS) -> DataFrame:
     return known.where(F.pmod(F.xxhash64("label_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
 
 
-RANGES = 256
-COUNTS = "part int, places binary, contexts binary, ordinary binary, toxic binary, documents long, toxic_documents long"
+def added_up(held: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """Parts of (key, counts of ordinary and toxic documents) with every key once."""
+    key, *counts = (np.concatenate(x) for x in zip(*held))
+    key, at = np.unique(key, return_inverse=True)
+    return [key, *(np.bincount(at, c, len(key)).astype(np.int64) for c in counts)]
+
+
+def in_turn(parts: Iterator[list[np.ndarray]], merge, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Parts merged while they are few; a task never holds much over ``HELD`` rows."""
+    held, rows, merged = [], 0, 0
+    for part in parts:
+        held.append(part)
+        rows += len(part[0])
+        if rows > merged + HELD // 2:
+            held = [merge(held)]
+            rows = merged = len(held[0][0])
+            if merged > HELD:
+                yield from sent(held[0], names)
+                held, rows, merged = [], 0, 0
+    if held:
+        yield from sent(merge(held), names)
+
+
+def sent(columns: list[np.ndarray], names: list[str]) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(columns[0]), 100_000):
+        yield pa.RecordBatch.from_arrays([pa.array(c[at : at + 100_000]) for c in columns], names=names)
 
 
 def count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, label) to the counts of a task, one row per range of places."""
-    contexts = np.zeros(2 * BUCKETS, np.uint8)
-    counts = np.zeros((2, 2 * BUCKETS), np.int32)
-    documents = [0, 0]
-    for batch in batches:
-        label = batch.column(1).to_numpy(zero_copy_only=False)
-        for start, end, data, offsets in spans.slices(batch.column(0), 1_000_000):
-            place, pair, before, first = expressions(data, offsets)
-            np.bitwise_or.at(contexts, place, np.uint8(1) << ((before >> np.uint64(40)) & np.uint64(7)).astype(np.uint8))
-            for i in range(start, end):
-                if label[i] == 0 or label[i] == 1:
-                    own = slice(first[i - start], first[i - start + 1])
-                    pairs = pair[own]
-                    at = np.unique(np.concatenate([place[own], pairs[pairs >= 0]]))
-                    counts[int(label[i])][at] += 1
-                    documents[int(label[i])] += 1
-    size = 2 * BUCKETS // RANGES
-    rows = []
-    for part in range(RANGES):
-        low = part * size
-        at = np.flatnonzero(contexts[low : low + size] | (counts[0, low : low + size] > 0) | (counts[1, low : low + size] > 0)) + low
-        if len(at) or (part == 0 and sum(documents)):
-            rows.append([part, (at - low).astype(np.uint16).tobytes(), contexts[at].tobytes(), *(packed(c[at]) for c in counts), sum(documents) * (part == 0), documents[1] * (part == 0)])
-    if rows:
-        yield counts_batch(rows)
-
-
-def packed(counts: np.ndarray) -> bytes:
-    """Counts as bytes; most are 0, so they compress to little in a shuffle."""
-    return counts.astype(np.int32).tobytes()
-
-
-def counts_batch(rows: list) -> pa.RecordBatch:
-    types = [pa.int32()] + [pa.binary()] * 4 + [pa.int64()] * 2
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=[f.split()[0] for f in COUNTS.split(", ")])
-
-
-def sum_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of some ranges to one row each; of its places those in a labelled document."""
-    size, held, documents = 2 * BUCKETS // RANGES, {}, {}
-    for batch in batches:
-        for part, places, contexts, ordinary, toxic, n, m in zip(*(c.to_pylist() for c in batch.columns)):
-            if part not in held:
-                held[part] = (np.zeros(size, np.uint8), np.zeros((2, size), np.int32))
-                documents[part] = [0, 0]
-            at = np.frombuffer(places, np.uint16)
-            held[part][0][at] |= np.frombuffer(contexts, np.uint8)
-            held[part][1][0][at] += np.frombuffer(ordinary, np.int32)
-            held[part][1][1][at] += np.frombuffer(toxic, np.int32)
-            documents[part][0] += n
-            documents[part][1] += m
-    for part, (contexts, counts) in held.items():
-        at = np.flatnonzero(counts.any(axis=0))
-        yield counts_batch([[part, at.astype(np.uint16).tobytes(), np.minimum(POPULATION[contexts[at]], CONTEXTS).tobytes(), *(packed(c[at]) for c in counts), *documents[part]]])
+    """(text, label) to (key, ordinary, toxic): documents that hold an expression."""
+
+    def parts() -> Iterator[list[np.ndarray]]:
+        for batch in batches:
+            label = batch.column(1).to_numpy(zero_copy_only=False)
+            for start, end, data, offsets in spans.slices(batch.column(0), 1_000_000):
+                word, pair, first = expressions(data, offsets)
+                row = np.repeat(np.arange(end - start), np.diff(first))
+                row, key = np.concatenate([row, row]), np.concatenate([word, pair])
+                order = np.lexsort((key, row))
+                row, key = row[order], key[order]
+                new = np.ones(len(row), bool)
+                new[1:] = (row[1:] != row[:-1]) | (key[1:] != key[:-1])
+                toxic = (label[start:end][row[new]] == 1).astype(np.int64)
+                if len(toxic):
+                    yield added_up([[key[new], 1 - toxic, toxic]])
+
+    yield from in_turn(parts(), added_up, ["key", "ordinary", "toxic"])
 
 
 def telling(share: float):
-    """Of every range the places whose counts tell something."""
+    """Of (key, ordinary, toxic) the rows that tell something."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, places, contexts, ordinary, toxic, _, _ in zip(*(c.to_pylist() for c in batch.columns)):
-                place = np.frombuffer(places, np.uint16).astype(np.int64) + part * (2 * BUCKETS // RANGES)
-                columns = [place, np.frombuffer(ordinary, np.int32), np.frombuffer(toxic, np.int32), np.frombuffer(contexts, np.uint8).astype(np.int32)]
-                some = log_ratio(columns[1], columns[2], columns[3], share) != 0
-                yield pa.RecordBatch.from_arrays([pa.array(c[some]) for c in columns], names=["place", "ordinary", "toxic", "contexts"])
+            _, ordinary, toxic = (np.asarray(c) for c in batch.columns)
+            yield batch.filter(pa.array(tells(ordinary, toxic, share)))
 
     return run
 
 
+def context_task(words):
+    """(text) to distinct (key, pair) of the words asked for, a sorted broadcast."""
+
+    def once(held: list[list[np.ndarray]]) -> list[np.ndarray]:
+        key, pair = (np.concatenate(x) for x in zip(*held))
+        order = np.lexsort((key, pair))
+        key, pair = key[order], pair[order]
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (pair[1:] != pair[:-1])
+        return [key[new], pair[new]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def parts() -> Iterator[list[np.ndarray]]:
+            for batch in batches:
+                for _, _, data, offsets in spans.slices(batch.column(0), 1_000_000):
+                    word, pair, _ = expressions(data, offsets)
+                    asked = slots(words.value, word) >= 0
+                    if asked.any():
+                        yield once([[word[asked], pair[asked]]])
+
+        yield from in_turn(parts(), once, ["key", "pair"])
+
+    return run
+
+
+def slots(keys: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Where in the sorted ``keys`` those asked for stand, -1 if they don't."""
+    if not len(keys):
+        return np.full(len(asked), -1)
+    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    return np.where(keys[at] == asked, at, -1)
+
+
 def differences(model, text: int, label: int | None):
     """Per row the mean log ratio of its words; with a label, its own counts are taken
     out. ``model`` is a broadcast."""
@@ -189,16 +211,14 @@ def differences(model, text: int, label: int | None):
         m: Model = Model(**model.value)
         known = batch.column(label).to_numpy(zero_copy_only=False) if label is not None else None
         tables = {own: m.ratios(m.ordinary - (own == 0), m.toxic - (own == 1)) for own in ([None] if known is None else [0, 1])}
-        # Words have the places below BUCKETS; a row ends up in one of two tables.
-        slot = np.full(2 * BUCKETS + 1, -1, np.int32)
-        slot[m.places] = np.arange(len(m.places))
         out = np.zeros(batch.num_rows)
         for start, end, data, offsets in spans.slices(batch.column(text), 1_000_000):
-            place, pair, _, first = expressions(data, offsets)
+            word_key, pair_key, first = expressions(data, offsets)
+            word_slot, pair_slot = slots(m.keys, word_key), slots(m.keys, pair_key)
             row = np.repeat(np.arange(end - start), np.diff(first))
             for own, table in tables.items():
                 table = np.append(table, 0.0)
-                word, two = table[slot[place]], table[slot[pair]]
+                word, two = table[word_slot], table[pair_slot]
                 total = np.bincount(row, np.where(two != 0, two, word), end - start)
                 mean = total / np.maximum(np.diff(first), 1)
                 mine = slice(start, end)
@@ -219,13 +239,19 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     known = F.broadcast(staged(fit_labels(labels), "labels"))
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     named = docs.select(F.col("doc_id").cast("long").alias("label_id"), text)
-    counted = named.join(known, "label_id", "left").select("text", "label").mapInArrow(count_task, COUNTS)
-    parts = min(RANGES, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    summed = staged(counted.repartitionById(parts, F.pmod("part", F.lit(parts))).mapInArrow(sum_ranges, COUNTS), "counts")
-    n, m = (x or 0 for x in summed.agg(F.sum("documents"), F.sum("toxic_documents")).first())
+    labelled = named.join(known, "label_id").select("text", "label")
+    n, m = (x or 0 for x in labelled.agg(F.count("*"), F.sum("label")).first())
     share = m / n if n else 0.0
-    found = summed.mapInArrow(telling(share), "place long, ordinary int, toxic int, contexts int").toPandas()
-    model = Model(*(found[c].to_numpy().astype(np.int64) for c in ("place", "ordinary", "toxic", "contexts")), share)
+    counts = "key long, ordinary long, toxic long"
+    summed = labelled.mapInArrow(count_task, counts).groupBy("key").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
+    found = summed.mapInArrow(telling(share), counts).toPandas().sort_values("key")
+    keys, ordinary, toxic = (found[c].to_numpy().astype(np.int64) for c in ("key", "ordinary", "toxic"))
+    # Only words have contexts: a pair is met after one word.
+    contexts, words = np.ones(len(keys), np.int64), spark.sparkContext.broadcast(keys[keys & 1 == 0])
+    if len(words.value):
+        met = named.select("text").mapInArrow(context_task(words), "key long, pair long").distinct().groupBy("key").count().toPandas()
+        contexts[slots(keys, met["key"].to_numpy())] = met["count"].to_numpy()
+    model = Model(keys, ordinary, toxic, contexts, share)
 
     difference = differences(broadcast_model(spark, model), 0, 1)
 
@@ -234,8 +260,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             at = np.floor(difference(batch) * BINS).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(at), batch.column(1)], names=["bin", "label"])
 
-    rows = named.join(known, "label_id").select("text", "label").mapInArrow(bins, "bin long, label int").groupBy("bin").agg(F.sum("label").alias("toxic"), F.count("*").alias("n")).collect()
-    return Model(model.places, model.ordinary, model.toxic, model.contexts, share, best_threshold([(r.bin, r.n - r.toxic, r.toxic) for r in rows]))
+    rows = labelled.mapInArrow(bins, "bin long, label int").groupBy("bin").agg(F.sum("label").alias("toxic"), F.count("*").alias("n")).collect()
+    return Model(model.keys, model.ordinary, model.toxic, model.contexts, share, best_threshold([(r.bin, r.n - r.toxic, r.toxic) for r in rows]))
 
 
 def best_threshold(bins: list[tuple[int, int, int]]) -> float:
