@@ -3,6 +3,8 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from vitalgrid.llm import neardup
@@ -97,3 +99,28 @@ def test_components(spark):
         got = {r.node: r.label for r in components(edges, chunk).collect()}
         assert got == {**{i: 0 for i in range(41)}, 90: 90, 95: 90, 100: 90}
     assert components(edges.limit(0)).count() == 0
+
+
+def test_pairs_with_a_chance_byte_before_their_first_common_value(spark):
+    """A byte of the prefix that agrees by chance doesn't hide the list where two meet."""
+    rng = random.Random(4)
+    texts = []
+    for i in range(4000):
+        base = [f"w{i}x{j}" for j in range(104)]
+        copy = list(base)
+        for _ in range(2):
+            copy[rng.randrange(5, 99)] = f"y{rng.randrange(10**6)}"
+        texts += [" ".join(base), " ".join(copy + [f"z{j}" for j in range(8)])]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc", "text"])
+    keys, prints = [], []
+    for out in neardup.signatures(iter([batch])):
+        keys += out.column(4).to_pylist()
+        prints += [p[: neardup.PREFIX] for p in out.column(5).to_pylist()]
+    byte = [np.array([a == b for a, b in zip(*prints[i : i + 2])]) for i in range(0, len(texts), 2)]
+    value = [np.array([a == b for a, b in zip(*keys[i : i + 2])]) for i in range(0, len(texts), 2)]
+    odd = [i for i, (a, b) in enumerate(zip(byte, value)) if b.any() and a.argmax() != b.argmax()]
+    assert odd
+    rows = [(j, texts[j]) for i in odd for j in (2 * i, 2 * i + 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in neardup.groups(docs, rounds=0).collect()}
+    assert got == brute(rows) and sum(k for _, _, k in got.values()) == len(odd)

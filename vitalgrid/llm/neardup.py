@@ -114,17 +114,19 @@ def low_bytes(values: np.ndarray) -> np.ndarray:
 
 
 def wider(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(cls, text) to (cls, wide): the low bytes of the further coordinates."""
+    """(cls, text) to (cls, wide): the low bytes of the further coordinates, then the
+    whole values of the prefix."""
     for batch in batches:
         for first, end, data, offsets in spans.slices(batch.column(1), 500_000):
             row, value = shingle_sets(data, offsets)
             n = np.bincount(row, minlength=end - first)
             some = np.flatnonzero(n)
             at = (np.cumsum(n) - n)[some]
-            values = np.zeros((end - first, WIDE - COORDINATES), np.uint32)
-            for j in range(COORDINATES, WIDE) if len(some) else ():
-                values[some, j - COORDINATES] = np.minimum.reduceat(((value ^ XORS[j]) * FACTORS[j]) >> np.uint64(32), at)
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), pa.array([v.tobytes() for v in low_bytes(values)], pa.binary())], names=["cls", "wide"])
+            values = np.zeros((end - first, WIDE), np.uint32)
+            for j in (*range(PREFIX), *range(COORDINATES, WIDE)) if len(some) else ():
+                values[some, j] = np.minimum.reduceat(((value ^ XORS[j]) * FACTORS[j]) >> np.uint64(32), at)
+            wide = [v.tobytes() + p.tobytes() for v, p in zip(low_bytes(values[:, COORDINATES:]), values[:, :PREFIX])]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), pa.array(wide, pa.binary())], names=["cls", "wide"])
 
 
 def columns_of(column: pa.Array) -> np.ndarray:
@@ -224,6 +226,7 @@ def all_edges(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Every pair of a list with different labels and enough collisions, counted over
     few coordinates first and over many of what is left."""
+    wide, whole = wide[:, : WIDE - COORDINATES], np.ascontiguousarray(wide[:, WIDE - COORDINATES :]).view(np.uint32)
     us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for i in range(len(label) - 1):
         other = np.flatnonzero((label[i + 1 :] != label[i]) & near_sizes(size[i + 1 :], size[i])) + i + 1
@@ -233,8 +236,8 @@ def all_edges(
         other, count = other[count >= MATCHES], count[count >= MATCHES]
         other = other[count + (wide[other] == wide[i]).sum(axis=1) >= WIDE_MATCHES]
         # Of the lists in which two meet, the one of their first common coordinate
-        # proposes them; a list that was split may do so again.
-        first = (prints[other, :PREFIX] == prints[i, :PREFIX]).argmax(axis=1)
+        # proposes them; a list that was split may do so again. Lists go by whole values.
+        first = (whole[other] == whole[i]).argmax(axis=1)
         other = other[first == key >> 32] if key >= 0 else other
         us.append(np.full(len(other), i))
         vs.append(other)
