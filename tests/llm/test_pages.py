@@ -65,3 +65,17 @@ def test_nulls_empty_long_and_extra_columns(spark):
     assert rows[None].text == "\n".join(["word word"] * 30000)
     assert pages.extract(table).columns == ["html", "page_id", "url", "n_chars", "text"]
     assert pages.main_texts(table.limit(0)).count() == 0
+
+
+LINKS = "".join(f"<li><a href={i}>Reference {i}</a>" for i in range(4))
+REFERENCES = "\n".join(f"Reference {i}" for i in range(4))
+
+
+def test_links_of_an_article_stay():
+    html = f"<p>Out<article><ul>{LINKS}</ul><p>{LONG}<ul>{LINKS}</ul><p>Short.<ul>{LINKS}</ul></article>"
+    assert pages.main_text(html) == f"{REFERENCES}\n{LONG}\n{REFERENCES}\nShort.\n{REFERENCES}"
+
+
+def test_links_do_not_cut_text_in_two():
+    html = f"<ul>{LINKS}</ul>" + f"<p>{LONG}" * 5 + f"<ul>{LINKS}</ul><p>{LONG}<ul>{LINKS}</ul>"
+    assert pages.main_text(html) == "\n".join([LONG] * 5 + [REFERENCES, LONG])

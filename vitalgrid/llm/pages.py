@@ -6,15 +6,17 @@ that they are no article (navigation, footers, forms, adverts, reader comments,
 element or by class, id and role) give no lines; if a page marks its article, only that
 gives lines. The text outside links is summed over sliding windows of ``WINDOW`` lines.
 Where the sum surges over ``surge`` text begins, where it dives to nothing it ends, and
-the lines between are kept, short ones included. Of a page that marks no article, the
-heaviest such stretch is kept with those that have at least ``SHARE`` of its weight.
+the lines between are kept, short ones included. A marked article is kept whole, its
+lists of links too. Of a page that marks no article, the heaviest such stretch is kept
+with those that have at least ``SHARE`` of its weight; stretches that only lines within
+links part count as one, and those lines stay.
 
 Character references are decoded after the markup is gone, white space within a line
 becomes one space, and the lines are joined by line feeds.
 
 Defined cases: null or empty html gives empty text; a page without markup is one line;
 unclosed and wrongly nested elements end with the element around them; a page with
-links only has no text; repeated rows each give a row.
+links only has no text unless it marks them as its article; repeated rows each give a row.
 """
 
 from __future__ import annotations
@@ -172,17 +174,27 @@ def stretches(weight: np.ndarray, surge: int) -> list[tuple[int, int]]:
     return out
 
 
+def bridged(found: list[tuple[int, int]], weight: np.ndarray) -> list[tuple[int, int]]:
+    """Stretches with nothing but lines within links between them as one."""
+    out: list[tuple[int, int]] = []
+    for a, b in found:
+        if out and not weight[out[-1][1] : a].any():
+            out[-1] = (out[-1][0], b)
+        else:
+            out.append((a, b))
+    return out
+
+
 def main_text(html: str | None) -> str:
     if not html:
         return ""
     lines = lines_of(html)
     inside = [line for line in lines if line[2]]
-    marked_article = bool(inside)
-    lines = inside or lines
+    if inside:
+        return "\n".join(text for text, _, _ in inside)
     weight = np.array([free for _, free, _ in lines], float)
-    # In a marked article any text is the article's; elsewhere a surge must be felt.
-    found = stretches(weight, 1 if marked_article else SURGE) or stretches(weight, 1)
-    if not marked_article and found:
+    found = bridged(stretches(weight, SURGE) or stretches(weight, 1), weight)
+    if found:
         heavy = [weight[a:b].sum() for a, b in found]
         found = [x for x, h in zip(found, heavy) if h >= SHARE * max(heavy)]
     return "\n".join(lines[i][0] for a, b in found for i in range(a, b))
