@@ -45,3 +45,24 @@ def test_native_and_extra_columns(spark):
     assert [tuple(r) for r in chat.render(turns).collect()] == [(4, 1, "<|im_start|>user\nt<|im_end|>\n")]
     assert "Python" not in chat.render(turns)._jdf.queryExecution().toString()
     assert chat.render(turns.limit(0)).count() == 0
+
+
+def test_hot_logs_are_spread_over_tasks_and_rows(spark, monkeypatch):
+    """Logs that hold most of the table, one without id, over many ranges and rows."""
+    rng = random.Random(2)
+    rows = [(c, i, "user", f"turn {i} " + "x" * rng.randint(0, 40)) for c in (None, 7) for i in range(2000)]
+    rows += [(8, i, "user", t[3]) for i, t in enumerate(rows[2000:3500])]  # inside 7
+    rows += [(c, i, "user", f"{c % 5} {i}") for c in range(100, 150) for i in range(c % 3 + 1)]
+    turns = spark.createDataFrame(rng.sample(rows, len(rows)), "conv_id long, turn long, role string, text string").repartition(4)
+    monkeypatch.setattr(chat, "BLOCK", 20000)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        every = chat.numbered(chat.ordered(turns))
+        assert every.where("conv_id IS NULL").select("part").distinct().count() > 1
+        got = {}
+        for r in sorted(chat.render(turns).collect(), key=lambda r: r.n_turns):
+            assert len(r.chat) < 20100
+            got[r.conv_id] = r.n_turns, got.get(r.conv_id, (0, ""))[1] + r.chat
+        assert {(c, *x) for c, x in got.items()} == brute(rows)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
