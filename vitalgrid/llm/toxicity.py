@@ -1,7 +1,9 @@
-"""Toxicity by class-conditional Kneser-Ney models.
+"""Toxicity by a log-odds test on class-conditional, discounted counts.
 
 Two models, one of toxic and one of ordinary text, give every word of a document a
-probability; the score compares the two log-likelihoods divided by the number of words.
+weight; the score is the mean log ratio of the two. The discount and the continuation
+counts are those of Kneser-Ney, but weights are not normalised by a history's total and
+the orders are not interpolated, so these are no Kneser-Ney likelihoods.
 
 Both models have the discounted counts of their own class (documents that hold an
 expression, a word or a pair of words) and back off to the same continuation counts:
