@@ -3,9 +3,9 @@
 Count-min prefilter: windows of ``window`` words are counted in a count-min sketch,
 and only windows whose estimate says repeated are grouped exactly. The estimate is
 never too low, so no repeat is lost. A whole sketch that keeps its precision grows with
-the corpus, so it is not broadcast: it is split by the leading bits of the key. What a
-task sends to a partition is its own sketch of that part, sparse, as the keys it has
-seen; the partition adds these to one sketch and goes over the keys a second time.
+the corpus, so it is not broadcast. Tasks make no sketch: all keys are shuffled by their
+leading bits, and the partition that gets them counts them in one sketch and goes over
+them a second time. The prefilter saves exact grouping, not shuffling.
 Spans and anchors (see ``repeats``) keep the number of keys small.
 
 Defined cases: words are runs of bytes other than space and 0x09 to 0x0D, unchanged;
