@@ -94,3 +94,27 @@ def test_nulls_empty_and_extra_columns(spark):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3, 4]
     assert contamination.matches(docs.limit(0), benchmark).count() == 0
     assert contamination.matches(docs, benchmark.limit(0)).count() == 0
+
+
+def test_few_chunks_are_held_at_once(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    benchmark = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    kept = sorted(r.doc_id for r in contamination.clean(docs, benchmark).collect())
+    made, gone, most = [], [], [0]
+    context, real = spark.sparkContext, spark.sparkContext.broadcast
+
+    def broadcast(value):
+        made.append(real(value))
+        most[0] = max(most[0], len(made) - len(gone))
+        return made[-1]
+
+    shipped = type(real(0))
+    destroy = shipped.destroy
+    monkeypatch.setattr(shipped, "destroy", lambda self, *a: gone.append(self) or destroy(self, *a))
+    monkeypatch.setattr(context, "broadcast", broadcast)
+    monkeypatch.setattr(contamination, "CHUNK_BYTES", 2500)
+    for judge in (contamination.matches, contamination.clean):
+        made.clear(), gone.clear()
+        out = judge(docs, benchmark)
+        assert len(made) > 6 and most[0] <= 3  # two chunks, and words being counted
+    assert sorted(r.doc_id for r in out.collect()) == kept and len(kept) < docs.count()

@@ -11,10 +11,11 @@ twice over its length, by Smith-Waterman: a match counts 1, another word or a ga
 if it reaches ``LEAST``. With n = 2, a copy in which every third word is another still
 has seeds.
 
-The corpus is read twice and never shuffled: the items go to the tasks in chunks of at
-most ``CHUNK_BYTES`` of text, one pass pair per chunk, so that what is broadcast stays
-bounded for any size of benchmark. What a task returns are counts of the chunk's
-words, and hits.
+The corpus is read twice per chunk of about ``CHUNK_BYTES`` of the items' text. The hits
+of a chunk are written down and its broadcast released when the next one is ready, so at
+most two chunks are held by driver and executors for any size of benchmark. What a task
+returns are counts of the chunk's words, and hits. The items themselves are read, counted
+and seeded by the driver, a chunk at a time.
 
 Defined cases: null and empty texts and items have no words and match nothing; an item
 of fewer words than n matches nothing; repeated items and repeated rows match each on
@@ -31,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitalgrid.llm import spans
+from vitalgrid.session import staged
 
 N, PENALTY, LEAST = 2, 0.5, 0.5
 RARE, HITS = 1_000_000, 2
@@ -176,7 +178,9 @@ def prepared(docs: DataFrame, benchmark: DataFrame, n: int) -> Iterator:
         if max(map(len, items)) < n:
             continue
         table = np.unique(np.concatenate(items))
-        counts, every = word_counts(texts, spark.sparkContext.broadcast(table))
+        asked = spark.sparkContext.broadcast(table)
+        counts, every = word_counts(texts, asked)
+        asked.destroy()
         yield spark.sparkContext.broadcast((ids, items, seeds(items, table, counts, every, n)))
 
 
@@ -213,14 +217,23 @@ def finder(shipped, n: int, least: float):
     return run
 
 
+def written(hits: DataFrame, shipped, name: str) -> DataFrame:
+    """Hits, after which what they were found with is released."""
+    out = staged(hits, name)
+    shipped.destroy()
+    return out
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, n: int = N, least: float = LEAST) -> DataFrame:
     """doc_id, item_id, score, end_word (in the document) for every document that
     holds an item; the best place if there are several."""
     item_type = benchmark.schema["item_id"].dataType.simpleString()
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id {item_type}, score double, end_word long"
     item_arrow = {"bigint": pa.int64(), "int": pa.int32()}.get(item_type, pa.string())
-    found = docs.sparkSession.createDataFrame([], schema)
+    found, last = docs.sparkSession.createDataFrame([], schema), None
     for shipped in prepared(docs, benchmark, n):
+        if last:
+            found = found.unionByName(written(*last, "hits"))
 
         def run(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
             find, ids = finder(shipped, n, least), shipped.value[0]
@@ -232,22 +245,36 @@ def matches(docs: DataFrame, benchmark: DataFrame, n: int = N, least: float = LE
                         names=["doc_id", "item_id", "score", "end_word"],
                     )
 
-        found = found.unionByName(docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, schema))
-    return found
+        last = docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, schema), shipped
+    return found.unionByName(last[0]) if last else found
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, n: int = N, least: float = LEAST) -> DataFrame:
     """``docs`` without the rows that hold a test item. A row is judged where its text
-    is, so nothing is joined."""
-    at, kept = docs.columns.index("text"), docs
+    is; of all chunks but the last the texts judged so are known by 128 bits."""
+    at, bad, last = docs.columns.index("text"), None, None
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     for shipped in prepared(docs, benchmark, n):
+        if last:
+            hits = docs.select(text.alias("text")).mapInArrow(rows_held(last, 0, n, least, True), "text string")
+            hits = written(hits.select(F.xxhash64(F.lit(1), "text").alias("k1"), F.xxhash64(F.lit(2), "text").alias("k2")).distinct(), last, "hits")
+            bad = hits if bad is None else bad.unionByName(hits)
+        last = shipped
+    kept = docs
+    if bad is not None:
+        same = (F.xxhash64(F.lit(1), text) == bad["k1"]) & (F.xxhash64(F.lit(2), text) == bad["k2"])
+        kept = docs.join(bad, same, "left_anti")
+    return kept.mapInArrow(rows_held(last, at, n, least, False), docs.schema) if last else kept
 
-        def run(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
-            find = finder(shipped, n, least)
-            for batch in batches:
-                keep = np.ones(batch.num_rows, bool)
-                keep[[row for row, *_ in find(batch.column(at))]] = False
-                yield batch.filter(pa.array(keep))
 
-        kept = kept.mapInArrow(run, docs.schema)
-    return kept
+def rows_held(shipped, at: int, n: int, least: float, held: bool):
+    """The rows that hold an item of the chunk, or those that hold none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find = finder(shipped, n, least)
+        for batch in batches:
+            keep = np.full(batch.num_rows, not held)
+            keep[[row for row, *_ in find(batch.column(at))]] = held
+            yield batch.filter(pa.array(keep))
+
+    return run
