@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vitalgrid.llm import bpe, chat, contamination, neardup, pages, quality, shards, substring, suffix, toxicity
+from vitalgrid.llm import bpe, chat, contamination, neardup, pages, quality, shards, substring, suffix, toxicity, vectors
 
 
 #: Rows of a batch that goes to a Python worker. Texts are long, and a batch is held
@@ -58,6 +58,10 @@ def op10_count_min_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digests(table(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def op13_laesa_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.compress(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -71,7 +75,8 @@ QUERIES = {
         op8_snapshot_collapse,
         op9_kd_tree_shards,
         op10_count_min_substrings,
+        op13_laesa_codes,
     )
 }
 
-ORACLE_SQL = {"op8_snapshot_collapse": chat.SQL}
+ORACLE_SQL = {"op8_snapshot_collapse": chat.SQL, "op13_laesa_codes": vectors.SQL}
