@@ -17,6 +17,7 @@ COLUMNS = {
     "op8": "conv_id n_turns chat",
     "op9": "doc_id size text_crc32 law shard slot grown_shard",
     "op10": "doc_id n_words n_removed kept_sha256",
+    "op11": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
     "op12": "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
     "op13": "vec_id code error label_error codebooks_sha256",
 }

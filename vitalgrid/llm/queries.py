@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vitalgrid.llm import alignment, bpe, chat, contamination, neardup, pages, quality, shards, substring, suffix, toxicity, vectors
+from vitalgrid.llm import alignment, bpe, chat, contamination, neardup, pages, personal, quality, shards, substring, suffix, toxicity, vectors
 
 
 #: Rows of a batch that goes to a Python worker. Texts are long, and a batch is held
@@ -58,6 +58,10 @@ def op10_count_min_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digests(table(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def op11_boosted_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.find(table(spark, sf_dir, "documents"))
+
+
 def op12_space_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     return alignment.align(table(spark, sf_dir, "documents"), a, b)
@@ -80,6 +84,7 @@ QUERIES = {
         op8_snapshot_collapse,
         op9_kd_tree_shards,
         op10_count_min_substrings,
+        op11_boosted_candidates,
         op12_space_anchors,
         op13_laesa_codes,
     )
