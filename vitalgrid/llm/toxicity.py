@@ -1,37 +1,39 @@
-"""Toxicity by a log-odds test on class-conditional, discounted counts.
-
-Two models, one of toxic and one of ordinary text, give every word of a document a
-weight; the score is the mean log ratio of the two. The discount and the continuation
-counts are those of Kneser-Ney, but weights are not normalised by a history's total and
-the orders are not interpolated, so these are no Kneser-Ney likelihoods.
-
-Both models have the discounted counts of their own class (documents that hold an
-expression, a word or a pair of words) and back off to the same continuation counts:
-in how many contexts, after which other words, a word is met in the whole corpus,
-labelled or not. Class ``c`` gives expression ``w`` a weight of
-
-    max(count_c(w) - DISCOUNT, 0) + BACKOFF * share_c * contexts(w)
-
-where share_c is the class's share of the labelled documents, so an expression unknown
-to both, or as frequent in both as the classes are, tells nothing. A pair that tells
-nothing backs off to its second word, and an expression whose counts differ by less
-than ``SIGMAS`` standard deviations from the classes' shares backs off to the shared
-counts, equal in both models. Without that, the many words that were met in one class
-by chance would outweigh the few that mean something.
-
-The scale from the difference to a score is fitted on the labelled documents, each
-scored with its own counts taken out: the threshold with the fewest errors scores 0.5.
-
-Expressions stand under hashes of 63 bits and are counted exactly: tasks add up what
-they can hold, the rest is grouped in a shuffle. At most about ``LABELS`` labelled
-documents are used, chosen by a hash of the id. The contexts are counted, over all
-documents, of the words that tell something; only what tells something reaches the
-driver and is broadcast. A row's start is one of the contexts.
-
-Defined cases: null and empty texts have no words and a difference of 0, below any
-threshold; null labels are no labels; with labels of one class or none every difference
-is 0; a null doc_id counts as the empty text where the held-out fold is chosen; repeated
-labels of a document count as toxic if one of them says so.
+"""Toxicity by class-conditional Kneser-Ney models.
+
+Two models of pairs of words, one of toxic and one of ordinary text, give the pairs of a
+document a likelihood; the score follows from the difference of the two log-likelihoods,
+divided by the number of pairs. An occurrence is a document that holds a pair, so a
+document counts each of its pairs once, in learning as in scoring. With n the labelled
+documents of class c that hold something, the models interpolate as Kneser and Ney do:
+
+    P_c(w | v) = (n_c(v w) - D) / h_c(v) + l_c(v) * P_c(w)
+    P_c(w)     = (n_c(w) - D) / N_c      + l_c * P(w)
+    P(w)       = (contexts(w) + 1/2) / (all contexts + vocabulary / 2)
+
+h and N are the sums of the counts, l the mass that the discounts D freed, so all three
+are probabilities that add up to 1. The last is shared: ``contexts`` counts after how many
+different words (or the start of a text) a word is met in the whole corpus, labelled or
+not. As in modified Kneser-Ney smoothing the discount depends on the count: it takes all
+that the classes' shares explain, with a margin for chance,
+
+    D = min(n_c, E + kappa * sqrt(E * (1 - share_c))),   E = share_c * (n_toxic + n_ordinary)
+
+so expressions that are rare, or as frequent in both classes as the classes are, are left
+to the shared counts in both models. ``kappa`` is chosen from ``KAPPAS``, and the
+difference at which the score is 0.5 is set, by the errors on the labelled documents,
+each scored with its own occurrences taken out of the counts n.
+
+Words stand under hashes of 48 bits and are counted exactly. One pass over all texts
+yields every pair of a task once; a word that is frequent in a bounded sample of labelled
+texts is counted in several parts. Labels of at most about ``LABELS`` documents are used.
+Only expressions whose count exceeds its discount differ from the shared model; they are
+broadcast after a count, and beyond ``BROADCAST`` values joined to the texts' pairs.
+
+Defined cases: null and empty texts have no pairs and the difference of a text of unknown
+words, below any threshold; null labels are no labels; with labels of one class or none
+every difference is 0 and nothing is toxic; a null doc_id counts as the empty text where
+the held-out fold is chosen; repeated labels of a document count as toxic if one of them
+says so.
 """
 
 from __future__ import annotations
@@ -43,280 +45,483 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vitalgrid.llm import spans
 from vitalgrid.llm.contamination import hashed_words
 from vitalgrid.session import staged
 
-DISCOUNT, BACKOFF, SIGMAS = 0.75, 1.0, 5.0
-CONTEXTS = np.inf  # contexts are counted in full
-LABELS = 1_000_000
-HELD = 1 << 21  # expressions that a task adds up before it hands them on
+KAPPAS = (4.0, 5.0, 6.0)
+LABELS = 200_000
+#: Numbers that a broadcast of expressions may hold; 8 bytes each.
+BROADCAST = 8_000_000
+HELD = 1 << 21  # pairs that a task adds up before it hands them on
+SAMPLED = 20_000  # labelled documents in which frequent words are looked for
+PARTS = 4096  # a word with more than one in so many occurrences is counted in parts
 BINS = 1000  # of the histogram, per unit of difference
+#: In place of the word before: the row holds occurrences of the word itself, or of all
+#: pairs that it begins. 0 is the start of a text.
+ITSELF, BEGINS = -1, -2
+ORDINARY = 1 << 32  # an ordinary occurrence within a packed count; a toxic one is 1
 
-@dataclass(frozen=True)
-class Model:
-    """Keys of the expressions that tell something, sorted, their counts of ordinary and
-    toxic documents, the contexts, the classes' shares, and the threshold."""
-
-    keys: np.ndarray
-    ordinary: np.ndarray
-    toxic: np.ndarray
-    contexts: np.ndarray
-    share: float
-    threshold: float = 1.0
 
-    def ratios(self, ordinary: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-        return log_ratio(ordinary, toxic, self.contexts, self.share)
+# -- expressions of texts ------------------------------------------------------------
 
 
-def tells(ordinary: np.ndarray, toxic: np.ndarray, share: float) -> np.ndarray:
-    """Whether the counts are further from the classes' shares than chance would have it."""
-    both = ordinary + toxic
-    if not 0 < share < 1:
-        return np.zeros(len(both), bool)
-    return np.abs(toxic - share * both) / np.sqrt(np.maximum(both, 1e-9) * share * (1 - share)) > SIGMAS
+def pair_keys(word: np.ndarray, before: np.ndarray) -> np.ndarray:
+    return spans.mix(before.astype(np.uint64) * np.uint64(0xA0761D6478BD642F) + spans.mix(word.astype(np.uint64) * np.uint64(0xE7037ED1A0B428DB)))
 
 
-def log_ratio(ordinary: np.ndarray, toxic: np.ndarray, contexts: np.ndarray, share: float) -> np.ndarray:
-    """log of toxic over ordinary probability, 0 where the counts tell nothing."""
-    if not 0 < share < 1:
-        return np.zeros(len(ordinary))
-    back = BACKOFF * np.maximum(contexts, 1)
-    of_toxic = (np.maximum(toxic - DISCOUNT, 0) + share * back) / share
-    of_ordinary = (np.maximum(ordinary - DISCOUNT, 0) + (1 - share) * back) / (1 - share)
-    return np.where(tells(ordinary, toxic, share), np.log(of_toxic / of_ordinary), 0.0)
-
-
-def expressions(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Key of every word (even), key of the pair it ends (odd; that of the word itself at
-    a row's start), and the first word of every row."""
+def pairs_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word, word before and row of every place of a slice."""
     words, first = hashed_words(data, offsets)
-    word = words & ~np.uint64(1)
-    pair = word.copy()
-    pair[1:] = spans.mix(words[:-1] * np.uint64(0xA0761D6478BD642F) + words[1:]) | np.uint64(1)
-    starts = first[:-1][first[:-1] < len(words)]
-    pair[starts] = word[starts]
-    return word.view(np.int64), pair.view(np.int64), first
-
-
-def held_out(doc_id: Column) -> Column:
-    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
+    word = np.maximum((words >> np.uint64(16)).astype(np.int64), 1)
+    before = np.concatenate([[0], word[:-1]])[: len(word)]
+    before[first[:-1][first[:-1] < len(word)]] = 0
+    return word, before, np.repeat(np.arange(len(first) - 1), np.diff(first))
 
 
-def fit_labels(labels: DataFrame, bound: int = LABELS) -> DataFrame:
-    """(label_id, label) of the documents to learn from, about ``bound`` at most."""
-    known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    known = known.groupBy(F.col("doc_id").cast("long").alias("label_id")).agg((F.max("toxic") > 0).cast("int").alias("label"))
-    share = bound / max(bound, known.count())
-    return known.where(F.pmod(F.xxhash64("label_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+def once_per_row(word: np.ndarray, before: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Places that hold the first of equal pairs of a row."""
+    key = pair_keys(word, before) ^ spans.mix((row + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return np.unique(key, return_index=True)[1]
 
 
 def added_up(held: list[list[np.ndarray]]) -> list[np.ndarray]:
-    """Parts of (key, counts of ordinary and toxic documents) with every key once."""
-    key, *counts = (np.concatenate(x) for x in zip(*held))
-    key, at = np.unique(key, return_inverse=True)
-    return [key, *(np.bincount(at, c, len(key)).astype(np.int64) for c in counts)]
-
-
-def in_turn(parts: Iterator[list[np.ndarray]], merge, names: list[str]) -> Iterator[pa.RecordBatch]:
-    """Parts merged while they are few; a task never holds much over ``HELD`` rows."""
+    """Parts of (word, before, count) with every pair once."""
+    word, before, count = (np.concatenate(x) for x in zip(*held))
+    key = pair_keys(word, before)
+    order = np.argsort(key, kind="stable")
+    new = np.ones(len(key), bool)
+    new[1:] = key[order][1:] != key[order][:-1]
+    first = np.flatnonzero(new)
+    return [word[order[first]], before[order[first]], np.add.reduceat(count[order], first) if len(first) else count]
+
+
+def in_turn(parts: Iterator[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """Parts added up while they are few; a task never holds much over ``HELD`` rows."""
     held, rows, merged = [], 0, 0
     for part in parts:
         held.append(part)
         rows += len(part[0])
         if rows > merged + HELD // 2:
-            held = [merge(held)]
+            held = [added_up(held)]
             rows = merged = len(held[0][0])
             if merged > HELD:
-                yield from sent(held[0], names)
+                yield from sent(held[0])
                 held, rows, merged = [], 0, 0
     if held:
-        yield from sent(merge(held), names)
+        yield from sent(added_up(held))
 
 
-def sent(columns: list[np.ndarray], names: list[str]) -> Iterator[pa.RecordBatch]:
-    for at in range(0, len(columns[0]), 100_000):
-        yield pa.RecordBatch.from_arrays([pa.array(c[at : at + 100_000]) for c in columns], names=names)
+def sent(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    # In order, so that rows of one word compress.
+    order = np.lexsort((columns[1], columns[0]))
+    for at in range(0, len(order), 100_000):
+        yield pa.RecordBatch.from_arrays([pa.array(c[order[at : at + 100_000]]) for c in columns], names=["word", "before", "n"])
 
 
 def count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, label) to (key, ordinary, toxic): documents that hold an expression."""
+    """(text, label) to (word, before, n): every pair of the task, with the labelled
+    documents that hold it; likewise words, and the pairs that a word begins."""
 
     def parts() -> Iterator[list[np.ndarray]]:
         for batch in batches:
             label = batch.column(1).to_numpy(zero_copy_only=False)
             for start, end, data, offsets in spans.slices(batch.column(0), 1_000_000):
-                word, pair, first = expressions(data, offsets)
-                row = np.repeat(np.arange(end - start), np.diff(first))
-                row, key = np.concatenate([row, row]), np.concatenate([word, pair])
-                order = np.lexsort((key, row))
-                row, key = row[order], key[order]
-                new = np.ones(len(row), bool)
-                new[1:] = (row[1:] != row[:-1]) | (key[1:] != key[:-1])
-                toxic = (label[start:end][row[new]] == 1).astype(np.int64)
-                if len(toxic):
-                    yield added_up([[key[new], 1 - toxic, toxic]])
+                word, before, row = pairs_of(data, offsets)
+                mine = label[start:end]
+                known = np.isin(mine, (0, 1))[row]
+                rest = ~known
+                out = [[word[rest], before[rest], np.zeros(int(rest.sum()), np.int64)]]
+                word, before, row = word[known], before[known], row[known]
+                at = once_per_row(word, before, row)
+                word, before, row = word[at], before[at], row[at]
+                n = np.where(mine[row] == 1, 1, ORDINARY).astype(np.int64)
+                out += [[word, before, n], [before, np.full(len(at), BEGINS), n]]
+                at = once_per_row(word, np.zeros(len(word), np.int64), row)
+                out.append([word[at], np.full(len(at), ITSELF), n[at]])
+                yield added_up(out)
+
+    yield from in_turn(parts())
+
+
+def frequent_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text) to (word, before, n): occurrences of words."""
 
-    yield from in_turn(parts(), added_up, ["key", "ordinary", "toxic"])
+    def parts() -> Iterator[list[np.ndarray]]:
+        for batch in batches:
+            for _, _, data, offsets in spans.slices(batch.column(0), 1_000_000):
+                word, _, _ = pairs_of(data, offsets)
+                yield added_up([[word, np.zeros(len(word), np.int64), np.ones(len(word), np.int64)]])
 
+    yield from in_turn(parts())
 
-def telling(share: float):
-    """Of (key, ordinary, toxic) the rows that tell something."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            _, ordinary, toxic = (np.asarray(c) for c in batch.columns)
-            yield batch.filter(pa.array(tells(ordinary, toxic, share)))
+PAIRS = "word long, before long, n long"
 
-    return run
 
+# -- learning ------------------------------------------------------------------------
 
-def context_task(words):
-    """(text) to distinct (key, pair) of the words asked for, a sorted broadcast."""
 
-    def once(held: list[list[np.ndarray]]) -> list[np.ndarray]:
-        key, pair = (np.concatenate(x) for x in zip(*held))
-        order = np.lexsort((key, pair))
-        key, pair = key[order], pair[order]
-        new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (pair[1:] != pair[:-1])
-        return [key[new], pair[new]]
+def held_out(doc_id: Column) -> Column:
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def parts() -> Iterator[list[np.ndarray]]:
-            for batch in batches:
-                for _, _, data, offsets in spans.slices(batch.column(0), 1_000_000):
-                    word, pair, _ = expressions(data, offsets)
-                    asked = slots(words.value, word) >= 0
-                    if asked.any():
-                        yield once([[word[asked], pair[asked]]])
 
-        yield from in_turn(parts(), once, ["key", "pair"])
+def fit_labels(labels: DataFrame, bound: int = LABELS) -> DataFrame:
+    """(label_id, label) of the documents to learn from, about ``bound`` at most."""
+    known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    known = known.groupBy(F.col("doc_id").cast("long").alias("label_id")).agg((F.max("toxic") > 0).cast("int").alias("label"))
+    share = bound / max(bound, known.count())
+    return known.where(F.pmod(F.xxhash64("label_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
 
-    return run
 
+def toxic_of(n: Column) -> Column:
+    return n.bitwiseAND(F.lit(ORDINARY - 1)).cast("double")
 
-def slots(keys: np.ndarray, asked: np.ndarray) -> np.ndarray:
-    """Where in the sorted ``keys`` those asked for stand, -1 if they don't."""
-    if not len(keys):
-        return np.full(len(asked), -1)
-    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
-    return np.where(keys[at] == asked, at, -1)
 
+def ordinary_of(n: Column) -> Column:
+    return F.shiftright(n, 32).cast("double")
 
-def differences(model, text: int, label: int | None):
-    """Per row the mean log ratio of its words; with a label, its own counts are taken
-    out. ``model`` is a broadcast."""
 
-    def run(batch: pa.RecordBatch) -> np.ndarray:
-        m: Model = Model(**model.value)
-        known = batch.column(label).to_numpy(zero_copy_only=False) if label is not None else None
-        tables = {own: m.ratios(m.ordinary - (own == 0), m.toxic - (own == 1)) for own in ([None] if known is None else [0, 1])}
-        out = np.zeros(batch.num_rows)
-        for start, end, data, offsets in spans.slices(batch.column(text), 1_000_000):
-            word_key, pair_key, first = expressions(data, offsets)
-            word_slot, pair_slot = slots(m.keys, word_key), slots(m.keys, pair_key)
-            row = np.repeat(np.arange(end - start), np.diff(first))
-            for own, table in tables.items():
-                table = np.append(table, 0.0)
-                word, two = table[word_slot], table[pair_slot]
-                total = np.bincount(row, np.where(two != 0, two, word), end - start)
-                mean = total / np.maximum(np.diff(first), 1)
-                mine = slice(start, end)
-                out[mine] = mean if own is None else np.where(known[mine] == own, mean, out[mine])
-        return out
+def excess(n: Column, both: Column, share: float, kappa: float) -> Column:
+    """What the discount leaves of a count."""
+    return F.greatest(F.lit(0.0), n - (both * share + F.sqrt(both * (share * (1 - share))) * kappa))
 
-    return run
 
+@dataclass(frozen=True)
+class Variant:
+    """A margin, and the class of the document whose own occurrence is taken out."""
 
-def broadcast_model(spark, model: Model):
-    return spark.sparkContext.broadcast({k: getattr(model, k) for k in Model.__dataclass_fields__})
+    kappa: float
+    own: int | None = None
 
+    def counts(self, n: Column) -> tuple[Column, Column]:
+        """Ordinary and toxic occurrences."""
+        o, t = ordinary_of(n), toxic_of(n)
+        return (F.greatest(o - 1, F.lit(0.0)) if self.own == 0 else o), (F.greatest(t - 1, F.lit(0.0)) if self.own == 1 else t)
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Learn from the labels outside the held-out fold and from all texts."""
-    spark = docs.sparkSession
+    def excesses(self, n: Column, share: float) -> tuple[Column, Column]:
+        o, t = self.counts(n)
+        return excess(o, o + t, 1 - share, self.kappa), excess(t, o + t, share, self.kappa)
+
+
+#: Whoever's occurrence is taken out.
+OWNS = (None, 0, 1)
+
+
+def may_tell(n: Column, share: float) -> Column:
+    """Whether a count exceeds its discount in any variant."""
+    least = [x for own in OWNS for x in Variant(min(KAPPAS), own).excesses(n, share)]
+    return F.greatest(*least) > 0
+
+
+@dataclass(frozen=True)
+class Counts:
+    """``words``: word, itself, begins (packed counts), contexts. ``pairs``: word, before,
+    n, of those pairs whose count may exceed its discount. Sums are of ordinary and toxic
+    occurrences; ``share`` is that of the toxic among the labelled documents."""
+
+    words: DataFrame
+    pairs: DataFrame
+    share: float
+    sums: tuple[float, float]
+    contexts: float
+    vocabulary: float
+
+
+def frequent_words(texts: DataFrame, n: int) -> DataFrame:
+    """(word, parts) of words with more than one in ``PARTS`` occurrences, so fewer than
+    that many, in about ``SAMPLED`` of ``n`` texts. Rows are dealt by it, results do not
+    depend on it."""
+    few = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(min(1.0, SAMPLED / max(n, 1)) * (1 << 20))
+    counts = staged(texts.where(few).mapInArrow(frequent_task, PAIRS).groupBy("word").agg(F.sum("n").alias("n")), "frequent")
+    every = counts.agg(F.sum("n")).first()[0] or 0
+    share = F.col("n") * PARTS / max(every, 1)
+    return counts.where(share > 1).select("word", F.ceil(share).cast("int").alias("parts"))
+
+
+def count(docs: DataFrame, labels: DataFrame) -> Counts | None:
+    """Counts of the labelled documents and contexts of the whole corpus; None without
+    labels of both classes."""
     # About LABELS rows of 12 bytes at most.
     known = F.broadcast(staged(fit_labels(labels), "labels"))
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
-    named = docs.select(F.col("doc_id").cast("long").alias("label_id"), text)
-    labelled = named.join(known, "label_id").select("text", "label")
-    n, m = (x or 0 for x in labelled.agg(F.count("*"), F.sum("label")).first())
-    share = m / n if n else 0.0
-    counts = "key long, ordinary long, toxic long"
-    summed = labelled.mapInArrow(count_task, counts).groupBy("key").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
-    found = summed.mapInArrow(telling(share), counts).toPandas().sort_values("key")
-    keys, ordinary, toxic = (found[c].to_numpy().astype(np.int64) for c in ("key", "ordinary", "toxic"))
-    # Only words have contexts: a pair is met after one word.
-    contexts, words = np.ones(len(keys), np.int64), spark.sparkContext.broadcast(keys[keys & 1 == 0])
-    if len(words.value):
-        met = named.select("text").mapInArrow(context_task(words), "key long, pair long").distinct().groupBy("key").count().toPandas()
-        contexts[slots(keys, met["key"].to_numpy())] = met["count"].to_numpy()
-    model = Model(keys, ordinary, toxic, contexts, share)
-
-    difference = differences(broadcast_model(spark, model), 0, 1)
-
-    def bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = np.floor(difference(batch) * BINS).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(at), batch.column(1)], names=["bin", "label"])
+    named = docs.select(F.col("doc_id").cast("long").alias("label_id"), text).join(known, "label_id", "left")
+    n, m = named.where("label IS NOT NULL").agg(F.count("*"), F.sum("label")).first()
+    if not m or m == n:
+        return None
+    share = m / n
+    frequent = frequent_words(named.where("label IS NOT NULL").select("text"), n)
+    rows = named.select("text", "label").mapInArrow(count_task, PAIRS)
+    dealt = rows.join(F.broadcast(frequent), "word", "left").withColumn("part", F.pmod("before", F.coalesce("parts", F.lit(1))))
+    # Rows of a word, or of a part of a frequent one, meet in one task.
+    summed = dealt.drop("parts").repartition("word", "part").groupBy("word", "part", "before").agg(F.sum("n").alias("n"))
+    pair = F.col("before") >= 0
+    of = lambda mark: F.sum(F.when(F.col("before") == mark, F.col("n")).otherwise(0))
+    # A row per word and part, and one per pair that may tell something.
+    told = F.when(pair & may_tell(F.col("n"), share), F.col("before"))
+    reduced = summed.groupBy("word", "part", told.alias("before")).agg(
+        F.sum(F.when(pair, 1).otherwise(0)).alias("contexts"), of(ITSELF).alias("itself"), of(BEGINS).alias("begins"),
+        F.sum(F.when(pair, F.col("n")).otherwise(0)).alias("n"),
+    )
+    reduced = staged(reduced, "expressions")
+    by_word = reduced.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("contexts", "itself", "begins")])
+    words = staged(by_word.where("itself + begins > 0"), "words")
+    o, t = words.agg(F.sum(ordinary_of(F.col("itself"))), F.sum(toxic_of(F.col("itself")))).first()
+    every = reduced.agg(F.sum("contexts")).first()[0]
+    vocabulary = reduced.where("contexts > 0").agg(F.count_distinct("word")).first()[0]
+    return Counts(words, reduced.where("before IS NOT NULL").select("word", "before", "n"), share, (o or 1.0, t or 1.0), float(every or 0), float(vocabulary))
+
+
+def as_array(columns: list[Column], name: str) -> Column:
+    return F.array(*columns).alias(name)
 
-    rows = labelled.mapInArrow(bins, "bin long, label int").groupBy("bin").agg(F.sum("label").alias("toxic"), F.count("*").alias("n")).collect()
-    return Model(model.keys, model.ordinary, model.toxic, model.contexts, share, best_threshold([(r.bin, r.n - r.toxic, r.toxic) for r in rows]))
 
+@dataclass(frozen=True)
+class Tables:
+    """What expressions add to the log ratio of a text, in several variants: ``words``
+    (word, itself, begins) for a word and for the pairs that it begins, ``pairs`` (word,
+    before, value). ``unknown`` is the ratio of every other pair, by variant."""
+
+    words: DataFrame
+    pairs: DataFrame
+    unknown: tuple[float, ...]
+
+    def size(self) -> int:
+        """Numbers in both tables."""
+        return (2 * self.words.count() + self.pairs.count()) * len(self.unknown)
+
+
+def tables(c: Counts, variants: list[Variant]) -> Tables:
+    """The models' log ratios, toxic over ordinary, as sums of what differs from the
+    shared model."""
+    kappas = sorted({v.kappa for v in variants})
+    left = {}  # mass that the discounts freed, by kappa
+    sums = c.words.agg(*[F.sum(x) for k in kappas for x in Variant(k).excesses(F.col("itself"), c.share)]).first()
+    for i, k in enumerate(kappas):
+        left[k] = tuple(1 - sums[2 * i + j] / c.sums[j] for j in (0, 1))
+    shared = (F.col("contexts") + 0.5) / (c.contexts + c.vocabulary / 2)
+
+    def models(n: Column, v: Variant) -> list[Column]:
+        """P_c(w), ordinary and toxic."""
+        return [x / c.sums[j] + shared * left[v.kappa][j] for j, x in enumerate(v.excesses(n, c.share))]
+
+    # What the pairs that a word begins leave of the counts of those pairs.
+    taken = c.pairs.groupBy("before").agg(*[F.sum(x).alias(f"x{j}_{i}") for i, k in enumerate(kappas) for j, x in enumerate(Variant(k).excesses(F.col("n"), c.share))])
+    begins = c.words.join(taken.withColumnRenamed("before", "word"), "word", "left")
+    sizes = [ordinary_of(F.col("begins")), toxic_of(F.col("begins"))]
+
+    def kept(i: int, j: int) -> Column:
+        return F.coalesce(1 - F.col(f"x{j}_{i}") / F.when(sizes[j] > 0, sizes[j]), F.lit(1.0))
+
+    unknown = tuple(float(np.log(left[v.kappa][1] / left[v.kappa][0])) for v in variants)
+    itself = []
+    for v, u in zip(variants, unknown):
+        o, t = models(F.col("itself"), v)
+        itself.append(F.log(t / o) - u)
+    at = {k: i for i, k in enumerate(kappas)}
+    starts = [F.log(kept(at[v.kappa], 1) / kept(at[v.kappa], 0)) for v in variants]
+    tells = F.greatest(*[F.abs(F.col("itself_value")[i]) for i in range(len(variants))], *[F.abs(F.col("begins_value")[i]) for i in range(len(variants))]) > 1e-12
+    words = begins.select("word", as_array(itself, "itself_value"), as_array(starts, "begins_value")).where(tells)
+    words = words.select("word", F.col("itself_value").alias("itself"), F.col("begins_value").alias("begins"))
+
+    ends = c.words.select("word", "itself", "contexts")
+    before = begins.select(
+        F.col("word").alias("before"), *[s.alias(f"h{j}") for j, s in enumerate(sizes)], *[kept(i, j).alias(f"l{j}_{i}") for i in range(len(kappas)) for j in (0, 1)]
+    )
+    joined = c.pairs.join(ends, "word").join(before, "before")
+    values = []
+    for v in variants:
+        i, x, p = at[v.kappa], v.excesses(F.col("n"), c.share), models(F.col("itself"), v)
+        more = [F.coalesce(F.log1p(x[j] / F.when(F.col(f"h{j}") > 0, F.col(f"h{j}") * F.col(f"l{j}_{i}") * p[j])), F.lit(0.0)) for j in (0, 1)]
+        values.append(more[1] - more[0])
+    pairs = joined.select("word", "before", as_array(values, "value"))
+    told = F.greatest(*[F.abs(F.col("value")[i]) for i in range(len(variants))], F.lit(0.0)) > 1e-12
+    return Tables(staged(words, "word-values"), staged(pairs.where(told), "pair-values"), unknown)
+
+
+# -- scoring -------------------------------------------------------------------------
+
+
+def found(keys: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Where in the sorted ``keys`` those asked for stand; behind the last if nowhere."""
+    if not len(keys):
+        return np.zeros(len(asked), np.int64)
+    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    return np.where(keys[at] == asked, at, len(keys))
 
-def best_threshold(bins: list[tuple[int, int, int]]) -> float:
-    """The middle of the differences over 0 above which to say toxic makes the fewest
-    errors. ``bins``: (bin, ordinary, toxic)."""
-    bins = sorted(bins)
-    toxic_all = sum(t for _, _, t in bins)
-    if not toxic_all:
-        return 1.0
-    least, found, errors = None, [], sum(o for _, o, _ in bins)
-    cuts = [b for b, _, _ in bins]
-    for i, (b, o, t) in enumerate(bins):
-        errors += t - o  # with the cut behind this bin
-        after = cuts[i + 1] if i + 1 < len(cuts) else b + 1
-        if after <= 0:
-            continue
-        cut = ((b + 1 if b >= 0 else 1) + max(after, 1)) / 2 / BINS
-        if least is None or errors < least:
-            least, found = errors, [cut]
-        elif errors == least:
-            found.append(cut)
-    return found[len(found) // 2] if found else 1.0
-
-
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, score, predicted, difference, one row per row of ``docs``."""
-    difference = differences(broadcast_model(docs.sparkSession, model), 1, None)
-    threshold = model.threshold
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = difference(batch)
-            value = 1 / (1 + np.exp(-np.clip(2 * (x - threshold) / threshold, -40, 40)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(value), pa.array((value >= 0.5).astype(np.int32)), pa.array(x)], names=["doc_id", "score", "predicted", "difference"])
+def arrays(t: Tables) -> dict[str, np.ndarray]:
+    """Both tables by key, each with a last row of zeros for what is not in them."""
+
+    def values(column: pa.ChunkedArray, order: np.ndarray) -> np.ndarray:
+        flat = column.combine_chunks().flatten().to_numpy().reshape(-1, len(t.unknown))
+        return np.concatenate([flat[order], np.zeros((1, len(t.unknown)))])
+
+    words, pairs = t.words.toArrow(), t.pairs.toArrow()
+    word = words.column("word").to_numpy()
+    key = pair_keys(pairs.column("word").to_numpy(), pairs.column("before").to_numpy())
+    by_word, by_key = np.argsort(word), np.argsort(key)
+    return {
+        "word": word[by_word], "itself": values(words.column("itself"), by_word), "begins": values(words.column("begins"), by_word),
+        "pair": key[by_key], "value": values(pairs.column("value"), by_key), "unknown": np.array(t.unknown),
+    }
 
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select("doc_id", text).mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double, predicted int, difference double")
 
+def differences(held, text: int):
+    """Of a batch, the mean log ratio of each row's pairs, by variant. ``held`` is a
+    broadcast of ``arrays``."""
+
+    def run(batch: pa.RecordBatch) -> np.ndarray:
+        m = held.value
+        out = np.zeros((batch.num_rows, len(m["unknown"])))
+        for start, end, data, offsets in spans.slices(batch.column(text), 1_000_000):
+            word, before, row = pairs_of(data, offsets)
+            at = once_per_row(word, before, row)
+            word, before, row = word[at], before[at], row[at]
+            size = np.maximum(np.bincount(row, minlength=end - start), 1)
+            for keys, asked, value in (("word", word, "itself"), ("word", before, "begins"), ("pair", pair_keys(word, before), "value")):
+                place = found(m[keys], asked)
+                hit = place < len(m[keys])
+                for i in range(out.shape[1]):
+                    out[start:end, i] += np.bincount(row[hit], m[value][place[hit], i], end - start) / size
+        return out + m["unknown"]
 
-def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score, predicted of every document."""
-    scored = score(docs, fit(docs, labels))
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "difference")
+    return run
 
 
-def keep_ordinary(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the documents predicted toxic. The decision is made where the
-    text is, so nothing is joined."""
-    model = fit(docs, labels)
-    difference, threshold = differences(broadcast_model(docs.sparkSession, model), docs.columns.index("text"), None), model.threshold
+def expression_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(uid, text) to (uid, word, before, n): the pairs of every row, and their number;
+    one row without a word for a text without any."""
+    for batch in batches:
+        for start, end, data, offsets in spans.slices(batch.column(1), 1_000_000):
+            word, before, row = pairs_of(data, offsets)
+            at = once_per_row(word, before, row)
+            empty = np.flatnonzero(np.bincount(row, minlength=end - start) == 0)
+            row = np.concatenate([row[at], empty])
+            word, before = (np.concatenate([c[at], np.full(len(empty), -9)]) for c in (word, before))
+            size = np.bincount(row, minlength=end - start)
+            uid = batch.column(0)[start:end].take(pa.array(row))
+            yield pa.RecordBatch.from_arrays([uid, pa.array(word), pa.array(before), pa.array(size[row])], names=["uid", "word", "before", "n"])
+
+
+def joined_differences(texts: DataFrame, t: Tables) -> DataFrame:
+    """(uid, x) of (uid, text), the same as ``differences`` by joins: for more
+    expressions than fit a broadcast. Rows of a frequent word are many only on the side
+    of the texts, where adaptive execution splits them."""
+    rows = texts.select("uid", "text").mapInArrow(expression_task, "uid long, word long, before long, n long")
+    begins = t.words.select(F.col("word").alias("before"), "begins")
+    rows = rows.join(t.words.select("word", "itself"), "word", "left").join(begins, "before", "left").join(t.pairs, ["word", "before"], "left")
+    sums = rows.groupBy("uid").agg(
+        *[sum((F.sum(F.coalesce(F.col(c)[i], F.lit(0.0))) for c in ("itself", "begins", "value")), F.lit(0.0)).alias(f"s{i}") for i in range(len(t.unknown))],
+        F.max("n").alias("n"),
+    )
+    return sums.select("uid", as_array([F.col(f"s{i}") / F.col("n") + u for i, u in enumerate(t.unknown)], "x"))
+
+
+def with_differences(texts: DataFrame, t: Tables, broadcast: int = BROADCAST) -> DataFrame:
+    """``texts`` with ``x``, the differences by variant as array<double>; its column
+    ``text`` is never null."""
+    if t.size() > broadcast:
+        # Written, so that a row has the same number on both sides.
+        marked = staged(texts.withColumn("uid", F.monotonically_increasing_id()), "numbered")
+        return marked.join(joined_differences(marked, t), "uid").drop("uid")
+    difference = differences(texts.sparkSession.sparkContext.broadcast(arrays(t)), texts.columns.index("text"))
+    width = len(t.unknown)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(difference(batch) < threshold))
+            offsets = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * width)
+            x = pa.ListArray.from_arrays(offsets, pa.array(difference(batch).ravel()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, x], names=[*batch.schema.names, "x"])
+
+    return texts.mapInArrow(run, T.StructType([*texts.schema.fields, T.StructField("x", T.ArrayType(T.DoubleType()))]))
 
-    return docs.mapInArrow(run, docs.schema)
+
+@dataclass(frozen=True)
+class Model:
+    """Tables of the chosen margin, the difference at which the score is 0.5, and the
+    one of unknown words. Without tables every difference is 0."""
+
+    tables: Tables | None = None
+    kappa: float = KAPPAS[0]
+    threshold: float = 1.0
+    unknown: float = 0.0
+
+
+def best_threshold(bins: list[tuple[int, int, int]], least_cut: int) -> tuple[int, float]:
+    """Errors, and the middle of the cuts above which to say toxic makes the fewest.
+    ``bins``: (bin, ordinary, toxic). A cut lies above bin ``least_cut``."""
+    bins = sorted(bins)
+    errors = sum(t for _, _, t in bins)
+    fewest, cuts = errors, [max([least_cut, *(b for b, _, _ in bins)]) + 1.0]
+    for i in range(len(bins) - 1, -1, -1):
+        b, o, t = bins[i]
+        if b <= least_cut:
+            break
+        errors += o - t  # with the cut below this bin
+        below = max(bins[i - 1][0] if i else b - 1, least_cut)
+        if errors < fewest:
+            fewest, cuts = errors, []
+        if errors == fewest:
+            cuts.append((below + 1 + b) / 2)
+    return fewest, cuts[len(cuts) // 2] / BINS
+
+
+def fit(docs: DataFrame, labels: DataFrame, broadcast: int = BROADCAST) -> Model:
+    """Learn from the labels outside the held-out fold and from all texts."""
+    c = count(docs, labels)
+    if c is None:
+        return Model()
+    variants = [Variant(k, own) for k in KAPPAS for own in (0, 1)]
+    trial = tables(c, variants)
+    known = F.broadcast(staged(fit_labels(labels), "labels"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+    labelled = docs.select(F.col("doc_id").cast("long").alias("label_id"), text).join(known, "label_id").select("text", "label")
+    scored = with_differences(labelled, trial, broadcast)
+    own = F.array(*[F.when(F.col("label") == 1, F.col("x")[2 * i + 1]).otherwise(F.col("x")[2 * i]) for i in range(len(KAPPAS))])
+    one = scored.select("label", F.posexplode(own).alias("kappa", "x")).withColumn("bin", F.floor(F.col("x") * BINS))
+    # A row per margin and bin; differences are within some tens.
+    bins = one.groupBy("kappa", "bin").agg(F.sum("label").alias("toxic"), F.count("*").alias("n")).collect()
+    best = None
+    for i, k in enumerate(KAPPAS):
+        unknown = trial.unknown[2 * i]
+        errors, cut = best_threshold([(r.bin, r.n - r.toxic, r.toxic) for r in bins if r.kappa == i], int(np.floor(unknown * BINS)))
+        if best is None or errors < best[0]:
+            best = errors, k, cut, unknown
+    _, kappa, cut, unknown = best
+    return Model(tables(c, [Variant(kappa)]), kappa, cut, unknown)
+
+
+def with_scores(docs: DataFrame, model: Model, broadcast: int = BROADCAST) -> DataFrame:
+    """(the columns of ``docs``, text never null), difference, score."""
+    texts = docs.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit("")))
+    if model.tables is None:
+        return texts.withColumns({"difference": F.lit(0.0), "score": 1 / (1 + F.exp(F.lit(2.0)))})
+    x = F.col("x")[0]
+    # -2 for unknown words, 0 at the threshold.
+    slope = 2 / max(model.threshold - model.unknown, 1e-9)
+    scored = with_differences(texts, model.tables, broadcast)
+    away = F.least(F.greatest((x - model.threshold) * slope, F.lit(-40.0)), F.lit(40.0))
+    return scored.withColumns({"difference": x, "score": 1 / (1 + F.exp(-away))}).drop("x")
+
+
+def scores(docs: DataFrame, labels: DataFrame, broadcast: int = BROADCAST) -> DataFrame:
+    """doc_id, held_out, score, predicted, difference of every document."""
+    model = fit(docs, labels, broadcast)
+    scored = with_scores(docs.select("doc_id", "text"), model, broadcast)
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted, "difference")
+
+
+def keep_ordinary(docs: DataFrame, labels: DataFrame, broadcast: int = BROADCAST) -> DataFrame:
+    """``docs`` without the documents predicted toxic. Where the expressions are broadcast
+    the decision is made where the text is, so nothing is joined."""
+    model = fit(docs, labels, broadcast)
+    if model.tables is None:
+        return docs
+    # The row goes along whole, so its columns may have any names.
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), F.col("text"))
+    kept = with_scores(rows, model, broadcast).where("score < 0.5")
+    return kept.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
