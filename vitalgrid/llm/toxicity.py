@@ -23,10 +23,11 @@ to the shared counts in both models. ``kappa`` is chosen from ``KAPPAS``, and th
 difference at which the score is 0.5 is set, by the errors on the labelled documents,
 each scored with its own occurrences taken out of the counts n.
 
-Words stand under hashes of 48 bits and are counted exactly. One pass over all texts
-yields every pair of a task once; a word that is frequent in a bounded sample of labelled
-texts is counted in several parts. Labels of at most about ``LABELS`` documents are used.
-Only expressions whose count exceeds its discount differ from the shared model; they are
+Words stand under hashes of 48 bits, and the contexts of a word are told apart by 32 of
+them. The counts n are those of about ``LABELS`` labelled documents at most, the contexts
+those of all documents: a task hands on every word once, with the set of its contexts, and
+the sets of a word, or of a part of a frequent one, are united where they meet. Only
+expressions whose count exceeds its discount differ from the shared model; they are
 broadcast after a count, and beyond ``BROADCAST`` values joined to the texts' pairs.
 
 Defined cases: null and empty texts have no pairs and the difference of a text of unknown
@@ -52,12 +53,12 @@ from vitalgrid.llm.contamination import hashed_words
 from vitalgrid.session import staged
 
 KAPPAS = (4.0, 5.0, 6.0)
-LABELS = 200_000
+LABELS = 32_000
 #: Numbers that a broadcast of expressions may hold; 8 bytes each.
 BROADCAST = 8_000_000
 HELD = 1 << 21  # pairs that a task adds up before it hands them on
-SAMPLED = 20_000  # labelled documents in which frequent words are looked for
-PARTS = 4096  # a word with more than one in so many occurrences is counted in parts
+PARTS = 4096  # a word with more than one in so many occurrences has its contexts counted in parts
+TOGETHER = 1 << 14  # contexts that a row holds
 BINS = 1000  # of the histogram, per unit of difference
 #: In place of the word before: the row holds occurrences of the word itself, or of all
 #: pairs that it begins. 0 is the start of a text.
@@ -87,6 +88,14 @@ def once_per_row(word: np.ndarray, before: np.ndarray, row: np.ndarray) -> np.nd
     return np.unique(key, return_index=True)[1]
 
 
+def found(keys: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Where in the sorted ``keys`` those asked for stand; behind the last if nowhere."""
+    if not len(keys):
+        return np.zeros(len(asked), np.int64)
+    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    return np.where(keys[at] == asked, at, len(keys))
+
+
 def added_up(held: list[list[np.ndarray]]) -> list[np.ndarray]:
     """Parts of (word, before, count) with every pair once."""
     word, before, count = (np.concatenate(x) for x in zip(*held))
@@ -98,32 +107,39 @@ def added_up(held: list[list[np.ndarray]]) -> list[np.ndarray]:
     return [word[order[first]], before[order[first]], np.add.reduceat(count[order], first) if len(first) else count]
 
 
-def in_turn(parts: Iterator[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
-    """Parts added up while they are few; a task never holds much over ``HELD`` rows."""
+def once(held: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """Parts of (word, before) with every pair once."""
+    word, before = (np.concatenate(x) for x in zip(*held))
+    at = np.unique(pair_keys(word, before), return_index=True)[1]
+    return [word[at], before[at]]
+
+
+def in_turn(parts: Iterator[list[np.ndarray]], merge, send) -> Iterator[pa.RecordBatch]:
+    """Parts merged while they are few; a task never holds much over ``HELD`` rows."""
     held, rows, merged = [], 0, 0
     for part in parts:
         held.append(part)
         rows += len(part[0])
         if rows > merged + HELD // 2:
-            held = [added_up(held)]
+            held = [merge(held)]
             rows = merged = len(held[0][0])
             if merged > HELD:
-                yield from sent(held[0])
+                yield from send(*held[0])
                 held, rows, merged = [], 0, 0
     if held:
-        yield from sent(added_up(held))
+        yield from send(*merge(held))
 
 
-def sent(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+def sent(word: np.ndarray, before: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
     # In order, so that rows of one word compress.
-    order = np.lexsort((columns[1], columns[0]))
+    order = np.lexsort((before, word))
     for at in range(0, len(order), 100_000):
-        yield pa.RecordBatch.from_arrays([pa.array(c[order[at : at + 100_000]]) for c in columns], names=["word", "before", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(c[order[at : at + 100_000]]) for c in (word, before, n)], names=["word", "before", "n"])
 
 
 def count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, label) to (word, before, n): every pair of the task, with the labelled
-    documents that hold it; likewise words, and the pairs that a word begins."""
+    """(text, label) of labelled documents to (word, before, n): every pair of the task,
+    with the documents that hold it; likewise words, and the pairs that a word begins."""
 
     def parts() -> Iterator[list[np.ndarray]]:
         for batch in batches:
@@ -131,31 +147,74 @@ def count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for start, end, data, offsets in spans.slices(batch.column(0), 1_000_000):
                 word, before, row = pairs_of(data, offsets)
                 mine = label[start:end]
-                known = np.isin(mine, (0, 1))[row]
-                rest = ~known
-                out = [[word[rest], before[rest], np.zeros(int(rest.sum()), np.int64)]]
-                word, before, row = word[known], before[known], row[known]
                 at = once_per_row(word, before, row)
                 word, before, row = word[at], before[at], row[at]
                 n = np.where(mine[row] == 1, 1, ORDINARY).astype(np.int64)
-                out += [[word, before, n], [before, np.full(len(at), BEGINS), n]]
                 at = once_per_row(word, np.zeros(len(word), np.int64), row)
-                out.append([word[at], np.full(len(at), ITSELF), n[at]])
-                yield added_up(out)
+                yield added_up([[word, before, n], [before, np.full(len(n), BEGINS), n], [word[at], np.full(len(at), ITSELF), n[at]]])
+
+    yield from in_turn(parts(), added_up, sent)
+
+
+def context_task(frequent):
+    """(text) to (word, part, contexts): the words of a task with the sets of 32 bits of
+    the words before them. ``frequent`` is a broadcast of words and their parts."""
+
+    def rows(word: np.ndarray, before: np.ndarray) -> Iterator[pa.RecordBatch]:
+        words, parts = frequent.value
+        context = before.astype(np.uint32)
+        part = context % np.append(parts, 1)[found(words, word)]
+        order = np.lexsort((context, part, word))
+        word, part, context = word[order], part[order], context[order]
+        new = np.ones(len(word), bool)
+        new[1:] = (word[1:] != word[:-1]) | (part[1:] != part[:-1])
+        first = np.flatnonzero(new)
+        within = np.arange(len(word)) - np.repeat(first, np.diff(np.append(first, len(word))))
+        first = np.flatnonzero(within % TOGETHER == 0)
+        for at in range(0, len(first), 20_000):
+            some = first[at : at + 20_000]
+            ends = np.append(first, len(word))[at : at + len(some) + 1]
+            held = pa.py_buffer(context[ends[0] : ends[-1]].tobytes())
+            sets = pa.Array.from_buffers(pa.binary(), len(some), [None, pa.py_buffer(((ends - ends[0]) * 4).astype(np.int32).tobytes()), held])
+            yield pa.RecordBatch.from_arrays([pa.array(word[some]), pa.array(part[some].astype(np.int32)), sets], names=["word", "part", "contexts"])
 
-    yield from in_turn(parts())
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def parts() -> Iterator[list[np.ndarray]]:
+            for batch in batches:
+                for _, _, data, offsets in spans.slices(batch.column(0), 1_000_000):
+                    word, before, _ = pairs_of(data, offsets)
+                    yield once([[word, before]])
 
+        yield from in_turn(parts(), once, rows)
 
-def frequent_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text) to (word, before, n): occurrences of words."""
+    return run
 
-    def parts() -> Iterator[list[np.ndarray]]:
-        for batch in batches:
-            for _, _, data, offsets in spans.slices(batch.column(0), 1_000_000):
-                word, _, _ = pairs_of(data, offsets)
-                yield added_up([[word, np.zeros(len(word), np.int64), np.ones(len(word), np.int64)]])
 
-    yield from in_turn(parts())
+def union_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, part, contexts), in order of word and part, to (word, contexts): the sizes
+    of the united sets. What a batch ends with is held for the next."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        word, part = (batch.column(i).to_numpy() for i in (0, 1))
+        sets = batch.column(2)
+        ends = np.frombuffer(sets.buffers()[1], np.int32, len(sets) + 1, sets.offset * 4)
+        context = np.frombuffer(sets.buffers()[2], np.uint32, (ends[-1] - ends[0]) // 4, ends[0])
+        size = np.diff(ends) // 4
+        if held is not None:
+            word, part = np.concatenate([[held[0]], word]), np.concatenate([[held[1]], part])
+            context, size = np.concatenate([held[2], context]), np.concatenate([[len(held[2])], size])
+        new = np.ones(len(word), bool)
+        new[1:] = (word[1:] != word[:-1]) | (part[1:] != part[:-1])
+        group = np.cumsum(new) - 1
+        every = np.unique(np.repeat(group, size).astype(np.int64) << 32 | context)
+        count = np.bincount(every >> 32, minlength=group[-1] + 1)
+        first = np.flatnonzero(new)
+        held = word[first[-1]], part[first[-1]], (every[len(every) - count[-1] :] & 0xFFFFFFFF).astype(np.uint32)
+        yield pa.RecordBatch.from_arrays([pa.array(word[first[:-1]]), pa.array(count[:-1])], names=["word", "contexts"])
+    if held is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([held[0]], pa.int64()), pa.array([len(held[2])], pa.int64())], names=["word", "contexts"])
 
 
 PAIRS = "word long, before long, n long"
@@ -230,15 +289,18 @@ class Counts:
     vocabulary: float
 
 
-def frequent_words(texts: DataFrame, n: int) -> DataFrame:
-    """(word, parts) of words with more than one in ``PARTS`` occurrences, so fewer than
-    that many, in about ``SAMPLED`` of ``n`` texts. Rows are dealt by it, results do not
-    depend on it."""
-    few = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(min(1.0, SAMPLED / max(n, 1)) * (1 << 20))
-    counts = staged(texts.where(few).mapInArrow(frequent_task, PAIRS).groupBy("word").agg(F.sum("n").alias("n")), "frequent")
-    every = counts.agg(F.sum("n")).first()[0] or 0
-    share = F.col("n") * PARTS / max(every, 1)
-    return counts.where(share > 1).select("word", F.ceil(share).cast("int").alias("parts"))
+def contexts(texts: DataFrame, words: DataFrame) -> DataFrame:
+    """(word, contexts) of all words of all texts. Words with more than one in ``PARTS``
+    occurrences in ``words``, so fewer than that many, are counted in parts; results do
+    not depend on it."""
+    n = ordinary_of(F.col("itself")) + toxic_of(F.col("itself"))
+    every = words.agg(F.sum(n)).first()[0] or 0.0
+    parts = F.ceil(n * PARTS / max(every, 1.0)).cast("int").alias("parts")
+    rows = words.select("word", parts).where("parts > 1").toArrow().sort_by("word")
+    frequent = texts.sparkSession.sparkContext.broadcast((rows.column("word").to_numpy(), rows.column("parts").to_numpy().astype(np.uint32)))
+    sets = texts.mapInArrow(context_task(frequent), "word long, part int, contexts binary")
+    met = sets.repartition("word", "part").sortWithinPartitions("word", "part").mapInArrow(union_task, "word long, contexts long")
+    return met.groupBy("word").agg(F.sum("contexts").alias("contexts"))
 
 
 def count(docs: DataFrame, labels: DataFrame) -> Counts | None:
@@ -247,31 +309,21 @@ def count(docs: DataFrame, labels: DataFrame) -> Counts | None:
     # About LABELS rows of 12 bytes at most.
     known = F.broadcast(staged(fit_labels(labels), "labels"))
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
-    named = docs.select(F.col("doc_id").cast("long").alias("label_id"), text).join(known, "label_id", "left")
-    n, m = named.where("label IS NOT NULL").agg(F.count("*"), F.sum("label")).first()
+    labelled = docs.select(F.col("doc_id").cast("long").alias("label_id"), text).join(known, "label_id").select("text", "label")
+    n, m = labelled.agg(F.count("*"), F.sum("label")).first()
     if not m or m == n:
         return None
     share = m / n
-    frequent = frequent_words(named.where("label IS NOT NULL").select("text"), n)
-    rows = named.select("text", "label").mapInArrow(count_task, PAIRS)
-    dealt = rows.join(F.broadcast(frequent), "word", "left").withColumn("part", F.pmod("before", F.coalesce("parts", F.lit(1))))
-    # Rows of a word, or of a part of a frequent one, meet in one task.
-    summed = dealt.drop("parts").repartition("word", "part").groupBy("word", "part", "before").agg(F.sum("n").alias("n"))
-    pair = F.col("before") >= 0
+    summed = labelled.mapInArrow(count_task, PAIRS).groupBy("word", "before").agg(F.sum("n").alias("n"))
+    summed = staged(summed.where((F.col("before") < 0) | may_tell(F.col("n"), share)), "expressions")
     of = lambda mark: F.sum(F.when(F.col("before") == mark, F.col("n")).otherwise(0))
-    # A row per word and part, and one per pair that may tell something.
-    told = F.when(pair & may_tell(F.col("n"), share), F.col("before"))
-    reduced = summed.groupBy("word", "part", told.alias("before")).agg(
-        F.sum(F.when(pair, 1).otherwise(0)).alias("contexts"), of(ITSELF).alias("itself"), of(BEGINS).alias("begins"),
-        F.sum(F.when(pair, F.col("n")).otherwise(0)).alias("n"),
-    )
-    reduced = staged(reduced, "expressions")
-    by_word = reduced.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("contexts", "itself", "begins")])
-    words = staged(by_word.where("itself + begins > 0"), "words")
+    words = summed.where("before < 0").groupBy("word").agg(of(ITSELF).alias("itself"), of(BEGINS).alias("begins"))
+    words = staged(words, "words")
     o, t = words.agg(F.sum(ordinary_of(F.col("itself"))), F.sum(toxic_of(F.col("itself")))).first()
-    every = reduced.agg(F.sum("contexts")).first()[0]
-    vocabulary = reduced.where("contexts > 0").agg(F.count_distinct("word")).first()[0]
-    return Counts(words, reduced.where("before IS NOT NULL").select("word", "before", "n"), share, (o or 1.0, t or 1.0), float(every or 0), float(vocabulary))
+    met = staged(contexts(docs.select(text), words), "contexts")
+    every, vocabulary = met.agg(F.sum("contexts"), F.count("*")).first()
+    words = words.join(met, "word", "left").fillna(0, ["contexts"])
+    return Counts(staged(words, "words"), summed.where("before >= 0"), share, (o or 1.0, t or 1.0), float(every or 0), float(vocabulary))
 
 
 def as_array(columns: list[Column], name: str) -> Column:
@@ -344,14 +396,6 @@ def tables(c: Counts, variants: list[Variant]) -> Tables:
 # -- scoring -------------------------------------------------------------------------
 
 
-def found(keys: np.ndarray, asked: np.ndarray) -> np.ndarray:
-    """Where in the sorted ``keys`` those asked for stand; behind the last if nowhere."""
-    if not len(keys):
-        return np.zeros(len(asked), np.int64)
-    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
-    return np.where(keys[at] == asked, at, len(keys))
-
-
 def arrays(t: Tables) -> dict[str, np.ndarray]:
     """Both tables by key, each with a last row of zeros for what is not in them."""
 
