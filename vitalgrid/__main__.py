@@ -72,7 +72,7 @@ def main() -> None:
         done = pipeline.training_job(
             table, args.out, settings, args.target, drop_unlabelled=args.drop_unlabelled
         )
-        print(f"{len(done.features)} features, area under ROC {done.auc:.4f}")
+        print(f"{len(done.features)} features, area under ROC {done.auc if done.auc is not None else float("nan"):.4f}")
     elif args.job == "score":
         run = pipeline.scoring_job(
             spark,

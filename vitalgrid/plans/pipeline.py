@@ -14,7 +14,7 @@ from vitalgrid.operators.split import stratified_split
 from vitalgrid.operators.vitals import processed_health
 from vitalgrid.plans import reports
 from vitalgrid.session import staged
-from vitalgrid.sources import readers, schemas, writers
+from vitalgrid.sources import ledger, readers, runs, schemas, writers
 
 
 @dataclass(frozen=True)
@@ -99,6 +99,21 @@ class ScoringRun:
     run_id: str | None = None
 
 
+def report_folders(report_to: str, run_id: str) -> list[str]:
+    return [f"{report_to.rstrip('/')}/{name}/run_id={run_id}" for name in streaming.REPORTS]
+
+
+def write_scores(
+    run: runs.Run, scored: DataFrame, threshold: float, report_to: str | None, replace: bool
+) -> None:
+    """All that a run writes: predictions, and the reports if asked for."""
+    stored = scoring.predictions(scored, threshold)
+    writers.write_prediction_rows(stored, run.base, run.run_id, replace)
+    if report_to:
+        streaming.write_reports(scored, report_to.rstrip("/"), run.run_id, threshold, replace)
+    run.rows = {c: v for c, v in digest.run_summary(scored, threshold).first().asDict().items() if isinstance(v, int)}
+
+
 def scoring_job(
     spark: SparkSession,
     processed: str,
@@ -116,7 +131,8 @@ def scoring_job(
     ``order`` gives the row order for a row cap or for made-up ids; without a cap and
     with ids in the file it is not needed. A named run replaces itself; otherwise every
     run has a name of its own. Alerts, alert lines and summary are written below
-    ``report_to``.
+    ``report_to``. Readers see all of them or nothing: a run that fails in between is
+    left out until ``sources.recover`` deletes it.
     """
     files = readers.pick_input(spark, processed, which)
     if not files:
@@ -133,24 +149,51 @@ def scoring_job(
     # Written once: predictions, alerts, lines and summary all read it.
     scored = staged(writers.with_scored_at(scored), "scored")
     named, run_id = run_id is not None, run_id or writers.new_run_id(spark)
-    stored = scoring.predictions(scored, settings.alert_threshold)
-    writers.write_predictions(stored, predictions, run_id, replace=named)
+    folders = [writers.prediction_folder(predictions, run_id), *(report_folders(report_to, run_id) if report_to else [])]
+    with runs.run(spark, predictions, run_id, folders, replace=named) as run:
+        write_scores(run, scored, settings.alert_threshold, report_to, named)
     alerts = scoring.alerts(scored, settings.alert_threshold)
     summary = digest.run_summary(scored, settings.alert_threshold)
     if settings.max_rows is not None:
         summary = summary.withColumn("processed_rows", F.lit(rows.count()).cast("bigint"))
-    if report_to:
-        streaming.write_reports(scored, report_to.rstrip("/"), run_id, settings.alert_threshold, replace=named)
     return ScoringRun(
         summary=summary,
         scored=scored,
-        predictions=stored,
+        predictions=scoring.predictions(scored, settings.alert_threshold),
         alerts=alerts,
         lines=digest.alert_lines(alerts),
         run_id=run_id,
     )
 
 
+def score_new_files(
+    spark: SparkSession,
+    inputs: str,
+    predictions: str,
+    scorer: scoring.Scorer,
+    table: schemas.Table = schemas.PROCESSED,
+    threshold: float = C.ALERT_THRESHOLD,
+    run_id: str | None = None,
+    report_to: str | None = None,
+) -> DataFrame:
+    """Score the CSV files below ``inputs`` that no finished run has scored as they are
+    now, as one run, and note them in the ledger. ``scorer`` takes rows under internal
+    names. The summary; that of no input if nothing is new."""
+    fresh = ledger.new_files(spark, inputs, predictions)
+    run_id = run_id or writers.new_run_id(spark)
+    folders = [writers.prediction_folder(predictions, run_id), ledger.folder_of(predictions, run_id)]
+    if fresh.isEmpty():
+        return digest.no_input_summary(spark)
+    with runs.run(spark, predictions, run_id, folders + (report_folders(report_to, run_id) if report_to else [])) as run:
+        mine = ledger.claim(run, fresh)
+        if mine:
+            rows = readers.read_processed(spark, [f.path for f in mine], table)
+            scored = staged(writers.with_scored_at(scorer(rows)), "scored")
+            write_scores(run, scored, threshold, report_to, replace=False)
+            ledger.record(run, mine)
+    return digest.run_summary(scored, threshold) if mine else digest.no_input_summary(spark)
+
+
 def streaming_job(
     spark: SparkSession,
     processed: str,

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -33,8 +35,7 @@ def run_dir(spark: SparkSession) -> str:
 def clean_up(spark: SparkSession) -> None:
     """Delete everything this application has staged. Tables that read it are of no
     use afterwards, so a job calls this when its results are written."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete(spark, run_dir(spark))
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -42,6 +43,95 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{run_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The path as Hadoop knows it, and its file system."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+@dataclass(frozen=True)
+class Entry:
+    """A file or folder in a listing."""
+
+    path: str
+    name: str
+    is_folder: bool
+    length: int
+    modified: int  # milliseconds
+
+
+def list_folder(spark: SparkSession, path: str) -> list[Entry]:
+    """What lies in a folder itself, hidden names left out, in order of names; nothing
+    where there is no such folder."""
+    at, fs = _file_system(spark, path)
+    if not fs.exists(at):
+        return []
+    found = [
+        Entry(s.getPath().toString(), s.getPath().getName(), s.isDirectory(), s.getLen(), s.getModificationTime())
+        for s in fs.listStatus(at)
+    ]
+    return sorted((e for e in found if e.name[0] not in "_."), key=lambda e: e.name)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at, fs = _file_system(spark, path)
+    return fs.exists(at)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """A file, or a folder with all in it; nothing if there is none."""
+    at, fs = _file_system(spark, path)
+    fs.delete(at, True)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder within one file system."""
+    at, fs = _file_system(spark, source)
+    if not fs.rename(at, spark._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def put_text(spark: SparkSession, path: str, text: str, replace: bool = False) -> bool:
+    """Write a small file so that it is there whole or not at all: under another name
+    first, then renamed. False if it is there already and not to be replaced."""
+    at, fs = _file_system(spark, path)
+    if replace:
+        fs.delete(at, False)
+    elif fs.exists(at):
+        return False
+    draft = spark._jvm.org.apache.hadoop.fs.Path(at.getParent(), f".{uuid.uuid4().hex}")
+    out = fs.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if fs.rename(draft, at):
+        return True
+    fs.delete(draft, False)
+    return False
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    at, fs = _file_system(spark, path)
+    stream = fs.open(at)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def create_exclusive(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file unless there is one: of several callers one gets True."""
+    at, fs = _file_system(spark, path)
+    try:
+        out = fs.create(at, False)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Checkpoint to the shared folder; meant for small or reused intermediates."""
     shared_dir(df.sparkSession)

@@ -1,5 +1,7 @@
 from vitalgrid.sources.catalog import add_runs, create_catalog, register_functions
+from vitalgrid.sources.ledger import entries, new_files
 from vitalgrid.sources.readers import (
+    LINE_FEEDS,
     LISTING,
     pick_input,
     read_feature_list,
@@ -11,6 +13,7 @@ from vitalgrid.sources.readers import (
     read_training,
     read_vitals,
 )
+from vitalgrid.sources.runs import manifests, recover, unfinished
 from vitalgrid.sources.writers import (
     write_feature_list,
     write_labelled,
@@ -20,9 +23,13 @@ from vitalgrid.sources.writers import (
 )
 
 __all__ = [
+    "LINE_FEEDS",
     "LISTING",
     "add_runs",
     "create_catalog",
+    "entries",
+    "manifests",
+    "new_files",
     "pick_input",
     "read_feature_list",
     "read_history",
@@ -32,7 +39,9 @@ __all__ = [
     "read_rows",
     "read_training",
     "read_vitals",
+    "recover",
     "register_functions",
+    "unfinished",
     "write_feature_list",
     "write_labelled",
     "write_predictions",

@@ -15,10 +15,12 @@ from vitalgrid.config import ALERT_THRESHOLD
 from vitalgrid.functions import risk_status, round_stable
 from vitalgrid.operators import digest
 from vitalgrid.operators.scoring import Scorer, alerts
-from vitalgrid.session import new_path
+from vitalgrid.session import exists, new_path
+from vitalgrid.sources.readers import empty_on_missing_path
 from vitalgrid.sources.writers import with_scored_at, write_run
 
 COLUMNS = ("patient_id", "score", "risk", "risk_status", "scored_at")
+SCORED = "patient_id string, score double, risk double, risk_status string, scored_at string, run_id string"
 
 
 def file_stream(
@@ -29,6 +31,10 @@ def file_stream(
     return spark.readStream.format(fmt).schema(schema).options(**options).load(path)
 
 
+#: Folders below the sink, one per report.
+REPORTS = ("alerts", "alert_lines", "summary")
+
+
 def write_reports(scored: DataFrame, path: str, run_id: str, threshold: float, replace: bool) -> None:
     """Alerts, alert lines and summary of one run, each in a folder of its own."""
     found = alerts(scored, threshold)
@@ -75,8 +81,10 @@ def score_stream(
 
 
 def read_all_rows(spark: SparkSession, sink: str) -> DataFrame:
-    """All rows of all runs below ``sink``, those without a score too."""
-    return spark.read.parquet(f"{sink.rstrip('/')}/scored")
+    """All rows of all runs below ``sink``, those without a score too; none before the
+    first run."""
+    read = lambda: spark.read.parquet(f"{sink.rstrip('/')}/scored")
+    return empty_on_missing_path(spark, read, SCORED)
 
 
 def read_scored(spark: SparkSession, sink: str) -> DataFrame:
@@ -94,8 +102,11 @@ def score_available(
     fmt: str = "parquet",
     **options: object,
 ) -> DataFrame:
-    """Score all files there are, in micro-batches, and return every scored row."""
+    """Score all files there are, in micro-batches, and return every scored row. A
+    folder that is empty or not there yet gives what was scored before, if anything."""
     sink = sink or new_path(spark, "scored")
+    if not exists(spark, path):
+        return read_scored(spark, sink)
     source = file_stream(spark, path, schema, fmt, **options)
     query = score_stream(source, scorer, sink, checkpoint)
     query.awaitTermination()
