@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 # The package lies next to this file, wherever it is loaded from.
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from vitalgrid.plans import catalogue, run_queries
+from vitalgrid.plans import analysis_queries, catalogue, run_queries
 
-QUERIES = catalogue.QUERIES | run_queries.QUERIES
+QUERIES = catalogue.QUERIES | run_queries.QUERIES | analysis_queries.QUERIES
 
 # The training-data operators and their pipeline are an optional subpackage.
 try:
@@ -49,7 +49,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """Of a trained model, what holds whatever its trees are."""
-    return {name: f"{PRELUDE}\n{body}" for name, body in (BODIES | run_queries.SQL).items()} | LLM_SQL
+    return {name: f"{PRELUDE}\n{body}" for name, body in (BODIES | run_queries.SQL | analysis_queries.SQL).items()} | LLM_SQL
 
 
 PRELUDE = """

@@ -32,6 +32,7 @@ def _arguments() -> argparse.Namespace:
     job.add_argument("--rounds", type=int, default=C.TreeParams.max_iter)
     job.add_argument("--step-size", type=float, default=C.TreeParams.step_size)
     job.add_argument("--max-depth", type=int, default=C.TreeParams.max_depth)
+    job.add_argument("--method", choices=pipeline.METHODS, default=pipeline.METHODS[0], help="classifier: Spark ML, or second-order leaf weights")
     job.add_argument("--subsample", type=float, default=C.TreeParams.subsampling_rate)
 
     job = jobs.add_parser("score", help="score processed files")
@@ -70,9 +71,10 @@ def main() -> None:
         settings = C.Settings(test_share=args.test_share, seed=args.seed, max_levels=args.max_levels, tree=tree)
         table = readers.read_training(spark, args.history)
         done = pipeline.training_job(
-            table, args.out, settings, args.target, drop_unlabelled=args.drop_unlabelled
+            table, args.out, settings, args.target, drop_unlabelled=args.drop_unlabelled, method=args.method
         )
-        print(f"{len(done.features)} features, area under ROC {done.auc if done.auc is not None else float("nan"):.4f}")
+        area = "undefined" if done.auc is None else f"{done.auc:.4f}"
+        print(f"{len(done.features)} features, area under ROC {area}")
     elif args.job == "score":
         run = pipeline.scoring_job(
             spark,

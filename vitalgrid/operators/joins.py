@@ -10,8 +10,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from vitalgrid.session import staged
+
 #: Right rows of one key that meet in one task.
 ROWS_PER_SALT = 100_000
+#: A key with more than one in so many rows is looked up by broadcast, so that there are
+#: fewer of them than this.
+HOT_KEYS = 100_000
 _SALT, _SALTS, _ROW, _HIT = "_salt", "_salts", "_row", "_hit"
 
 
@@ -50,3 +55,21 @@ def left_join(
     )
     joined = lsalted.join(rsalted, [key, _SALT], "left")
     return joined.where(none | F.col(_HIT).isNotNull()).drop(_SALT, _SALTS, _HIT)
+
+
+def lookup(
+    left: DataFrame, right: DataFrame, key: str, right_key: str, rows: str, hot_keys: int = HOT_KEYS
+) -> DataFrame:
+    """``left`` with the columns of the one row of ``right`` that has its key (NULL is a
+    key too); every key of ``left`` is there, ``rows`` times in ``left``.
+
+    Rows of a frequent key meet its row where they are; the others are joined by a
+    shuffle, in which no key can then fill a task. The plan is the same at every size."""
+    right = staged(right, "lookup")
+    every = right.agg(F.sum(rows)).first()[0] or 0
+    same = F.col(f"`{key}`").eqNullSafe(F.col(f"`{right_key}`"))
+    is_hot = F.col(rows) * hot_keys > every
+    hot, cold = right.where(is_hot).drop(rows), right.where(~is_hot).drop(rows)
+    common = left.join(F.broadcast(hot), same)
+    rare = left.join(F.broadcast(hot.select(right_key)), same, "left_anti").join(cold, same)
+    return common.unionByName(rare).drop(right_key)

@@ -14,12 +14,13 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from vitalgrid.config import SPLIT_SEED, TEST_SHARE
+from vitalgrid.operators.joins import lookup
 from vitalgrid.operators.numbering import number_rows
 from vitalgrid.session import staged
 
 ORDER_BITS = 32
 SHIFTS = (20, 8, 0)  # a range is cut into 2^12 narrower ones, so a task emits few counts
-_O, _CELL, _NEED, _LABEL = "_order", "_cell", "_need", "_label"
+_O, _CELL, _NEED, _LABEL, _WEIGHT = "_order", "_cell", "_need", "_label", "_weight"
 
 
 def hashed_order(key: Column, seed: int = SPLIT_SEED) -> Column:
@@ -41,8 +42,10 @@ def _cuts(counts: DataFrame) -> DataFrame:
 
 def find_cuts(narrow: DataFrame, share: float) -> DataFrame:
     """One row per class: the order value at which it is cut, and how many rows with
-    that value are ``test``. A class without test rows has none."""
-    sizes = narrow.groupBy(_LABEL).agg(F.count("*").alias("n"))
+    that value are ``test``. A class without test rows has none. A row counts as many
+    times as its weight, if it has one."""
+    size = F.sum(_WEIGHT) if _WEIGHT in narrow.columns else F.count("*")
+    sizes = narrow.groupBy(_LABEL).agg(size.alias("n"))
     wanted = F.ceil(F.col("n") * F.lit(Decimal(str(share)))).cast("bigint")
     cuts = sizes.select(_LABEL, wanted.alias(_NEED))
     above = None
@@ -52,7 +55,7 @@ def find_cuts(narrow: DataFrame, share: float) -> DataFrame:
         if above is not None:
             inside = cuts.select(F.col(_LABEL).alias("l"), F.col(_CELL).alias("c"))
             rows = narrow.join(inside, F.col(_LABEL).eqNullSafe(F.col("l")) & (F.shiftright(_O, above) == F.col("c")), "left_semi")
-        counts = rows.groupBy(_LABEL, cell.alias(_CELL)).agg(F.count("*").alias("n"))
+        counts = rows.groupBy(_LABEL, cell.alias(_CELL)).agg(size.alias("n"))
         need = cuts.select(F.col(_LABEL).alias("l"), _NEED)
         counts = counts.join(need, F.col(_LABEL).eqNullSafe(F.col("l"))).drop("l")
         # One row per class.
@@ -89,3 +92,32 @@ def stratified_split(
         name, F.when(F.col("_n") - F.col("_first") < F.col(_NEED), "test").otherwise("train")
     )
     return clear.drop(*helpers).unionByName(ranked.drop(*helpers, "_n", "_first", "_first_label"))
+
+
+def group_split(
+    df: DataFrame,
+    label: str,
+    key: str,
+    share: float = TEST_SHARE,
+    order: Column | None = None,
+    name: str = "part",
+    seed: int = SPLIT_SEED,
+) -> DataFrame:
+    """Add ``part`` so that all rows of a ``key`` are in the same one. The class of a key
+    is its greatest label. Of each class, keys come in the order of ``order``, then
+    ``key``; they are ``test`` up to the key with which ``ceil(share * rows)`` rows are
+    reached, so the share is exact within the rows of one key. Rows without a key are
+    one key. Keys that share a value of ``order`` at the cut are ranked in one task."""
+    k = F.col(f"`{key}`")
+    groups = df.groupBy(k).agg(F.max(f"`{label}`").alias(_LABEL), F.count("*").alias(_WEIGHT))
+    o = hashed_order(k, seed) if order is None else order
+    # Read by every pass and by the join, so written once.
+    groups = staged(groups.withColumn(_O, o).withColumnRenamed(key, "_key"), "groups")
+    cuts = find_cuts(groups.select(_LABEL, _O, _WEIGHT), share).withColumnRenamed(_LABEL, "_cut_label")
+    placed = groups.join(cuts, F.col(_LABEL).eqNullSafe(F.col("_cut_label")), "left")
+    at_cut = F.coalesce(F.col(_O) == F.col(_CELL), F.lit(False))
+    before = F.sum(_WEIGHT).over(Window.partitionBy(_LABEL).orderBy("_key")) - F.col(_WEIGHT)
+    clear = placed.where(~at_cut).withColumn(name, F.when(F.col(_O) < F.col(_CELL), "test").otherwise("train"))
+    near = placed.where(at_cut).withColumn(name, F.when(before < F.col(_NEED), "test").otherwise("train"))
+    parts = clear.select("_key", _WEIGHT, name).unionByName(near.select("_key", _WEIGHT, name))
+    return lookup(df, parts, key, "_key", _WEIGHT)

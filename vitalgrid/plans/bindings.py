@@ -29,18 +29,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Tenths of an hour as whole numbers, divided once, give the double nearest to the decimal.
+VITALS = (
+    "CASE WHEN user_id % 10 = 3 THEN user_id + 1000000000 ELSE user_id END AS patient_id",
+    "value AS heart_rate",
+    "100 + event_id % 71 AS bp_systolic",
+    "60 + event_id % 61 AS bp_diastolic",
+    "CASE WHEN user_id % 29 = 5 THEN NULL ELSE ((3 + user_id % 6) * 10 + event_id % 10) / 10D END AS sleep_hours",
+    "CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS physical_activity",
+)
+
+
 def vitals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Tenths of an hour as whole numbers, divided once, give the double nearest to
-    # the decimal.
-    return table(spark, sf_dir, "events").selectExpr(
-        "CASE WHEN user_id % 10 = 3 THEN user_id + 1000000000 ELSE user_id END AS patient_id",
-        "value AS heart_rate",
-        "100 + event_id % 71 AS bp_systolic",
-        "60 + event_id % 61 AS bp_diastolic",
-        "CASE WHEN user_id % 29 = 5 THEN NULL"
-        " ELSE ((3 + user_id % 6) * 10 + event_id % 10) / 10D END AS sleep_hours",
-        "CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS physical_activity",
-    )
+    return table(spark, sf_dir, "events").selectExpr(*VITALS)
+
+
+#: Days by which readings are moved, so that a change of clocks falls among them.
+SHIFT_DAYS = 70
+ZONE = "Europe/Berlin"
+
+
+def timed_vitals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings with their instant, some without."""
+    moved = F.timestamp_micros(F.unix_micros("ts") + SHIFT_DAYS * 86_400_000_000)
+    known = F.when(F.expr("event_id % 97 <> 13"), moved)
+    return table(spark, sf_dir, "events").withColumn("ts", known).selectExpr(*VITALS, "ts")
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from vitalgrid import config as C, streaming
-from vitalgrid.operators import digest, features, model as trees, scoring
+from vitalgrid.operators import boosting, digest, features, model as trees, scoring
 from vitalgrid.operators.split import stratified_split
 from vitalgrid.operators.vitals import processed_health
 from vitalgrid.plans import reports
-from vitalgrid.session import staged
+from vitalgrid.session import exists, staged
 from vitalgrid.sources import ledger, readers, runs, schemas, writers
 
 
@@ -41,11 +41,15 @@ def aggregate_job(
     return preview(readers.read_processed(spark, out, schemas.table_of(processed)))
 
 
+#: Classifiers: those of Spark ML, and those with second-order leaf weights.
+METHODS = ("trees", "boosted")
+
+
 @dataclass(frozen=True)
 class Training:
-    model: PipelineModel
+    model: PipelineModel | boosting.Boosted
     features: list[str]
-    auc: float
+    auc: float | None
 
 
 def training_job(
@@ -55,8 +59,10 @@ def training_job(
     target: str = C.TARGET_COLUMN,
     key: str = C.ID_COLUMN,
     drop_unlabelled: bool = False,
+    method: str = METHODS[0],
 ) -> Training:
     """Prepare, split, write both parts and the feature list, fit, evaluate, save.
+    ``method`` is one of ``METHODS``.
 
     ``table`` is any table with the target and an id, under file column names. A
     missing target counts as 0 unless such rows are dropped.
@@ -81,10 +87,30 @@ def training_job(
     writers.write_labelled(train, f"{out}/train")
     writers.write_labelled(test, f"{out}/test")
     writers.write_feature_list(spark, names, f"{out}/feature_list")
-    fitted = trees.train(train, names, target, replace(settings.tree, seed=settings.seed))
-    trees.save(fitted, f"{out}/model", encoder)
-    auc = trees.area_under_roc(trees.score(fitted, test), target)
-    return Training(fitted, names, auc)
+    tree = replace(settings.tree, seed=settings.seed)
+    if method == "boosted":
+        fitted = boosting.train(train, names, target, boosted_params(tree))
+        boosting.save(spark, fitted, f"{out}/model", encoder)
+        scored = fitted.score(test)
+    else:
+        fitted = trees.train(train, names, target, tree)
+        trees.save(fitted, f"{out}/model", encoder)
+        scored = trees.score(fitted, test)
+    return Training(fitted, names, trees.area_under_roc(scored, target))
+
+
+def boosted_params(tree: C.TreeParams) -> boosting.BoostParams:
+    """The same settings for the other classifier."""
+    return boosting.BoostParams(tree.max_iter, tree.step_size, tree.max_depth, tree.subsampling_rate, float(tree.feature_subset), tree.seed)
+
+
+def saved_scorer(spark: SparkSession, model: str, feature_list: str) -> scoring.Scorer:
+    """The scorer of a saved model of either method."""
+    expected = readers.read_feature_list(spark, feature_list)
+    if exists(spark, f"{model.rstrip('/')}/boosted.json"):
+        fitted, encoder = boosting.load(spark, model)
+        return boosting.serving_scorer(fitted, expected, encoder)
+    return trees.serving_scorer(trees.load(model), expected, trees.load_encoder(spark, model))
 
 
 @dataclass(frozen=True)
@@ -143,8 +169,7 @@ def scoring_job(
     rows = readers.read_rows(spark, files, **readers.LISTING)
     order = order or ([C.ID_COLUMN] if C.ID_COLUMN in rows.columns else rows.columns)
     rows = scoring.with_fallback_id(rows, order)
-    expected = readers.read_feature_list(spark, feature_list)
-    scorer = trees.serving_scorer(trees.load(model), expected, trees.load_encoder(spark, model))
+    scorer = saved_scorer(spark, model, feature_list)
     scored = scorer(scoring.row_cap(rows, order, settings.max_rows))
     # Written once: predictions, alerts, lines and summary all read it.
     scored = staged(writers.with_scored_at(scored), "scored")
@@ -213,8 +238,7 @@ def streaming_job(
         schema = T.StructType([T.StructField(f, T.StringType()) for f, _, _ in schemas.PROCESSED])
     options = {"header": True, "enforceSchema": False, **readers.QUOTES, **readers.LISTING, **options}
     source = streaming.file_stream(spark, processed, schema, "csv", **options)
-    expected = readers.read_feature_list(spark, feature_list)
-    scorer = trees.serving_scorer(trees.load(model), expected, trees.load_encoder(spark, model))
+    scorer = saved_scorer(spark, model, feature_list)
     return streaming.score_stream(source, scorer, sink, checkpoint, available_now=available_now)
 
 

@@ -100,6 +100,7 @@ def put_text(spark: SparkSession, path: str, text: str, replace: bool = False) -
     elif fs.exists(at):
         return False
     draft = spark._jvm.org.apache.hadoop.fs.Path(at.getParent(), f".{uuid.uuid4().hex}")
+    fs.mkdirs(at.getParent())
     out = fs.create(draft, True)
     out.write(bytearray(text.encode()))
     out.close()
