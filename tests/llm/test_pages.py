@@ -1,8 +1,13 @@
 """Main text of pages."""
 
+import random
 import re
+import time
 from html import unescape
 
+import numpy as np
+import pytest
+
 from vitalgrid.llm import pages
 
 
@@ -79,3 +84,71 @@ def test_links_of_an_article_stay():
 def test_links_do_not_cut_text_in_two():
     html = f"<ul>{LINKS}</ul>" + f"<p>{LONG}" * 5 + f"<ul>{LINKS}</ul><p>{LONG}<ul>{LINKS}</ul>"
     assert pages.main_text(html) == "\n".join([LONG] * 5 + [REFERENCES, LONG])
+
+
+FRAGMENTS = [
+    "<section id='related-work'><p>{}</p></section>", "<p class='alert-threshold'>{}</p>", "<h2 id='search-strategy'>{}</h2>",
+    "<section id='comments-on-method'><p>{}</p></section>", "<blockquote class='side note'>{}</blockquote>", "<p id='form-and-function'>{}</p>",
+    "<p id='sharing'>{}</p>", "<p><math><mi>{}</mi></math></p>",
+]
+
+
+@pytest.mark.parametrize("fragment", FRAGMENTS)
+def test_article_text_under_any_name_stays(fragment):
+    html = f"<nav>menu</nav><article><p>{LONG}</p>{fragment.format('kept text')}<p>{LONG}</p></article><p>Out</p>"
+    assert pages.main_text(html) == f"{LONG}\nkept text\n{LONG}"
+
+
+def test_the_lines_outside_a_marked_article_part_it_and_are_not_kept():
+    html = f"<p>Before<article><p>One</p></article><p>Between, and it is a long line of text that would surge</p><article><p>Two</article><p>After"
+    assert pages.main_text(html) == "One\nTwo"
+
+
+def test_without_its_marks_a_page_gives_the_same_text(spark):
+    for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect():
+        plain_html = re.sub(r"(</?)(?:article|main)\b", r"\1div", r.html)
+        assert pages.main_text(plain_html) == plain(r.html)
+
+
+def brute_stretches(weight, surge):
+    """From the definitions: a line lies in text if a window that holds it has weight;
+    a run of such lines is text if one of its windows exceeds ``surge``."""
+    n, w = len(weight), pages.WINDOW
+    sums = [sum(weight[max(e - w + 1, 0) : e + 1]) for e in range(n)]  # windows that end at a line
+    out, start = [], None
+    for i in range(n + 1):
+        alive = i < n and sums[i] > 0
+        if alive and start is None:
+            start = i
+        if not alive and start is not None:
+            if max(sums[start:i]) >= surge:
+                last = max(k for k in range(start, i) if weight[k])
+                out.append((start, last + 1))
+            start = None
+    return out
+
+
+def test_window_sums_surge_and_dive():
+    rng = random.Random(3)
+    for _ in range(2000):
+        weight = np.array([rng.choice([0, 0, 0, 1, 7, 30, 80]) for _ in range(rng.randrange(1, 40))], float)
+        for surge in (1, 40):
+            assert pages.stretches(weight, surge) == brute_stretches(weight.tolist(), surge)
+
+
+@pytest.mark.parametrize(
+    "piece", ["<a ", "<", "<a \"", "<a '\">", "</i>", "<div></i>", "<b>", "<b><p></p>", "<p><i>", "<!", "<!--", "<script>", "</script", "&amp", "<a href='>'", "\"'<a>", "<li>", "<a b=c d"]
+)
+def test_hostile_pages_take_linear_time(piece):
+    for wrap in ("{}", "<script>{}", "{}>", "{}'>"):
+        html = wrap.format(piece * 64_000)
+        began = time.time()
+        pages.main_text(html)
+        assert time.time() - began < 2.5, wrap
+
+
+def test_stray_tags_take_under_a_second():
+    html = "<div>" * 64_000 + "</i>" * 64_000
+    began = time.time()
+    pages.main_text(html)
+    assert time.time() - began < 1
