@@ -7,15 +7,18 @@ weighted by bytes, until as many leaves are left as there are shards. Splitting
 what differs most keeps like documents in like shards.
 
 A median is found by counting bytes in 4096 bins of a part's key, then in 4096 bins of
-the bin that holds it, until what is left of the bin is at most ``SLACK`` of a shard.
+the bin that holds it, until the bin weighs a quarter of ``SLACK`` of a shard or is one key.
 The key is the scaled value with a hash of the text behind it, so ties part evenly and
 groups stay whole. Only bin counts reach the driver.
 
-A group over ``SLACK`` of a shard can't be cut by a median without harm. There are at
-most shards / SLACK of them; they are dealt first, the largest to the emptiest shard,
-and the tree fills up what they leave. A group over a whole shard is split by a hash of
-the doc_id into parts of a sixty-fourth of a shard; this is the only case in which equal
-texts part. Groups with so many rows that a join would feel it are listed the same way.
+All groups go through the tree but those heavier than a whole shard. These are split by a
+hash of the doc_id into parts of a sixty-fourth of a shard, which are dealt first, the
+largest to the emptiest shard, and the tree fills up what they leave; this is the only
+case in which equal texts part. Where groups are heavy a median can miss its goal by half
+of one. So in the end some groups of over ``SLACK`` of a shard, of which there are at most
+shards / SLACK, are moved from a shard over its goal to one under it, as long as that
+brings the two nearer to each other. Groups with so many rows that a join would feel it
+are listed with them and joined by broadcast.
 
 Slots number the rows of a shard from 0: per bucket of rows first, then offset by the
 counts of the buckets before.
@@ -27,6 +30,8 @@ their own; an empty table gives no rows, and fewer rows than shards leave shards
 
 from __future__ import annotations
 
+import bisect
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -106,9 +111,9 @@ def cut_points(parts: DataFrame, goals: dict[int, float], slack: float) -> dict[
     return done
 
 
-def shard_of_groups(groups: DataFrame, heavy_bytes: list[int], shards: int) -> tuple[Column, int]:
-    """An expression for the leaf of a light group. ``heavy_bytes``: what every shard
-    holds already."""
+def shard_of_groups(groups: DataFrame, heavy_bytes: list[int], shards: int) -> DataFrame:
+    """Groups with their leaf as ``shard``. ``heavy_bytes``: what every shard holds
+    already."""
     bounds = groups.agg(F.sum("weight").alias("w"), *[f(F.col("log_size" if d == "size" else d)).alias(f"{d}_{k}") for d in DIMENSIONS for k, f in (("low", F.min), ("high", F.max))]).first()
     total = bounds.w or 0
     goal = (total + sum(heavy_bytes)) / shards
@@ -140,7 +145,7 @@ def shard_of_groups(groups: DataFrame, heavy_bytes: list[int], shards: int) -> t
         open_ = [x for a, b in open_ for x in (((a, (a + b + 1) // 2), ((a + b + 1) // 2, b)) if b - a > 1 else ((a, b),))]
         groups = staged(groups.withColumn("leaf", node), "groups")
         node = F.col("leaf")
-    return groups.withColumn("shard", node.cast("int")).select(*GROUP, "shard")
+    return groups.withColumn("shard", node.cast("int")).select(*GROUP, "weight", "n", "shard")
 
 
 def deal(parts: list[tuple], shards: int) -> tuple[list[tuple], list[int]]:
@@ -154,6 +159,37 @@ def deal(parts: list[tuple], shards: int) -> tuple[list[tuple], list[int]]:
     return out, held
 
 
+def even_out(heavy: list[tuple[int, int]], held: list[int]) -> dict[int, int]:
+    """Which of the heavy groups (weight, shard) go to which other shard. ``held``: bytes
+    by shard. Of the fullest shard and another, the group is moved, or the two groups are
+    exchanged, that leave the greater of the two smallest."""
+    held, shard_of = list(held), [s for _, s in heavy]
+    members = [sorted((w, i) for i, (w, s) in enumerate(heavy) if s == shard) for shard in range(len(held))]
+    for _ in range(4 * len(heavy)):
+        full = max(range(len(held)), key=lambda s: (held[s], s))
+        best = None
+        for other in sorted(range(len(held)), key=lambda s: (held[s], s)):
+            gap = held[full] - held[other]
+            for w, i in members[full]:
+                # Alone, or for the group there that is next to leaving both equal.
+                at = bisect.bisect_left(members[other], (w - gap / 2, -1))
+                for back, j in [(0, None), *members[other][max(at - 1, 0) : at + 1]]:
+                    if 0 < w - back < gap:
+                        left = max(held[full] - w + back, held[other] + w - back)
+                        if best is None or left < best[0]:
+                            best = left, i, j, other
+        if best is None:
+            break
+        _, i, j, other = best
+        for k, a, b in ((i, full, other), (j, other, full)):
+            if k is not None:
+                w = heavy[k][0]
+                members[a].remove((w, k))
+                bisect.insort(members[b], (w, k))
+                held[a], held[b], shard_of[k] = held[a] - w, held[b] + w, b
+    return {i: s for i, (s, (_, before)) in enumerate(zip(shard_of, heavy)) if s != before}
+
+
 def with_slots(rows: DataFrame, buckets: int) -> DataFrame:
     """Rows of every shard numbered from 0 without gaps."""
     bucketed = staged(rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "hash"), F.lit(buckets))), "sharded")
@@ -172,17 +208,25 @@ def assign(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     groups = staged(text_groups(rows), "groups")
     all_ = groups.agg(F.sum("weight").alias("weight"), F.sum("n").alias("n")).first()
     goal, many = (all_.weight or 0) / shards, (all_.n or 0) / shards
-    # At most shards / SLACK groups are over the one limit, as many over the other.
-    is_heavy = (F.col("weight") > SLACK * goal) | (F.col("n") > SLACK * many + 100)
-    heavy = groups.where(is_heavy).select(*GROUP, F.when(F.col("weight") > goal, F.ceil(64 * F.col("weight") / F.lit(goal))).otherwise(1).cast("long").alias("parts"))
-    part = F.pmod(F.xxhash64("doc_id"), F.col("parts")).alias("part")
-    heavy_rows = rows.join(F.broadcast(heavy), GROUP).select("doc_id", *GROUP, part)
-    weighed = heavy_rows.groupBy(*GROUP, "part").agg(F.sum("size").cast("long").alias("weight")).collect()
+    # Fewer groups than shards weigh more than one.
+    over = groups.where(F.col("weight") > goal).select(*GROUP, F.ceil(64 * F.col("weight") / F.lit(goal or 1.0)).cast("long").alias("parts"))
+    over_rows = rows.join(F.broadcast(over), GROUP).select("doc_id", *GROUP, F.pmod(F.xxhash64("doc_id"), F.col("parts")).alias("part"))
+    weighed = over_rows.groupBy(*GROUP, "part").agg(F.sum("size").cast("long").alias("weight")).collect()
     dealt, held = deal([(r.weight, r.hash, r.text_crc32, r.size, r.part) for r in weighed], shards)
-    light = shard_of_groups(groups.where(~is_heavy), held, shards)
-    places = spark.createDataFrame(dealt, "hash long, text_crc32 long, size long, part long, shard int")
-    some = heavy_rows.join(F.broadcast(places), [*GROUP, "part"]).select("doc_id", *GROUP, "shard")
-    rest = rows.join(F.broadcast(heavy), GROUP, "left_anti").join(light, GROUP).select("doc_id", *GROUP, "shard")
+    placed = shard_of_groups(groups.where(F.col("weight") <= goal), held, shards)
+    # At most shards / SLACK groups are over the one limit, as many over the other.
+    is_listed = (F.col("weight") > SLACK * goal) | (F.col("n") > SLACK * many + 100)
+    listed = placed.where(is_listed).orderBy(*GROUP).collect()
+    for r in placed.groupBy("shard").agg(F.sum("weight").alias("weight")).collect():
+        held[r.shard] += r.weight
+    moved = even_out([(r.weight, r.shard) for r in listed], held)
+    places = [(r.hash, r.text_crc32, r.size, moved.get(i, r.shard)) for i, r in enumerate(listed)]
+    places = F.broadcast(spark.createDataFrame(places, "hash long, text_crc32 long, size long, shard int"))
+    parts = F.broadcast(spark.createDataFrame(dealt, "hash long, text_crc32 long, size long, part long, shard int"))
+    apart = rows.join(F.broadcast(over), GROUP, "left_anti")
+    some = over_rows.join(parts, [*GROUP, "part"]).select("doc_id", *GROUP, "shard")
+    some = some.unionByName(apart.join(places, GROUP).select("doc_id", *GROUP, "shard"))
+    rest = apart.join(places, GROUP, "left_anti").join(placed.where(~is_listed).select(*GROUP, "shard"), GROUP).select("doc_id", *GROUP, "shard")
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     return with_slots(some.unionByName(rest), buckets).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard")
