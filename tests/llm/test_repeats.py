@@ -3,9 +3,12 @@
 import hashlib
 import random
 import re
+from dataclasses import replace
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from vitalgrid.llm import repeats, substring, suffix
 
@@ -130,9 +133,49 @@ def test_filters_never_miss():
     keys = np.concatenate([rng.integers(0, 2**63, 5000).astype(np.uint64)] * 1 + [np.arange(50, dtype=np.uint64)] * 2)
     twice = np.arange(len(keys)) >= 5000
     assert (suffix.by_digit(keys) == twice).all()
-    assert substring.estimated_repeated(keys)[twice].all()
-    assert substring.estimated_repeated(keys).mean() < 0.1
-    assert len(suffix.by_digit(keys[:0])) == len(substring.estimated_repeated(keys[:0])) == 0
+    assert len(suffix.by_digit(keys[:0])) == 0
+
+
+@pytest.mark.parametrize("cells", [16, 1000, 1 << 20])
+def test_sketch_never_underestimates(spark, cells):
+    rng = random.Random(6)
+    texts = [" ".join(f"w{rng.randrange(400)}" for _ in range(rng.randrange(40))) for _ in range(300)]
+    texts += texts[:20]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(6)
+    how = substring.windows(6, 3)
+    found = substring.sketch(docs, how, cells)
+    assert len(found.bits) == substring.ROWS
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    keys = np.concatenate(list(repeats.anchors(how, [batch], 0)))
+    once, at, count = np.unique(keys, return_index=True, return_counts=True)
+    estimate = found.repeated(once)
+    assert estimate[count > 1].all()
+    if cells == 1 << 20:
+        assert estimate[count == 1].mean() < 0.01
+    # By the definition, cell by cell.
+    for row in range(substring.ROWS):
+        cell, n = np.unique(substring.cells_of(keys, row, cells), return_counts=True)
+        bits = np.unpackbits(np.frombuffer(found.bits[row], np.uint8), bitorder="little")[:cells]
+        assert set(np.flatnonzero(bits)) == set(cell[n > 1])
+
+
+@pytest.mark.parametrize("cells", [16, 4096])
+def test_the_size_of_the_sketch_does_not_change_the_result(spark, cells):
+    rows = corpus(7)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = substring.digests(docs, 6, cells).collect()
+    assert {r.doc_id: tuple(r)[1:4] for r in got} == brute_words(rows, 6)
+
+
+def test_only_what_may_repeat_is_shuffled(spark):
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(10**7)}" for _ in range(200)) for _ in range(100)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, texts[0]])], "doc_id long, text string").repartition(3)
+    how = substring.windows()
+    how = replace(how, sketch=spark.sparkContext.broadcast(substring.sketch(docs, how)))
+    keyed = docs.select(*repeats.doc_keys(), F.col("text"))
+    sizes = [keyed.mapInArrow(repeats.batch_spans(h, 4), repeats.PACKED).agg(F.sum("size")).first()[0] for h in (substring.windows(), how)]
+    assert sizes[1] < 0.05 * sizes[0]
 
 
 def test_join_runs():

@@ -95,6 +95,12 @@ class Windows:
     same_document: bool
     #: Keys (uint64) to a mask that holds at least every key found twice.
     repeated: Callable[[np.ndarray], np.ndarray]
+    #: Of all anchors (a broadcast, or None) a function to such a mask, asked before
+    #: anything is shuffled; see ``substring``.
+    sketch: object = None
+
+    def may_repeat(self, anchors: np.ndarray) -> np.ndarray:
+        return np.ones(len(anchors), bool) if self.sketch is None else self.sketch.value.repeated(anchors)
 
 
 def doc_keys() -> tuple[Column, Column]:
@@ -233,8 +239,10 @@ def batch_spans(how: Windows, shards: int) -> Callable[[Iterator[pa.RecordBatch]
             for first, _, data, offsets in spans.slices(batch.column(2), how.units.slice_bytes):
                 cut = how.units(data, offsets)
                 lo, hi, anchor = spans_of(cut, how)
-                row = np.searchsorted(cut.offsets, lo, "right") - 1
                 a = cut.ranges(anchor, np.full(len(anchor), how.gram), 5)
+                some = how.may_repeat(a)
+                lo, hi, anchor, a = lo[some], hi[some], anchor[some], a[some]
+                row = np.searchsorted(cut.offsets, lo, "right") - 1
                 b = spans.mix(cut.ranges(lo, hi - lo + how.size, 6) + (anchor - lo).astype(np.uint64))
                 found.append((row + first, lo - cut.offsets[row], hi - lo + 1, a, b))
             if not found:
@@ -268,6 +276,15 @@ def batch_spans(how: Windows, shards: int) -> Callable[[Iterator[pa.RecordBatch]
     return run
 
 
+def anchors(how: Windows, batches: Iterator[pa.RecordBatch], text: int) -> Iterator[np.ndarray]:
+    """Keys of the anchors of all spans, as step 1 sees them."""
+    for batch in batches:
+        for _, _, data, offsets in spans.slices(batch.column(text), how.units.slice_bytes):
+            cut = how.units(data, offsets)
+            _, _, anchor = spans_of(cut, how)
+            yield cut.ranges(anchor, np.full(len(anchor), how.gram), 5)
+
+
 def gather(batches: Iterator[pa.RecordBatch], keyed: list) -> Iterator[pa.RecordBatch]:
     """Collect the keyed rows of a partition and pass the others on as marks."""
     for batch in batches:
