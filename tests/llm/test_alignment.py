@@ -99,6 +99,22 @@ def test_very_long_text(spark):
     assert row[1] > 300_000 and row[4] == row[1] + row[2] - row[3]
 
 
+def test_both_libraries_give_the_same_ids(spark):
+    with open(PATHS[0], "rb") as a, open(PATHS[1], "rb") as b:
+        coders = alignment.Tokenizers(a.read(), b.read())
+    assert coders.quick
+    rng = random.Random(4)
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    texts += ["".join(chr(rng.randrange(1, 0x250)) for _ in range(rng.randrange(80))) for _ in range(3000)]
+    texts += ["".join(rng.choice("'sStTreveld 19 \n\t\x85\xa0éß.,<|endoftext|>") for _ in range(rng.randrange(80))) for _ in range(3000)]
+    want = [x.ids for x in coders.a.encode_batch_fast(texts, add_special_tokens=False)]
+    assert coders.encode_a(texts) == want
+    with open(PATHS[0], encoding="utf-8") as f:
+        stored = json.load(f)
+    stored["model"]["merges"].reverse()
+    assert alignment.plain_ranks(stored, alignment.byte_letters()) is None
+
+
 def test_bytes_of_tokens():
     with open(PATHS[0], "rb") as a, open(PATHS[1], "rb") as b:
         coders = alignment.Tokenizers(a.read(), b.read())
