@@ -69,13 +69,12 @@ def test_edited_copies_are_found_and_others_not(spark):
     assert {r.doc_id for r in kept.collect()} == set(range(300)) - set(want)
 
 
-def test_chunks_change_nothing(spark, monkeypatch):
+def test_the_size_of_the_filters_changes_nothing(spark, monkeypatch):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     benchmark = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
-    whole = {(r.doc_id, r.item_id, round(r.score, 9)) for r in contamination.matches(docs, benchmark).collect()}
-    # Rarity is counted per n-gram, so the seeds of an item don't depend on the chunk.
-    monkeypatch.setattr(contamination, "CHUNK_BYTES", 2500)
-    assert {(r.doc_id, r.item_id, round(r.score, 9)) for r in contamination.matches(docs, benchmark).collect()} == whole
+    whole = {(r.doc_id, r.item_id, r.score, r.end_word) for r in contamination.matches(docs, benchmark).collect()}
+    monkeypatch.setattr(contamination, "FILTER_BITS", 64)
+    assert {(r.doc_id, r.item_id, r.score, r.end_word) for r in contamination.matches(docs.repartition(5), benchmark.repartition(3)).collect()} == whole
     for text in [r for r in docs.collect()][:40]:
         for item in benchmark.collect()[:10]:
             a, b = words(item.text), words(text.text)
@@ -83,6 +82,34 @@ def test_chunks_change_nothing(spark, monkeypatch):
                 assert (text.doc_id, item.item_id) in {w[:2] for w in whole}
 
 
+def test_filter_lets_all_of_its_keys_pass(spark):
+    rng = random.Random(5)
+    keys = [rng.randrange(-(2**63), 2**63) for _ in range(5000)] + [-(2**63), 2**63 - 1, 0, -1]
+    table = spark.createDataFrame([(k,) for k in keys], "key long").repartition(3)
+    for bits, most in ((64, 1), (100_000, 0.07), (contamination.FILTER_BITS, 0.001)):
+        held = np.frombuffer(contamination.filter_of(table, bits), np.uint8)
+        assert len(held) * 8 >= bits and contamination.passing(held, bits, np.array(keys, np.int64)).all()
+        others = np.array([rng.randrange(-(2**63), 2**63) for _ in range(5000)], np.int64)
+        assert contamination.passing(held, bits, others).mean() <= most
+
+
+def test_seeds_are_rare_or_the_rarer_half():
+    words_ = np.arange(9, dtype=np.uint64)
+    counts = np.array([1, 1, 900, 900, 900, 900, 900, 1, 900])
+    _, places = contamination.seeds_of(words_, counts, 100_000, 2)
+    assert {0, 1, 6, 7} <= set(places.tolist()) and len(places) >= 4
+    _, places = contamination.seeds_of(words_, np.zeros(9), 10**9, 2)
+    assert len(places) == 8
+
+
+def test_words_are_counted_over_the_whole_corpus(spark):
+    docs = spark.createDataFrame([("a b a",), ("A, b",), (None,), ("x " * 50,)], "text string").repartition(2)
+    benchmark = spark.createDataFrame([(1, "a b c d"), (2, "x y")], "item_id long, text string")
+    items, seeds = contamination.items_and_seeds(docs, benchmark, 2)
+    assert {r.item_id: len(r.words) for r in items.collect()} == {1: 4, 2: 2}
+    assert {(r.place, r["size"]) for r in seeds.where("size = 2").collect()} == {(0, 2)}
+
+
 def test_nulls_empty_and_extra_columns(spark):
     item = "one two three four five six seven eight nine ten eleven twelve"
     schema = "held int, doc_id long, item_id int, text string"
@@ -94,27 +121,3 @@ def test_nulls_empty_and_extra_columns(spark):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3, 4]
     assert contamination.matches(docs.limit(0), benchmark).count() == 0
     assert contamination.matches(docs, benchmark.limit(0)).count() == 0
-
-
-def test_few_chunks_are_held_at_once(spark, monkeypatch):
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    benchmark = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
-    kept = sorted(r.doc_id for r in contamination.clean(docs, benchmark).collect())
-    made, gone, most = [], [], [0]
-    context, real = spark.sparkContext, spark.sparkContext.broadcast
-
-    def broadcast(value):
-        made.append(real(value))
-        most[0] = max(most[0], len(made) - len(gone))
-        return made[-1]
-
-    shipped = type(real(0))
-    destroy = shipped.destroy
-    monkeypatch.setattr(shipped, "destroy", lambda self, *a: gone.append(self) or destroy(self, *a))
-    monkeypatch.setattr(context, "broadcast", broadcast)
-    monkeypatch.setattr(contamination, "CHUNK_BYTES", 2500)
-    for judge in (contamination.matches, contamination.clean):
-        made.clear(), gone.clear()
-        out = judge(docs, benchmark)
-        assert len(made) > 6 and most[0] <= 3  # two chunks, and words being counted
-    assert sorted(r.doc_id for r in out.collect()) == kept and len(kept) < docs.count()
