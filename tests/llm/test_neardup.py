@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from vitalgrid.llm import neardup
 from vitalgrid.llm.components import components
@@ -83,6 +84,61 @@ def test_family(spark):
     assert got == brute(rows)
 
 
+def family_lists(spark, n):
+    """Posting lists of one family of near copies, of up to 50 members where split."""
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(n):
+        copy = list(base)
+        for _ in range(5):
+            copy[rng.randrange(200)] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(copy)))
+    docs = spark.createDataFrame(rows, "doc long, text string").repartition(4)
+    sets = docs.mapInArrow(neardup.signatures, "doc long, k1 long, k2 long, n long, keys array<long>, prints binary")
+    classes = sets.withColumnRenamed("doc", "cls")
+    lists = neardup.staged(neardup.bounded_lists(classes, 50), "lists")
+    return lists.withColumn("label", F.lit(0).cast("long"))
+
+
+def test_rows_of_a_family_grow_in_proportion(spark):
+    """What a turn deals, and what is left for the last turn when the family is one group
+    but for two members."""
+    counts = []
+    for n in (400, 800, 1600):
+        lists = family_lists(spark, n)
+        turns = [neardup.dealt(lists, 50, t).groupBy("key").count().agg(F.sum("count"), F.max("count")).first() for t in (0, 1)]
+        assert all(most < 110 for _, most in turns) and turns[0][0] == turns[1][0]
+        long = lists.where("members > 50").withColumn("label", F.when(F.col("cls") < 2, F.col("cls") + 1).otherwise(0))
+        last = neardup.across(long, 50).count()
+        assert last <= 1.2 * long.count()
+        counts.append(turns[0][0])
+    assert counts[1] < 2.5 * counts[0] and counts[2] < 2.5 * counts[1]
+
+
+def test_members_of_different_labels_meet(spark):
+    rng = random.Random(5)
+    rows = [(key, cls, rng.choice([0, 0, 0, 0, 1, 2, cls + 10]), b"") for key in (3, 9) for cls in range(120)]
+    lists = spark.createDataFrame(rows, "key long, cls long, label long, prints binary").repartition(3)
+    met = {}
+    for r in neardup.across(lists, 20).collect():
+        met.setdefault(r.key, []).append((r.cls, r.label))
+    assert all(k < 0 for k in met) and max(map(len, met.values())) < 80
+    pairs = {(a, b) for some in met.values() for a, x in some for b, y in some if x != y and a < b}
+    label = {(k, c): x for k, c, x, _ in rows}
+    for a in range(120):
+        for b in range(a + 1, 120):
+            if any(label[k, a] != label[k, b] for k in (3, 9)):
+                assert (a, b) in pairs
+
+
+def test_long_lists_in_all_turns(spark):
+    rows = corpus(6)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in neardup.groups(docs, longest=3).collect()}
+    assert got == brute(rows)
+
+
 def test_nulls_repeated_rows_and_extra_columns(spark):
     schema = "cls int, doc_id long, label string, text string, key int, prints binary"
     same = "some text that is long enough to have shingles"

@@ -16,12 +16,15 @@ are the connected components of the links.
     of over 4000 is first split by further coordinates, ten at a time: its members are
     posted again under the list and a second pair, and so on, so that documents that
     only share a frequent passage part. Where that would not halve the pairs to count,
-    the list is dealt into blocks and every two blocks are counted by a task.
+    the list stays long and is dealt into blocks, each member into one.
 4.  Links are sought where they can still change a group. In the first rounds a list
     proposes only a forest of most collisions over its members' groups, so a family of n
-    near copies takes n proposals, not n squared, and becomes one group. At last all
-    pairs between groups that are still apart are proposed, if they also have 516 of
-    768 coordinates in common (a pair of similarity 0.75 falls short once in 10^6).
+    near copies takes n proposals, not n squared, and becomes one group. Each round deals
+    long lists anew, so that the groups of one round's blocks meet in the next's. At last
+    all pairs between groups that are still apart are proposed, if they also have 516 of
+    768 coordinates in common (a pair of similarity 0.75 falls short once in 10^6). In a
+    long list these are the pairs between its largest group and the rest, and those
+    within the rest; the largest group's members do not meet each other any more.
 
 Pairs within one group are not listed; copies and members are told by class and group.
 
@@ -36,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitalgrid.llm import spans
@@ -192,12 +195,37 @@ def finer(level: int):
     return run
 
 
-def in_blocks(lists: DataFrame, longest: int) -> DataFrame:
-    """Every two blocks of at most about ``longest`` members as a list of their own."""
-    blocks = F.ceil(F.col("members") / longest).cast("long")
-    mine = F.pmod(F.xxhash64("cls"), blocks)
-    other = lists.withColumn("blocks", blocks).withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    return other.select(F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).bitwiseOR(F.lit(LEAST_ID)).alias("key"), "cls", "prints")
+def list_key(*parts) -> Column:
+    """The key of a list made out of others; negative, those of the prefix are not."""
+    return F.xxhash64(*parts).bitwiseOR(F.lit(LEAST_ID)).alias("key")
+
+
+def dealt(lists: DataFrame, longest: int, turn: int) -> DataFrame:
+    """Lists of over ``longest`` members as blocks, other ones in every turn."""
+    block = F.pmod(F.xxhash64("cls", F.lit(turn)), F.ceil(F.col("members") / longest).cast("long"))
+    key = F.when(F.col("members") <= longest, F.col("key")).otherwise(list_key("key", block, F.lit(turn)))
+    return lists.withColumn("key", key)
+
+
+def across(lists: DataFrame, longest: int) -> DataFrame:
+    """Long lists (key, cls, label, prints) as lists of at most about twice ``longest``,
+    such that every two members with different labels share one."""
+    sizes = lists.groupBy("key", "label").agg(F.count("*").alias("n"))
+    top = sizes.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("top"), F.max("n").alias("tops"), F.sum("n").alias("n"))
+    parts = lambda n: F.greatest(F.ceil(n / longest).cast("long"), F.lit(1))
+    rows = lists.join(top, "key").withColumns({"ours": parts(F.col("tops")), "theirs": parts(F.col("n") - F.col("tops"))})
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1)).alias("other")
+    block = lambda n: F.pmod(F.xxhash64("cls"), F.col(n)).alias("mine")
+    largest = rows.where("label = top").select("key", "cls", "label", "prints", block("ours"), each("theirs"))
+    rest = rows.where("label <> top")
+    # One label for all of the rest, other than that of the largest group.
+    met = rest.select("key", "cls", F.bitwise_not("top").alias("label"), "prints", block("theirs"), each("ours"))
+    pairs = largest.select(list_key("key", "mine", "other", F.lit(1)), "cls", "label", "prints").unionByName(
+        met.select(list_key("key", "other", "mine", F.lit(1)), "cls", "label", "prints")
+    )
+    among = rest.select("key", "cls", "label", "prints", block("theirs"), each("theirs"))
+    among = among.select(list_key("key", F.least("mine", "other"), F.greatest("mine", "other"), F.lit(2)), "cls", "label", "prints")
+    return pairs.unionByName(among)
 
 
 def tree_edges(label: np.ndarray, prints: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -288,9 +316,10 @@ def list_pairs(tree: bool):
 
 
 def bounded_lists(classes: DataFrame, longest: int) -> DataFrame:
-    """(key, cls, prints) of posting lists of two or more, none much over ``longest``,
-    such that two classes that share a key of the prefix share one here."""
-    fields = ["key", "cls", "prints"]
+    """(key, cls, prints, members) of posting lists of two or more such that two classes
+    that share a key of the prefix share one here. Lists of over ``longest`` members are
+    those that further coordinates don't part."""
+    fields = ["key", "cls", "prints", "members"]
     posted = classes.select("cls", F.explode("keys").alias("key"))
     sizes = posted.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     # Lists of one are left out before anything else is joined to them.
@@ -298,19 +327,17 @@ def bounded_lists(classes: DataFrame, longest: int) -> DataFrame:
     lists = staged(live.join(classes.select("cls", "prints"), "cls"), "lists")
     ready, level = lists.where(F.col("members") <= longest).select(fields), 1
     while True:
-        long = lists.where(F.col("members") > longest)
-        if long.isEmpty():
-            return ready
-        if (level + 1) * PREFIX > COORDINATES:
-            return ready.unionByName(in_blocks(long, longest))
-        parts = staged(long.select(fields).mapInArrow(finer(level), "key long, cls long, prints binary, parent long"), "lists")
+        long = lists.where(F.col("members") > longest).select(fields)
+        if (level + 1) * PREFIX > COORDINATES or long.isEmpty():
+            return ready.unionByName(long)
+        parts = staged(long.mapInArrow(finer(level), "key long, cls long, prints binary, parent long"), "lists")
         sizes = staged(parts.groupBy("parent", "key").agg(F.count("*").alias("members")), "sizes")
         work = sizes.groupBy("parent").agg(F.sum(F.col("members") * F.col("members")).alias("work"))
         pays = long.select("key", "members").distinct().join(work.withColumnRenamed("parent", "key"), "key").where("2 * work < members * members").select("key")
-        ready = ready.unionByName(in_blocks(long.join(pays, "key", "left_anti"), longest))
+        ready = ready.unionByName(long.join(pays, "key", "left_anti").select(fields))
         parts = parts.join(pays.withColumnRenamed("key", "parent"), "parent", "left_semi")
-        lists = staged(parts.join(sizes.where("members > 1"), ["parent", "key"]).select(*fields, "members"), "lists")
-        ready = ready.unionByName(lists.where(F.col("members") <= longest).select(fields))
+        lists = staged(parts.join(sizes.where("members > 1"), ["parent", "key"]).select(*fields), "lists")
+        ready = ready.unionByName(lists.where(F.col("members") <= longest))
         level += 1
 
 
@@ -319,12 +346,18 @@ def links(classes: DataFrame, texts: DataFrame, rounds: int = ROUNDS, longest: i
     others. ``classes``: cls, keys, prints; ``texts``: cls, text."""
     lists = staged(bounded_lists(classes, longest), "lists")
     texts = staged(texts.join(lists.select("cls").distinct(), "cls", "left_semi"), "texts")
-    found, labelled = None, lists.select("key", "cls", F.col("cls").alias("label"), "prints")
+    fields = ["key", "cls", "label", "prints"]
+    found, labelled = None, lists.select("key", "cls", F.col("cls").alias("label"), "prints", "members")
     for turn in range(rounds + 1):
         # A list whose members are all of one group has nothing to propose.
         mixed = labelled.groupBy("key").agg((F.min("label") != F.max("label")).alias("mixed")).where("mixed").select("key")
         asked = labelled.join(mixed, "key", "left_semi") if turn else labelled
-        if turn == rounds:
+        if turn < rounds:
+            asked = dealt(asked, longest, turn).select(fields)
+        else:
+            asked = staged(asked, "asked")
+            short, long = (asked.where(c).select(fields) for c in (F.col("members") <= longest, F.col("members") > longest))
+            asked = short.unionByName(across(long, longest))
             some = texts.join(asked.select("cls").distinct(), "cls", "left_semi").select("cls", "text")
             more = staged(some.mapInArrow(wider, "cls long, wide binary"), "wide")
             asked = asked.join(more, "cls").select("key", "cls", "label", F.concat("prints", "wide").alias("prints"))
@@ -336,7 +369,7 @@ def links(classes: DataFrame, texts: DataFrame, rounds: int = ROUNDS, longest: i
         found = new if found is None else found.unionByName(new)
         if turn < rounds:
             labels = components(found).withColumnRenamed("node", "cls")
-            labelled = lists.join(labels, "cls", "left").select("key", "cls", F.coalesce("label", "cls").alias("label"), "prints")
+            labelled = lists.join(labels, "cls", "left").select("key", "cls", F.coalesce("label", "cls").alias("label"), "prints", "members")
     return found
 
 
