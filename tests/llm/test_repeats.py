@@ -128,12 +128,25 @@ def test_removal_keeps_whole_characters():
     assert suffix.clean_text("aéb".encode(), [{"start": 2, "end": 3}]) == "ab"
 
 
-def test_filters_never_miss():
+@pytest.mark.parametrize("grouped", [suffix.by_digit, substring.exactly])
+@pytest.mark.parametrize("kind", [np.uint64, np.uint32])
+def test_groups_are_those_of_equal_keys(grouped, kind):
     rng = np.random.default_rng(1)
-    keys = np.concatenate([rng.integers(0, 2**63, 5000).astype(np.uint64)] * 1 + [np.arange(50, dtype=np.uint64)] * 2)
-    twice = np.arange(len(keys)) >= 5000
-    assert (suffix.by_digit(keys) == twice).all()
-    assert len(suffix.by_digit(keys[:0])) == 0
+    keys = np.concatenate([rng.integers(0, 2**31, 3000), np.arange(50), np.arange(50), rng.integers(0, 30, 400)]).astype(kind) * kind(0x10003)
+    for given in (None, rng.integers(0, 3, len(keys))):
+        left, group = grouped(keys, given)
+        found, want = {}, {}
+        for i, g in zip(left.tolist(), group.tolist()):
+            found.setdefault(g, set()).add(i)
+        for i, k in enumerate(keys.tolist()):
+            want.setdefault((k, None if given is None else int(given[i])), set()).add(i)
+        if given is None:
+            want = {k: v for k, v in want.items() if len(v) > 1}
+        assert sorted(map(sorted, found.values())) == sorted(map(sorted, want.values()))
+        assert (np.diff(group) >= 0).all() and set(group.tolist()) == set(range(len(found)))
+        if given is not None:
+            assert (np.diff(given[left]) >= 0).all()
+    assert [len(x) for x in grouped(keys[:0], None)] == [0, 0] == [len(x) for x in grouped(keys[:0], keys[:0].astype(int))]
 
 
 @pytest.mark.parametrize("cells", [16, 1000, 1 << 20])

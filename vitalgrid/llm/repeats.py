@@ -93,10 +93,12 @@ class Windows:
     units: type
     #: Whether an earlier start in the same document counts.
     same_document: bool
-    #: Keys (uint64) to a mask that holds at least every key found twice.
-    repeated: Callable[[np.ndarray], np.ndarray]
-    #: Of all anchors (a broadcast, or None) a function to such a mask, asked before
-    #: anything is shuffled; see ``substring``.
+    #: Groups of equal keys: (keys, groups so far or None) to the rows of groups of two
+    #: or more, in order of the groups, and the numbers of these. With groups so far,
+    #: they are divided further and no row is left out.
+    grouped: Callable[[np.ndarray, np.ndarray | None], tuple[np.ndarray, np.ndarray]]
+    #: A broadcast that tells which anchors may stand twice, asked before anything is
+    #: shuffled, or None; see ``substring``.
     sketch: object = None
 
     def may_repeat(self, anchors: np.ndarray) -> np.ndarray:
@@ -305,12 +307,14 @@ def equal_spans(how: Windows) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
             return
         doc, tie, lo, n, a, b = (np.concatenate(c) for c in zip(*keyed))
         keyed.clear()
-        some = np.flatnonzero(how.repeated(a))
-        doc, tie, lo, n, a, b = (x[some] for x in (doc, tie, lo, n, a, b))
+        some, group = how.grouped(a, None)
+        doc, tie, lo, n, b = (x[some] for x in (doc, tie, lo, n, b))
+        some, class_ = how.grouped(b, group)
+        doc, tie, lo, n, group = (x[some] for x in (doc, tie, lo, n, group))
         rank = rank_documents(doc, tie)
-        order = np.lexsort((lo, rank, b, a))
-        doc, tie, lo, n, a, b, rank = (x[order] for x in (doc, tie, lo, n, a, b, rank))
-        new, group = starts_of(a, b), starts_of(a)
+        order = np.lexsort((lo, rank, class_))  # within each class the earliest first
+        doc, tie, lo, n, rank = (x[order] for x in (doc, tie, lo, n, rank))
+        new, group = starts_of(class_[order]), starts_of(group[order])
         own = earliest(how, rank, lo, first_of(new))
         of = np.cumsum(group) - 1
         resolve = own & (np.bincount(of, new, minlength=1)[of] > 1)
@@ -390,12 +394,14 @@ def equal_windows(how: Windows) -> Callable[[Iterator[pa.RecordBatch]], Iterator
             return
         doc, tie, lo, _, a, b = (np.concatenate(c) for c in zip(*keyed))
         keyed.clear()
-        some = np.flatnonzero(how.repeated(a))
-        doc, tie, lo, a, b = (x[some] for x in (doc, tie, lo, a, b))
+        some, group = how.grouped(a, None)
+        doc, tie, lo, b = (x[some] for x in (doc, tie, lo, b))
+        some, class_ = how.grouped(b, group)
+        doc, tie, lo = (x[some] for x in (doc, tie, lo))
         rank = rank_documents(doc, tie)
-        order = np.lexsort((lo, rank, b, a))
-        doc, tie, lo, rank = doc[order], tie[order], lo[order], rank[order]
-        own = earliest(how, rank, lo, first_of(starts_of(a[order], b[order])))
+        order = np.lexsort((lo, rank, class_))
+        doc, tie, lo, rank, class_ = doc[order], tie[order], lo[order], rank[order], class_[order]
+        own = earliest(how, rank, lo, first_of(starts_of(class_)))
         at_rank, at, length = joined(rank[~own], lo[~own].astype(np.int64), np.ones(int((~own).sum()), np.int64))
         some = np.zeros(int(rank.max(initial=-1)) + 1, np.int64)
         some[rank] = np.arange(len(rank))

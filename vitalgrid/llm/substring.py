@@ -131,13 +131,19 @@ def sketch(docs: DataFrame, how: repeats.Windows, cells: int = CELLS) -> Sketch:
     return Sketch([bytes(b) for b in bits], cells)
 
 
-def all_of(keys: np.ndarray) -> np.ndarray:
-    """What comes to a partition has passed the sketch."""
-    return np.ones(len(keys), bool)
+def exactly(keys: np.ndarray, group: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Groups of equal keys, within the groups given; see ``repeats.Windows``."""
+    order = np.argsort(keys, kind="stable") if group is None else np.lexsort((keys, group))
+    new = repeats.starts_of(keys[order]) if group is None else repeats.starts_of(group[order], keys[order])
+    found = np.cumsum(new) - 1
+    if group is None and len(found):
+        many = np.bincount(found)[found] > 1
+        order, found = order[many], found[many]
+    return order, np.cumsum(repeats.starts_of(found)) - 1 if len(found) else found
 
 
 def windows(size: int = WINDOW, gram: int = GRAM) -> repeats.Windows:
-    return repeats.Windows(size, min(gram, size), repeats.Words, False, all_of)
+    return repeats.Windows(size, min(gram, size), repeats.Words, False, exactly)
 
 
 def digests(docs: DataFrame, size: int = WINDOW, cells: int = CELLS) -> DataFrame:

@@ -32,21 +32,25 @@ from vitalgrid.llm import repeats
 WINDOW, GRAM = 100, 50
 
 
-def by_digit(keys: np.ndarray) -> np.ndarray:
-    """One radix pass: which keys do not stand alone. Passes of 16 bits, the most
-    significant first; what is alone after a pass is not looked at again."""
-    left, group = np.arange(len(keys)), np.zeros(len(keys), np.int64)
-    for shift in (48, 32, 16, 0):
-        digit = (keys[left] >> np.uint64(shift)).astype(np.uint16)
+def by_digit(keys: np.ndarray, group: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Radix passes of 16 bits, the most significant digit first: each pass divides the
+    groups that the passes before have left by the next digit. At first all keys are one
+    group, and a key that is alone after a pass is not looked at again. What hangs
+    together after the last pass is equal: rows in order of their groups, and the number
+    of each one's group."""
+    drop = group is None
+    left = np.arange(len(keys))
+    group = np.zeros(len(keys), np.int64) if drop else group
+    for shift in range(8 * keys.dtype.itemsize - 16, -1, -16):
+        digit = (keys[left] >> keys.dtype.type(shift)).astype(np.uint16)
         order = np.lexsort((digit, group))
         left, digit, group = left[order], digit[order], group[order]
         new = repeats.starts_of(digit, group)
         group = np.cumsum(new) - 1
-        many = np.bincount(group, minlength=1)[group] > 1 if len(group) else new
-        left, group = left[many], group[many]
-    out = np.zeros(len(keys), bool)
-    out[left] = True
-    return out
+        if drop and len(group):
+            many = np.bincount(group)[group] > 1
+            left, group = left[many], group[many]
+    return left, np.cumsum(repeats.starts_of(group)) - 1 if len(group) else group
 
 
 def windows(size: int = WINDOW, gram: int = GRAM) -> repeats.Windows:
