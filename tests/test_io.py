@@ -183,6 +183,25 @@ def test_staged_keeps_rows_and_schema(spark):
     assert back.count() == 10
 
 
+def test_staged_alone_keeps_the_result_only(spark):
+    first = session.staged(spark.range(3), "first")
+    made = []
+
+    def make():
+        made.append(session.staged(first, "one"))
+        inner = session.staged_alone(spark, lambda: session.staged(made[0], "two").union(first), "inner")
+        made.append(inner)
+        return inner.union(first)
+
+    result = session.staged_alone(spark, make, "result")
+    assert result.count() == 9 and first.count() == 3
+    names = [e.name.split("-")[0] for e in session.list_folder(spark, session.run_dir(spark))]
+    assert {"first", "result"} <= set(names) and not {"one", "two", "inner"} & set(names)
+    with pytest.raises(ValueError):
+        session.staged_alone(spark, lambda: (_ for _ in ()).throw(ValueError()), "none")
+    assert session._held == []
+
+
 def test_clean_up_deletes_what_was_staged(spark, tmp_path):
     other = spark.newSession()
     path = session.new_path(other, "t")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
@@ -139,9 +140,31 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Paths staged within ``staged_alone``, innermost last.
+_held: list[list[str]] = []
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write once as parquet and read back, so that several consumers share one
     computation, still prune columns, and see a true size."""
     path = new_path(df.sparkSession, name)
+    if _held:
+        _held[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def staged_alone(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """Stage what ``make`` gives, then delete the tables staged on the way to it."""
+    _held.append([])
+    try:
+        result = staged(make(), name)
+    except BaseException:
+        _held.pop()
+        raise
+    *others, path = _held.pop()
+    for other in others:
+        delete(spark, other)
+    if _held:
+        _held[-1].append(path)
+    return result
