@@ -8,6 +8,7 @@ import corpus_pipeline
 from tests.llm.test_bpe import LIBRARY
 from tests.llm.test_contamination import brute_align, words
 from tests.llm.test_neardup import brute as brute_groups
+from vitalgrid import session
 from vitalgrid.llm import suffix, toxicity
 
 SF = "/root/testdata/sf0.001"
@@ -71,9 +72,16 @@ def test_stages(spark):
 
 
 def test_run_is_the_stages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        docs = spark.createDataFrame(out.collect(), out.schema)
     got = corpus_pipeline.run(spark, SF)
     assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-    assert 0 < got.count() <= 200
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, docs.collect()))
+    # Of each stage only its result is left in the shared folder.
+    names = [e.name.rsplit("-", 1)[0] for e in session.list_folder(spark, session.run_dir(spark))]
+    assert all(names.count(name) >= 1 for name, _ in corpus_pipeline.STAGES[:-1])
 
 
 def test_remove_keeps_rows_and_columns(spark):

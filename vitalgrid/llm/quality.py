@@ -4,7 +4,9 @@ A zstandard ratio (compressed by raw bytes) below the band means repetition, abo
 text without structure. Short texts compress less whatever they say, so each length
 class has limits of its own. The same is asked of fixed chunks: a document fails too
 when more than ``bad_chunks`` of its chunks lie outside the chunk band, which a mixed
-document would otherwise hide in its average.
+document would otherwise hide in its average. A text of less than a chunk has none to ask
+about; what is left over at the end of a longer one belongs to its last chunk, which so
+has up to twice the bytes and is judged by the same limits.
 
 Besides there is a base rule: too few words, or too many words in three-word windows
 that the text repeats. Words are runs of bytes other than space and 0x09 to 0x0D.
