@@ -191,6 +191,36 @@ def test_only_what_may_repeat_is_shuffled(spark):
     assert sizes[1] < 0.05 * sizes[0]
 
 
+@pytest.mark.parametrize("remembered", [5, 300_000])
+def test_tasks_of_many_batches_against_brute_force(spark, monkeypatch, remembered):
+    monkeypatch.setattr(repeats, "HELD_BYTES", 300)
+    monkeypatch.setattr(repeats, "REMEMBERED", remembered)
+    rows = corpus(9)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    assert {r.doc_id: tuple(r)[1:] for r in suffix.digests(docs, 30).collect()} == brute_bytes(rows, 30)
+    assert {r.doc_id: tuple(r)[1:4] for r in substring.digests(docs, 6).collect()} == brute_words(rows, 6)
+
+
+@pytest.mark.parametrize("how", [suffix.windows(), substring.windows()])
+def test_a_passage_in_every_batch_sends_few_keys(spark, monkeypatch, how):
+    """Thousands of batches in two tasks; without the memory every one sends a key."""
+    monkeypatch.setattr(repeats, "HELD_BYTES", 600)
+    rng = random.Random(5)
+    passage = " ".join(f"passage{i}" for i in range(60))
+    rows = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(10)) + f" {passage}") for i in range(4000)]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).repartition(2)
+    packed = docs.select(*repeats.doc_keys(), "text").mapInArrow(repeats.batch_spans(how, 4), repeats.PACKED).toArrow()
+    keys = []
+    for batch in packed.to_batches():
+        for kind, (_, _, _, _, a, b) in repeats.unpack(batch):
+            if kind == repeats.KEYED:
+                keys.append(np.stack([a, b]))
+    _, number = np.unique(np.concatenate(keys, 1), axis=1, return_counts=True)
+    assert number.max() < 60  # an earlier document turns up some log(2000) times a task
+    assert packed.num_rows > 2000
+
+
 def test_join_runs():
     rank, lo, n = repeats.joined(np.array([1, 0, 0, 1]), np.array([5, 3, 0, 0]), np.array([2, 2, 3, 4]))
     assert list(zip(rank, lo, n)) == [(0, 0, 5), (1, 0, 4), (1, 5, 2)]

@@ -17,9 +17,11 @@ them can lose a repeat:
     the edges of copied passages.
 3.  Only for those are single windows hashed (96 bits) and grouped.
 
-Before each shuffle a task keeps the earliest of equal keys among its own rows and
-marks the others at once, so a passage in a third of all documents sends one key per
-task. An anchor with many different surroundings within a batch is known to need step
+Before each shuffle a task keeps the earliest of equal keys among the rows of a batch and
+marks the others at once, and it remembers ``REMEMBERED`` of the keys that it has sent, the
+repeated ones longest: a later row that equals one of them is marked too. So a passage in
+a third of all documents sends a few keys per task, however many batches that has: one,
+and another each time an earlier document turns up. An anchor with many different surroundings within a batch is known to need step
 3 and skips step 2 but for a few of its spans. Keys go to partitions by their leading
 bits; intermediate tables are written to the shared folder, and a lost executor's
 tasks are recomputed from them.
@@ -51,6 +53,8 @@ LEAST_ID = -(2**63)
 PACKED = "shard int, kind int, size int, places binary, a binary, b binary"
 MARKS = "doc long, tie long, lo int, n int, resolve boolean"
 OUT_ROWS = 100_000
+#: Keys that a task remembers.
+REMEMBERED = 300_000
 #: Bytes of text whose spans a task holds at a time.
 HELD_BYTES = 5_000_000
 
@@ -218,22 +222,64 @@ def marks(doc, tie, lo, n, resolve: bool) -> Iterator[pa.RecordBatch]:
         )
 
 
-def parts(batches: Iterator[pa.RecordBatch], text: int, limit: int = HELD_BYTES) -> Iterator[pa.RecordBatch]:
-    """The rows in batches of at most ``limit`` bytes of text, or one row."""
+def parts(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of at most ``HELD_BYTES`` bytes of text, or one row."""
     for batch in batches:
         ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy())
         first = 0
         while first < batch.num_rows:
             before = ends[first - 1] if first else 0
-            end = max(first + 1, int(np.searchsorted(ends, before + limit, "right")))
+            end = max(first + 1, int(np.searchsorted(ends, before + HELD_BYTES, "right")))
             yield batch.slice(first, end - first)
             first = end
 
 
+class Sent:
+    """Keys that a task has sent on, with the earliest place it knows of each."""
+
+    def __init__(self, how: Windows):
+        self.how = how
+        self.key = np.zeros(0, np.uint64)
+        self.columns = [np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64, bool)]
+
+    def covers(self, a: np.ndarray, b: np.ndarray, doc: np.ndarray, tie: np.ndarray, lo: np.ndarray) -> np.ndarray:
+        """Which rows repeat an earlier one sent before; the others are remembered. No
+        two rows have the same keys and document."""
+        key = spans.mix(a + spans.mix(b.astype(np.uint64) * np.uint64(0xE7037ED1A0B428DB)))
+        out = np.zeros(len(key), bool)
+        if len(self.key):
+            at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+            known = [c[at] for c in self.columns]
+            hit = (self.key[at] == key) & (known[0] == a) & (known[1] == b)
+            same = (known[2] == doc) & (known[3] == tie)
+            before = (known[2] < doc) | ((known[2] == doc) & (known[3] < tie))
+            if self.how.same_document:
+                before |= same & (known[4] < lo)
+            out = hit & before
+            self.columns[5][at[hit]] = True
+            for mine, new in zip(self.columns[2:5], (doc, tie, lo)):
+                mine[at[hit & ~out]] = new[hit & ~out]  # the new one is earlier
+            new = ~hit & (self.key[at] != key)
+        else:
+            new = np.ones(len(key), bool)
+        first = np.flatnonzero(new)
+        first = first[np.unique(key[first], return_index=True)[1]]
+        added = [key[first], a[first], b[first].astype(np.uint64), doc[first], tie[first], lo[first], np.zeros(len(first), bool)]
+        whole = [np.concatenate(x) for x in zip([self.key, *self.columns], added)]
+        if len(whole[0]) > REMEMBERED:
+            # The newest come last; those met again go to the end.
+            keep = np.argsort(whole[6], kind="stable")[-REMEMBERED:]
+            whole = [x[keep] for x in whole]
+        order = np.argsort(whole[0], kind="stable")
+        self.key, *self.columns = (x[order] for x in whole)
+        return out
+
+
 def batch_spans(how: Windows, shards: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Step 1 of a task: (doc, tie, text) to packed spans."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent = Sent(how)
         for batch in parts(batches, 2):
             doc, tie = (np.asarray(batch.column(i)) for i in (0, 1))
             rank = rank_documents(doc, tie)
@@ -256,11 +302,14 @@ def batch_spans(how: Windows, shards: int) -> Callable[[Iterator[pa.RecordBatch]
             of = rank[row]
             new = starts_of(a, b)
             own = earliest(how, of, lo, first_of(new))
-            # Of equal rows one stands for all.
+            # Of equal rows, those of a repeated document, one stands for all.
             twin = ~new & own & (of == np.roll(of, 1)) & (lo == np.roll(lo, 1))
             classes = np.cumsum(new)
             group = first_of(starts_of(a))
             direct = own & (classes - classes[group] >= SURROUNDINGS) if len(group) else own
+            go = np.flatnonzero(own & ~direct & ~twin)
+            again = go[sent.covers(a[go], b[go], doc[row[go]], tie[row[go]], lo[go])]
+            own[again] = False
             kinds = []
             for kind, mask in ((COVERED, ~own), (RESOLVE, direct & ~twin)):
                 if mask.any():
@@ -341,6 +390,7 @@ def batch_windows(how: Windows, shards: int) -> Callable[[Iterator[pa.RecordBatc
     """Step 3 of a task: (doc, tie, rest, frame, spans) to packed windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent = Sent(how)
         for whole in batches:
             asked = whole.filter(pc.is_valid(whole.column(4)))
             for start in range(0, asked.num_rows, 500):
@@ -368,6 +418,8 @@ def batch_windows(how: Windows, shards: int) -> Callable[[Iterator[pa.RecordBatc
                 new = starts_of(a, b)
                 own = earliest(how, of, lo, first_of(new))
                 twin = ~new & (of == np.roll(of, 1)) & (lo == np.roll(lo, 1))
+                go = np.flatnonzero(own & ~twin)
+                own[go[sent.covers(a[go], b[go], doc[row[go]], tie[row[go]], lo[go])]] = False
                 kinds = []
                 if not own.all():
                     at_rank, at, length = joined(of[~own], lo[~own], np.ones(int((~own).sum()), np.int64))
