@@ -220,3 +220,28 @@ def test_stream_in_several_batches_equals_batch(spark, tmp_path):
     score_stream(source, B.linear_scorer, sink, str(tmp_path / "c")).awaitTermination()
     after = read_scored(spark, sink)
     assert after.count() == processed.count() + 3
+
+
+def test_boosted_training_scores_batches_and_new_files(spark, files, aggregated, trained, tmp_path):
+    table = read_training(spark, str(files / "history.csv"))
+    out = str(tmp_path / "boosted")
+    done = pipeline.training_job(table, out, SETTINGS, method="boosted", by_patient=True)
+    assert done.features == trained.features and done.auc > 0.8 and len(done.model.trees) == 3
+    scorer = pipeline.saved_scorer(spark, f"{out}/model", f"{out}/feature_list")
+    predictions = str(tmp_path / "predictions")
+    for names in ([], ["b.csv"]):
+        new = pipeline.score_new_files(spark, aggregated, predictions, scorer, None, report_to=str(tmp_path / "reports"))
+        assert names or new.first().processed_rows == PATIENTS
+    assert new.first().status == 404  # the same files again
+    stored = read_predictions(spark, predictions)
+    run = pipeline.scoring_job(spark, aggregated, f"{out}/feature_list", f"{out}/model", str(tmp_path / "again"), run_id="r1")
+    both = stored.select("patient_id", "risk").exceptAll(run.predictions.select("patient_id", "risk"))
+    assert stored.count() == PATIENTS and both.count() == 0
+    assert spark.read.option("header", True).csv(str(tmp_path / "reports" / "summary")).count() == 1
+
+
+def test_weekly_job(spark, files, tmp_path):
+    shown = pipeline.weekly_job(spark, str(files / "vitals.csv"), str(tmp_path / "weeks"))
+    # All readings are of the first seconds of the epoch, a Thursday.
+    assert shown.rows == PATIENTS and {str(r.week_start) for r in shown.head} == {"1969-12-29"}
+    assert spark.read.parquet(str(tmp_path / "weeks")).agg({"readings": "sum"}).first()[0] == 7 * PATIENTS

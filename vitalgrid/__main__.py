@@ -1,4 +1,4 @@
-"""Jobs for spark-submit: aggregate, train, score, stream, report."""
+"""Jobs for spark-submit: aggregate, weeks, train, score, score-new, recover, stream, report."""
 
 from __future__ import annotations
 
@@ -9,7 +9,8 @@ from pyspark.sql import SparkSession
 from vitalgrid import config as C
 from vitalgrid.plans import pipeline
 from vitalgrid.session import clean_up, staged
-from vitalgrid.sources import readers
+from vitalgrid.sources import readers, recover
+from vitalgrid.sources.runs import DAY
 
 
 def _arguments() -> argparse.Namespace:
@@ -21,6 +22,12 @@ def _arguments() -> argparse.Namespace:
         job.add_argument(f"--{name}", required=True)
     job.add_argument("--single-file", action="store_true")
 
+    job = jobs.add_parser("weeks", help="profiles by calendar week")
+    for name in ("vitals", "out"):
+        job.add_argument(f"--{name}", required=True)
+    job.add_argument("--zone", default="UTC", help="whose midnights part the weeks")
+    job.add_argument("--slide", type=int, default=7, help="days from one window's start to the next")
+
     job = jobs.add_parser("train", help="split, train, evaluate and save a model")
     for name in ("history", "out"):
         job.add_argument(f"--{name}", required=True)
@@ -33,6 +40,7 @@ def _arguments() -> argparse.Namespace:
     job.add_argument("--step-size", type=float, default=C.TreeParams.step_size)
     job.add_argument("--max-depth", type=int, default=C.TreeParams.max_depth)
     job.add_argument("--method", choices=pipeline.METHODS, default=pipeline.METHODS[0], help="classifier: Spark ML, or second-order leaf weights")
+    job.add_argument("--by-patient", action="store_true", help="all rows of an id in one part")
     job.add_argument("--subsample", type=float, default=C.TreeParams.subsampling_rate)
 
     job = jobs.add_parser("score", help="score processed files")
@@ -45,6 +53,16 @@ def _arguments() -> argparse.Namespace:
     job.add_argument("--report-to", help="folder for alerts, alert lines and summary")
     job.add_argument("--threshold", type=float, default=C.ALERT_THRESHOLD)
 
+    job = jobs.add_parser("score-new", help="score the files that no run has scored yet")
+    for name in ("inputs", "feature-list", "model", "predictions"):
+        job.add_argument(f"--{name}", required=True)
+    job.add_argument("--report-to", help="folder for alerts, alert lines and summary")
+    job.add_argument("--threshold", type=float, default=C.ALERT_THRESHOLD)
+
+    job = jobs.add_parser("recover", help="delete what unfinished runs have left")
+    job.add_argument("--predictions", required=True)
+    job.add_argument("--older-than", type=float, default=DAY, help="seconds; younger runs may be at work")
+
     job = jobs.add_parser("stream", help="score processed files as they arrive")
     for name in ("processed", "feature-list", "model", "sink"):
         job.add_argument(f"--{name}", required=True)
@@ -66,12 +84,20 @@ def main() -> None:
         print(f"{shown.rows} rows of {len(shown.columns)} columns: {', '.join(shown.columns)}")
         for row in shown.head:
             print(row)
+    elif args.job == "weeks":
+        shown = pipeline.weekly_job(spark, args.vitals, args.out, args.zone, args.slide)
+        print(f"{shown.rows} rows of {len(shown.columns)} columns: {', '.join(shown.columns)}")
+    elif args.job == "score-new":
+        scorer = pipeline.saved_scorer(spark, args.model, args.feature_list)
+        pipeline.score_new_files(spark, args.inputs, args.predictions, scorer, None, args.threshold, report_to=args.report_to).show(truncate=False)
+    elif args.job == "recover":
+        print("deleted:", ", ".join(recover(spark, args.predictions, args.older_than)) or "nothing")
     elif args.job == "train":
         tree = C.TreeParams(args.rounds, args.step_size, args.max_depth, args.subsample)
         settings = C.Settings(test_share=args.test_share, seed=args.seed, max_levels=args.max_levels, tree=tree)
         table = readers.read_training(spark, args.history)
         done = pipeline.training_job(
-            table, args.out, settings, args.target, drop_unlabelled=args.drop_unlabelled, method=args.method
+            table, args.out, settings, args.target, drop_unlabelled=args.drop_unlabelled, method=args.method, by_patient=args.by_patient
         )
         area = "undefined" if done.auc is None else f"{done.auc:.4f}"
         print(f"{len(done.features)} features, area under ROC {area}")

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from vitalgrid import config as C, streaming
-from vitalgrid.operators import boosting, digest, features, model as trees, scoring
-from vitalgrid.operators.split import stratified_split
+from vitalgrid.operators import boosting, digest, features, model as trees, scoring, weeks
+from vitalgrid.operators.split import group_split, stratified_split
 from vitalgrid.operators.vitals import processed_health
 from vitalgrid.plans import reports
 from vitalgrid.session import exists, staged
@@ -60,9 +60,10 @@ def training_job(
     key: str = C.ID_COLUMN,
     drop_unlabelled: bool = False,
     method: str = METHODS[0],
+    by_patient: bool = False,
 ) -> Training:
     """Prepare, split, write both parts and the feature list, fit, evaluate, save.
-    ``method`` is one of ``METHODS``.
+    ``method`` is one of ``METHODS``; ``by_patient`` keeps all rows of an id in one part.
 
     ``table`` is any table with the target and an id, under file column names. A
     missing target counts as 0 unless such rows are dropped.
@@ -76,9 +77,8 @@ def training_job(
     encoder = features.fit_encoder(table, categorical, settings.max_levels)
     prepared = features.training_table(table, encoder, target, keep=(key,))
     names = [c for c in prepared.columns if c not in (key, target)]
-    parts = stratified_split(
-        prepared, target, key, settings.test_share, name="_part", seed=settings.seed
-    )
+    split = group_split if by_patient else stratified_split
+    parts = split(prepared, target, key, settings.test_share, name="_part", seed=settings.seed)
     # Written once: both files and every round of training read it.
     parts = staged(parts.drop(key), "parts")
     train = parts.where("_part = 'train'").drop("_part")
@@ -113,6 +113,13 @@ def saved_scorer(spark: SparkSession, model: str, feature_list: str) -> scoring.
     return trees.serving_scorer(trees.load(model), expected, trees.load_encoder(spark, model))
 
 
+def weekly_job(spark: SparkSession, vitals: str, out: str, zone: str = "UTC", slide: int = weeks.WEEK) -> Preview:
+    """Profiles by calendar week, as parquet. The files' time is in seconds of the epoch."""
+    readings = readers.read_vitals(spark, vitals).withColumn("ts", F.timestamp_seconds("timestamp"))
+    weeks.weekly_vitals_by_week(readings, zone, slide).write.mode("overwrite").parquet(out)
+    return preview(spark.read.parquet(out))
+
+
 @dataclass(frozen=True)
 class ScoringRun:
     """Tables of one run; only the summary is there when no input was found."""
@@ -196,14 +203,15 @@ def score_new_files(
     inputs: str,
     predictions: str,
     scorer: scoring.Scorer,
-    table: schemas.Table = schemas.PROCESSED,
+    table: schemas.Table | None = schemas.PROCESSED,
     threshold: float = C.ALERT_THRESHOLD,
     run_id: str | None = None,
     report_to: str | None = None,
 ) -> DataFrame:
     """Score the CSV files below ``inputs`` that no finished run has scored as they are
     now, as one run, and note them in the ledger. ``scorer`` takes rows under internal
-    names. The summary; that of no input if nothing is new."""
+    names, or without a ``table`` raw rows under file names, as that of a saved model.
+    The summary; that of no input if nothing is new."""
     fresh = ledger.new_files(spark, inputs, predictions)
     run_id = run_id or writers.new_run_id(spark)
     folders = [writers.prediction_folder(predictions, run_id), ledger.folder_of(predictions, run_id)]
@@ -212,7 +220,8 @@ def score_new_files(
     with runs.run(spark, predictions, run_id, folders + (report_folders(report_to, run_id) if report_to else [])) as run:
         mine = ledger.claim(run, fresh)
         if mine:
-            rows = readers.read_processed(spark, [f.path for f in mine], table)
+            paths = [f.path for f in mine]
+            rows = readers.read_processed(spark, paths, table) if table else readers.read_rows(spark, paths)
             scored = staged(writers.with_scored_at(scorer(rows)), "scored")
             write_scores(run, scored, threshold, report_to, replace=False)
             ledger.record(run, mine)
