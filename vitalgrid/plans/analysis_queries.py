@@ -15,7 +15,7 @@ from vitalgrid.operators import boosting, weeks
 from vitalgrid.operators.correlation import correlations
 from vitalgrid.operators.profile import DEVIATION, profile
 from vitalgrid.operators.split import group_split as split_by_group
-from vitalgrid.plans import bindings as B, pipeline, reports, states
+from vitalgrid.plans import bindings as B, pipeline, states
 from vitalgrid.session import new_path, staged
 from vitalgrid.sources import buckets
 from vitalgrid.streaming import file_stream

@@ -45,7 +45,7 @@ def run_states(predictions: DataFrame, processed: DataFrame, threshold: float =
     sums = [x for c in SUMS for x in (F.sum(_known(c)).alias(f"{c}_sum"), F.count(_known(c)).alias(f"{c}_n"))]
     cohorts = joined.select("*", each).groupBy("g.report", "g.bucket").agg(*sums, F.count("*").alias("patients"))
     high = predictions.where(is_alert(F.col("risk"), threshold)).agg(F.lit("high").alias("report"), F.count("*").alias("patients"))
-    return cohorts.unionByName(high, allowMissingColumns=True).select(F.expr("*"))
+    return cohorts.unionByName(high, allowMissingColumns=True)
 
 
 def add_run(spark: SparkSession, path: str, run_id: str, predictions: DataFrame, processed: DataFrame, limit: int = TRIAGE_SIZE) -> None:
