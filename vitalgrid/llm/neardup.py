@@ -363,7 +363,9 @@ def links(classes: DataFrame, texts: DataFrame, rounds: int = ROUNDS, longest: i
             asked = asked.join(more, "cls").select("key", "cls", "label", F.concat("prints", "wide").alias("prints"))
         pairs = asked.repartition("key").sortWithinPartitions("key").mapInArrow(list_pairs(turn < rounds), "u long, v long")
         pairs = staged(pairs.where("u <> v").distinct(), "pairs")
-        left, right = (texts.select(F.col("cls").alias(c), F.col("text").alias(f"t{c}")) for c in "uv")
+        # Texts that no pair asks for are left out before they are moved.
+        wanted = (pairs.select(F.col(c).alias("cls")).distinct() for c in "uv")
+        left, right = (texts.join(a, "cls", "left_semi").select(F.col("cls").alias(c), F.col("text").alias(f"t{c}")) for c, a in zip("uv", wanted))
         pairs = pairs.join(left, "u").join(right, "v").select("u", "v", "tu", "tv")
         new = staged(pairs.mapInArrow(confirmed, "u long, v long"), "links")
         found = new if found is None else found.unionByName(new)
