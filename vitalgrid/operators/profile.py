@@ -4,7 +4,9 @@
 | --- | --- | --- |
 | distinct values | HyperLogLog++ | relative standard deviation ``DEVIATION`` |
 | quantiles | Greenwald-Khanna | rank off by ``1 / ACCURACY`` of the rows at most |
-| frequent values | space saving, ``TRACKED`` counters | count too high by rows / ``TRACKED`` at most |
+| frequent values | ``TRACKED`` counters | count off by ``FREQUENT_BOUND`` of the rows at most |
+
+Where no value is surely more frequent than that bound, none is listed.
 
 Rows, missing values, least and greatest are exact. Sketches have a bounded size, so the
 scan moves a few KB per column and task whatever the table holds.
@@ -20,7 +22,8 @@ from vitalgrid.session import staged
 
 DEVIATION = 0.02
 ACCURACY = 1000
-TRACKED = 1000
+TRACKED = 4096
+FREQUENT_BOUND = 4 / TRACKED
 FREQUENT = 3
 QUANTILES = (0.25, 0.5, 0.75)
 SCHEMA = (

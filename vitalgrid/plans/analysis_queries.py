@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from vitalgrid import config as C
 from vitalgrid.operators import boosting, weeks
 from vitalgrid.operators.correlation import correlations
-from vitalgrid.operators.profile import DEVIATION, profile
+from vitalgrid.operators.profile import DEVIATION, FREQUENT_BOUND, profile
 from vitalgrid.operators.split import group_split as split_by_group
 from vitalgrid.plans import bindings as B, pipeline, states
 from vitalgrid.session import new_path, staged
@@ -106,7 +106,7 @@ def activity_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def history_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact figures of every column of the history, and whether those of the sketches
     keep their bounds: distinct values within four deviations, the median's rank within a
-    hundredth, the most frequent value's count within a thousandth."""
+    hundredth, the count of the most frequent value within the sketch's bound."""
     rows = staged(B.history(spark, sf_dir).select("patient_id", "age", "cholesterol", "sex", "diet", "country"), "history")
     found = staged(profile(rows), "profile")
     n = rows.count()
@@ -115,16 +115,18 @@ def history_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
         c, about = F.col(f.name), found.where(F.col("column") == f.name).first()
         median = about.quantiles[1] if about.quantiles else None
         below = [F.count_if(c.cast("double") < median), F.count_if(c.cast("double") <= median)] if median is not None else [F.lit(0), F.lit(0)]
-        top = about.frequent[0]
+        top = about.frequent[0] if about.frequent else None
+        # Without a frequent value none may have more rows than the bound.
+        most = rows.groupBy(c).count().where(c.isNotNull()).agg(F.max("count")).first()[0] if top is None else 0
         exact.append(
             rows.agg(
                 F.lit(f.name).alias("column"), F.lit(about.rows).alias("rows"), F.lit(about.missing).alias("missing"), F.count_distinct(c).alias("exactly"),
-                F.count(c).alias("known"), below[0].alias("below"), below[1].alias("upto"), F.count_if(c.cast("string") == top.value).alias("top"),
+                F.count(c).alias("known"), below[0].alias("below"), below[1].alias("upto"), (F.count_if(c.cast("string") == top.value) if top else F.lit(most)).alias("top"),
             ).select(
                 "column", "rows", "missing",
                 (F.abs(F.lit(about.distinct) - F.col("exactly")) <= 4 * DEVIATION * F.col("exactly") + 1).alias("distinct_holds"),
                 (F.lit(median is None) | ((F.col("below") <= F.col("known") * 0.51 + 1) & (F.col("upto") >= F.col("known") * 0.49 - 1))).alias("median_holds"),
-                (F.lit(top["count"]) - F.col("top")).between(0, n / 1000 + 1).alias("frequent_holds"),
+                (F.abs(F.lit(top["count"] if top else 0) - F.col("top")) <= FREQUENT_BOUND * n + 1).alias("frequent_holds"),
             )
         )
     return reduce(DataFrame.unionByName, exact)
