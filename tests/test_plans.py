@@ -7,10 +7,9 @@ import pytest
 import __spark_entry__ as entry
 from vitalgrid.operators.scoring import alerts, row_cap
 from vitalgrid.plans import bindings as B, reports
-from vitalgrid.plans.catalogue import QUERIES
 
 SF = "/root/testdata/sf0.01"
-NO_MODEL = sorted(n for n in QUERIES if not n.startswith("gbt_"))
+NO_MODEL = sorted(n for n in entry.QUERIES if not n.startswith("gbt_"))
 
 
 def plan(df):
@@ -21,6 +20,8 @@ def plan(df):
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(entry.queries()[name](spark, SF))
     assert not re.search(r"Python|Pandas|CartesianProduct|BroadcastNestedLoopJoin", text)
+    # A window without a partition would be one task.
+    assert not re.search(r"windowspecdefinition\(\w+#\d+L? (ASC|DESC)", text)
 
 
 def test_vitals_are_scanned_once_and_pruned(spark):
