@@ -2,8 +2,6 @@
 
 import hashlib
 
-import public_tokenizers
-
 import corpus_pipeline
 from tests.llm.test_bpe import LIBRARY
 from tests.llm.test_contamination import brute_align, words
